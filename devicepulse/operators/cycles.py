@@ -45,9 +45,14 @@ def previous_day(days: DataFrame, spec: TelemetrySpec) -> DataFrame:
 
 
 def day_gaps(days: DataFrame, spec: TelemetrySpec) -> DataFrame:
-    """Add the days since the device's previous row, null on its first."""
-    previous = F.lag(spec.date_col).over(_by_date(spec))
-    return days.withColumn("gap_days", day_gap(F.col(spec.date_col), previous))
+    """Add the days since the device's previous row, null on its first.
+
+    Two rows of one device-day fail the job: which of them comes first is undefined, so whatever
+    is built on their order would be too, and only unique days bound a device's window group.
+    """
+    gapped = days.withColumn("_gap", day_gap(F.col(spec.date_col), F.lag(spec.date_col).over(_by_date(spec))))
+    repeated = F.raise_error(F.lit(f"several rows for one {spec.day_key}: keep one row per day first"))
+    return gapped.withColumn("gap_days", F.when(F.col("_gap") == 0, repeated).otherwise(F.col("_gap"))).drop("_gap")
 
 
 def with_cycles(days: DataFrame, spec: TelemetrySpec) -> DataFrame:

@@ -176,16 +176,23 @@ def summary(
     columns = list(columns or numeric_cols(df))
     points = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
     if not exact:
-        return _per_column(
+        # One sketch per column answers all three points.
+        profile = _per_column(
             df,
             {
                 c: {
                     **_moments(c),
-                    **{k: F.percentile_approx(_c(c).cast("double"), p, accuracy) for k, p in points.items()},
+                    "_quartiles": F.percentile_approx(
+                        _c(c).cast("double"), list(points.values()), accuracy
+                    ),
                 }
                 for c in columns
             },
         )
+        return profile.select(
+            *[c for c in profile.columns if c != "_quartiles"],
+            *[F.col("_quartiles").getItem(i).alias(k) for i, k in enumerate(points)],
+        )
     quartiles = exact_quantiles(df, columns, list(points.values()))
     wide = quartiles.groupBy("column_name").agg(
         *[F.max(F.when(F.col("probability") == p, F.col("quantile"))).alias(k) for k, p in points.items()]

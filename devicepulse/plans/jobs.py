@@ -56,6 +56,13 @@ class Layout:
         save_manifest(df, self.manifest(name))
 
 
+def report_rows(layout: Layout, name: str, rows: int, kept: int) -> None:
+    """How many rows a null drop took. The counts come from tables already written."""
+    spark = SparkSession.active()
+    report = spark.createDataFrame([(rows, kept, rows - kept)], "rows bigint, kept bigint, dropped bigint")
+    write_scores(report, layout.artefact(name))
+
+
 def drop_duplicates_job(
     spark: SparkSession,
     source: str,
@@ -112,7 +119,9 @@ def preprocess_job(
     constant = cleaning.constant_columns(failed, spec)
     lagged = cycles.lag_features(cleaning.drop_columns(failed, constant), spec)
     layout.write(cleaning.drop_incomplete(lagged), "training", mode)
-    return layout.read(spark, "training")
+    training = layout.read(spark, "training")
+    report_rows(layout, "training_rows", failed.count(), training.count())
+    return training
 
 
 def feature_job(
@@ -207,9 +216,7 @@ def scoring_rows(rows: DataFrame, kit: ScoringKit, spec: TelemetrySpec) -> DataF
 
 
 def score_rows(rows: DataFrame, kit: ScoringKit, spec: TelemetrySpec) -> DataFrame:
-    """Predictions with device and date. Rows without a full set of lags cannot be scored; see
-    `scoring_coverage`.
-    """
+    """Predictions with device and date. Rows without a full set of lags cannot be scored."""
     complete = cleaning.drop_incomplete(scoring_rows(rows, kit, spec))
     keep = spec.day_key
     scaled = scaling.scale_features(complete, kit.scaler, kit.num_features.names, keep)
@@ -219,11 +226,6 @@ def score_rows(rows: DataFrame, kit: ScoringKit, spec: TelemetrySpec) -> DataFra
     return model.predict(kit.classifier, scaling.assemble(usable, kit.features.names, keep))
 
 
-def scoring_coverage(rows: DataFrame, kit: ScoringKit, spec: TelemetrySpec) -> DataFrame:
-    """How many device-days get a prediction and how many lack the lags for one."""
-    return cleaning.completeness(scoring_rows(rows, kit, spec))
-
-
 def inference_job(
     spark: SparkSession,
     layout: Layout,
@@ -237,6 +239,7 @@ def inference_job(
     """Score new rows (default: the cleaned table) with the saved artefacts.
 
     `nrows` keeps the first rows in key order, as a trial run does; by default all are scored.
+    How many device-days got no prediction, for want of lags, is reported next to the artefacts.
     """
     rows = layout.read(spark, "cleaned") if source is None else read_table(spark, source, fmt, schema)
     if nrows is not None:
@@ -244,5 +247,7 @@ def inference_job(
     predictions = score_rows(rows, ScoringKit.load(spark, layout, spec), spec)
     # Vectors have no CSV form, so predictions are Parquet whatever the other tables are.
     write_table(predictions, layout.table("predictions"), mode=mode)
-    return read_table(spark, layout.table("predictions"))
+    written = read_table(spark, layout.table("predictions"))
+    report_rows(layout, "scored_rows", cycles.device_days(rows, spec).count(), written.count())
+    return written
 

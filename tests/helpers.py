@@ -1,0 +1,33 @@
+"""Hand-made telemetry rows."""
+
+from __future__ import annotations
+
+from collections import Counter
+from datetime import date, timedelta
+
+from devicepulse.spec import TelemetrySpec
+
+SPEC = TelemetrySpec()
+DAY_ONE = date(2016, 1, 1)
+SCHEMA = "serial_number string, model string, date date, failure int, smart_1_raw double"
+
+
+def day(n: int) -> date:
+    return DAY_ONE + timedelta(days=n - 1)
+
+
+def telemetry(spark, rows, schema=SCHEMA):
+    """Rows of (serial, day number, failure, reading); the model is always M."""
+    return spark.createDataFrame([(s, "M", day(d), f, r) for s, d, f, r in rows], schema)
+
+
+def rows_of(df, *columns) -> list[tuple]:
+    return sorted(tuple(r) for r in df.select(*(columns or df.columns)).collect())
+
+
+def bag(df) -> Counter:
+    return Counter(tuple(r) for r in df.select(*sorted(df.columns)).collect())
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()

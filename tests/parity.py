@@ -39,10 +39,7 @@ def _rows(table) -> Counter:
 def differences(df, con, sql: str) -> list[str]:
     """What differs; empty if nothing does."""
     got = df.toArrow()
-    cursor = con.execute(sql)
-    want = cursor.to_arrow_table() if hasattr(cursor, "to_arrow_table") else cursor.arrow()
-    if hasattr(want, "read_all"):
-        want = want.read_all()
+    want = con.sql(sql).to_arrow_table()
     found = []
     if sorted(got.column_names) != sorted(want.column_names):
         return [f"columns {sorted(got.column_names)} != {sorted(want.column_names)}"]

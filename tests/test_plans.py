@@ -1,0 +1,71 @@
+"""The plans of the registered queries, before they run."""
+
+import os
+import re
+
+import pytest
+from helpers import plan_of
+
+import __spark_entry__ as entry_module
+
+SF_DIR = "/root/testdata/sf0.001"
+QUERIES = entry_module.queries()
+# Names of queries that run jobs of their own; their last read says nothing about the work.
+JOBS = [n for n in QUERIES if re.match(r"(src|snk|job|mod[124])", n)]
+
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="driver tables are not here")
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(JOBS)))
+def test_no_python_no_cross_join(spark, name):
+    plan = plan_of(QUERIES[name](spark, SF_DIR))
+    for word in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert word not in plan
+
+
+@pytest.mark.parametrize(
+    ("name", "shuffles"),
+    [
+        ("ded1_one_row_per_device_day", 1),
+        ("win3_cycles", 2),
+        ("win6_lag_features", 2),
+        ("win7_failed_cycles", 2),
+        ("win_training_rows", 2),
+        ("agg4_constant_profile", 1),
+        ("spl1_split_by_cycle", 2),
+        ("prj1_null_sentinels", 0),
+    ],
+)
+def test_shuffles(spark, name, shuffles):
+    plan = plan_of(QUERIES[name](spark, SF_DIR))
+    assert len(re.findall(r"Exchange (?:hash|range|Single)", plan)) == shuffles
+
+
+def test_duplicates_are_cut_inside_the_map_tasks(spark):
+    plan = plan_of(QUERIES["ded1_one_row_per_device_day"](spark, SF_DIR))
+    assert plan.count("WindowGroupLimit") == 2
+
+
+def test_constant_test_does_not_multiply_rows(spark):
+    assert "Expand" not in plan_of(QUERIES["agg4_constant_profile"](spark, SF_DIR))
+
+
+def test_no_row_level_window_runs_in_one_task(spark):
+    for name in [n for n in QUERIES if n.startswith(("win", "jon", "ded"))]:
+        plan = plan_of(QUERIES[name](spark, SF_DIR))
+        # The numbering queries add up one row per range in one task; nothing else may.
+        assert plan.count("SinglePartition") == (1 if name.startswith("win4") else 0), name
+
+
+def test_only_the_key_columns_are_read_for_cycles(spark):
+    plan = plan_of(QUERIES["win3_cycles"](spark, SF_DIR))
+    assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint>" in plan
+
+
+def test_filters_reach_the_scan(spark):
+    plan = plan_of(QUERIES["scl3_in_list"](spark, SF_DIR))
+    assert "PushedFilters: [In(o_orderpriority" in plan
+
+
+def test_first_rows_keep_only_the_top_of_each_task(spark):
+    assert "TakeOrderedAndProject" in plan_of(QUERIES["lim1_first_hundred"](spark, SF_DIR))

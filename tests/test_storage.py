@@ -1,0 +1,96 @@
+import pytest
+from helpers import SPEC, bag, telemetry
+
+from devicepulse.sources import (
+    load_manifest,
+    read_table,
+    save_manifest,
+    scratch_path,
+    shared_folder,
+    without_target,
+    write_table,
+)
+from devicepulse.sources import workspace
+
+
+@pytest.fixture
+def df(spark):
+    return telemetry(spark, [("A", 1, 0, 1.5), ("B", 2, 1, None)])
+
+
+@pytest.mark.parametrize("fmt", ["csv", "parquet"])
+def test_round_trip(spark, df, tmp_path, fmt):
+    path = str(tmp_path / "t")
+    write_table(df, path, fmt)
+    back = read_table(spark, path, fmt, schema=df.schema if fmt == "csv" else None)
+    assert back.dtypes == df.dtypes and bag(back) == bag(df)
+
+
+def test_writing_twice_fails_unless_overwriting(df, tmp_path):
+    path = str(tmp_path / "t")
+    write_table(df, path)
+    with pytest.raises(Exception, match="(?i)exists"):
+        write_table(df, path)
+    write_table(df, path, mode="overwrite")
+
+
+def test_inferred_types(spark, df, tmp_path):
+    write_table(df, str(tmp_path / "t"), "csv")
+    inferred = dict(read_table(spark, str(tmp_path / "t"), "csv").dtypes)
+    assert inferred["date"] == "date" and inferred["smart_1_raw"] == "double" and inferred["failure"] == "int"
+
+
+def test_csv_header_must_match_the_schema(spark, df, tmp_path):
+    write_table(df.select("failure", "serial_number"), str(tmp_path / "t"), "csv")
+    wrong = df.select("failure", "model").schema
+    with pytest.raises(Exception, match="(?i)header"):
+        read_table(spark, str(tmp_path / "t"), "csv", schema=wrong).collect()
+
+
+def test_only_wanted_columns_are_read(spark, df, tmp_path):
+    write_table(df, str(tmp_path / "t"))
+    pruned = read_table(spark, str(tmp_path / "t"), columns=["date", "failure"])
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<date:date,failure:int>" in plan
+
+
+def test_partitioned_layout_is_pruned(spark, df, tmp_path):
+    write_table(df, str(tmp_path / "t"), partition_by=["failure"])
+    plan = read_table(spark, str(tmp_path / "t")).where("failure = 1")._jdf.queryExecution().executedPlan()
+    assert "PartitionFilters: [isnotnull(failure" in plan.toString()
+
+
+def test_manifest(spark, df, tmp_path):
+    save_manifest(df, str(tmp_path / "m"))
+    loaded = load_manifest(spark, str(tmp_path / "m"))
+    assert loaded.names == df.columns and [f.dataType for f in loaded] == [f.dataType for f in df.schema]
+    assert without_target(loaded, SPEC.target_col).names == ["serial_number", "model", "date", "smart_1_raw"]
+
+
+class _Context:
+    def __init__(self, master, current=None):
+        self.master, self.current = master, current
+
+    def getCheckpointDir(self):
+        return self.current
+
+    def setCheckpointDir(self, path):
+        self.current = path
+
+
+class _Session:
+    def __init__(self, master, options):
+        self.sparkContext = _Context(master)
+        self.conf = type("Conf", (), {"get": lambda self, name, default=None: options.get(name, default)})()
+
+
+def test_the_named_shared_folder_is_used():
+    session = _Session("spark://cluster", {workspace.CHECKPOINT_DIR: "s3a://shared/points/"})
+    assert shared_folder(session) == "s3a://shared/points"
+    assert session.sparkContext.current == "s3a://shared/points/"
+    assert scratch_path(session, "t").startswith("s3a://shared/points/devicepulse/")
+
+
+def test_a_cluster_without_a_shared_folder_is_an_error():
+    with pytest.raises(ValueError, match="shared folder"):
+        shared_folder(_Session("spark://cluster", {}))
