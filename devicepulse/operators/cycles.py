@@ -87,8 +87,9 @@ def number_cycles(cycles: DataFrame, spec: TelemetrySpec) -> DataFrame:
     """Add `cycle_id`: 1, 2, … over all cycles, by device and first date.
 
     The number of a device's first cycle is one more than the cycles of all devices before it.
-    That running total is taken over one row per device, and joins on the device, by which the
-    cycle rows are already laid out.
+    That running total is taken over one row per device, and joins on the device, by which cycle
+    rows are laid out when they are computed. They are read twice: store them first where they
+    are not a stored table (`pin`).
     """
     per_device = cycles.groupBy(*spec.ids).agg(F.max(spec.cycle_seq_col).alias("_cycles"))
     counted = running_total(per_device, spec.ids, F.col("_cycles"), "_through")

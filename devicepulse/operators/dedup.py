@@ -7,8 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from devicepulse.sources.workspace import pin
 from devicepulse.spec import TelemetrySpec
 
+# Keys of a few dozen bytes each: at most some tens of megabytes to broadcast.
+FEW_KEYS = 500_000
+
 
 def one_row_per_key(
     df: DataFrame, keys: Sequence[str], order: Sequence[str | Column] | None = None
@@ -26,17 +30,49 @@ def one_row_per_key(
     return df.withColumn("_place", place).where(F.col("_place") == 1).drop("_place")
 
 
+def one_row_per_mostly_unique_key(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str | Column] | None = None,
+    few_keys: int = FEW_KEYS,
+) -> DataFrame:
+    """The same rows as `one_row_per_key`, for a wide table with few repeated keys.
+
+    The repeated keys are found on the key columns alone. If there are at most `few_keys` of them,
+    they are broadcast: rows of other keys pass through without a shuffle or a sort, and only rows
+    of repeated keys are compared. If there are more, the one-pass form is used.
+    """
+    repeated = df.groupBy(*keys).agg(F.count("*").alias("_rows")).where(F.col("_rows") > 1)
+    repeated = pin(repeated.select(*[F.col(k).alias(f"_{k}") for k in keys]))
+    count = repeated.count()
+    if count == 0:
+        return df
+    if count > few_keys:
+        return one_row_per_key(df, keys, order)
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    single = df.join(F.broadcast(repeated), same, "left_anti")
+    compared = df.join(F.broadcast(repeated), same, "left_semi")
+    return single.unionByName(one_row_per_key(compared, keys, order))
+
+
+def failing_first(df: DataFrame, spec: TelemetrySpec) -> list[str | Column]:
+    """Highest target first, ties broken by all other columns."""
+    others = [c for c in df.columns if c not in [*spec.day_key, spec.target_col]]
+    return [F.col(spec.target_col).desc(), *others] if spec.target_col in df.columns else others
+
+
 def one_row_per_day(
-    df: DataFrame, spec: TelemetrySpec, order: Sequence[str | Column] | None = None
+    df: DataFrame,
+    spec: TelemetrySpec,
+    order: Sequence[str | Column] | None = None,
+    mostly_unique: bool = False,
 ) -> DataFrame:
-    """Keep one row per device and day: by default the one with the highest target, ties broken
-    by all other columns. A failure reported twice, once as 0 and once as 1, stays a failure.
+    """Keep one row per device and day, by default the failing one: a failure reported twice, once
+    as 0 and once as 1, stays a failure. `mostly_unique` says that few device-days are repeated.
     """
-    if order is None:
-        others = [c for c in df.columns if c not in [*spec.day_key, spec.target_col]]
-        target = [F.col(spec.target_col).desc()] if spec.target_col in df.columns else []
-        order = [*target, *others]
-    return one_row_per_key(df, spec.day_key, order)
+    order = failing_first(df, spec) if order is None else order
+    keep = one_row_per_mostly_unique_key if mostly_unique else one_row_per_key
+    return keep(df, spec.day_key, order)
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:

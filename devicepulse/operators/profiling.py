@@ -53,22 +53,19 @@ def null_profile(df: DataFrame) -> DataFrame:
 
     NaN is not null: clean the sentinels first.
     """
-    return _per_column(
-        df,
-        {
-            c: {
-                "null_count": F.count_if(_c(c).isNull()),
-                "null_fraction": F.avg(_c(c).isNull().cast("double")),
-            }
-            for c in df.columns
-        },
+    missing = F.col("rows") - F.col("present")
+    profile = _per_column(df, {c: {"rows": F.count("*"), "present": F.count(_c(c))} for c in df.columns})
+    return profile.select(
+        "column_name",
+        missing.alias("null_count"),
+        F.try_divide(missing, "rows").alias("null_fraction"),
     )
 
 
 def null_fractions(df: DataFrame) -> dict[str, float | None]:
     """The fractions on the driver: one row of one number per column."""
-    row = df.agg(*[F.avg(_c(c).isNull().cast("double")) for c in df.columns]).first()
-    return dict(zip(df.columns, row, strict=True))
+    rows, *present = df.agg(F.count("*"), *[F.count(_c(c)) for c in df.columns]).first()
+    return {c: (rows - n) / rows if rows else None for c, n in zip(df.columns, present, strict=True)}
 
 
 def distinct_profile(df: DataFrame, approximate: bool = False, rsd: float = 0.02) -> DataFrame:

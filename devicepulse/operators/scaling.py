@@ -27,9 +27,9 @@ def fit_scaler(df_train: DataFrame, feature_cols: Sequence[str], relative_error:
     """Scale by the quartile range, without centring; quartiles by a mergeable sketch, so that
     nothing grows with the rows. `exact_factors` is the exact form.
     """
-    assembler = VectorAssembler(inputCols=list(feature_cols), outputCol="features_temp")
+    assembler = VectorAssembler(inputCols=list(feature_cols), outputCol="unscaled")
     scaler = RobustScaler(
-        inputCol="features_temp", outputCol="features_scaled", relativeError=relative_error
+        inputCol="unscaled", outputCol="scaled", relativeError=relative_error
     )
     return Pipeline(stages=[assembler, scaler]).fit(df_train)
 
@@ -38,7 +38,7 @@ def scale_features(
     df: DataFrame, scaler: PipelineModel, feature_cols: Sequence[str], keep: Sequence[str]
 ) -> DataFrame:
     """The carried columns (target for training, device and date for scoring) and the scaled features."""
-    return unpack_vector(scaler.transform(df), "features_scaled", feature_cols, keep)
+    return unpack_vector(scaler.transform(df), "scaled", feature_cols, keep)
 
 
 def exact_factors(df_train: DataFrame, feature_cols: Sequence[str]) -> dict[str, float]:

@@ -40,6 +40,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--seed", type=int, default=defaults.seed)
     parser.add_argument("--nrows", type=int, help="inference: only the first rows in key order")
     parser.add_argument("--number-cycles", action="store_true")
+    parser.add_argument("--mostly-unique", action="store_true", help="few repeated device-days")
     parser.add_argument("--mode", help="write mode of the job's tables")
     return parser.parse_args(argv)
 
@@ -62,7 +63,9 @@ def main(argv: list[str] | None = None) -> None:
     if args.job == "drop-duplicates":
         if not args.source:
             raise SystemExit("drop-duplicates needs --source")
-        jobs.drop_duplicates_job(spark, args.source, layout, spec, args.fmt, schema, **mode)
+        jobs.drop_duplicates_job(
+            spark, args.source, layout, spec, args.fmt, schema, mostly_unique=args.mostly_unique, **mode
+        )
     elif args.job == "preprocess":
         jobs.preprocess_job(spark, layout, spec, args.number_cycles, **mode)
     elif args.job == "features":

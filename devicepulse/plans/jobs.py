@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassificationModel
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from devicepulse.operators import cleaning, cycles, dedup, joins, model, ranking, scaling, splitting
@@ -71,11 +72,12 @@ def drop_duplicates_job(
     fmt: str = "csv",
     schema: T.StructType | None = None,
     order: Sequence[str | Column] | None = None,
+    mostly_unique: bool = False,
     mode: str = "errorifexists",
 ) -> DataFrame:
-    """One row per device-day."""
+    """One row per device-day. `mostly_unique` spares a wide table with few repeats its shuffle."""
     rows = read_table(spark, source, fmt, schema)
-    layout.write(dedup.one_row_per_day(rows, spec, order), "deduplicated", mode)
+    layout.write(dedup.one_row_per_day(rows, spec, order, mostly_unique), "deduplicated", mode)
     return layout.read(spark, "deduplicated")
 
 
@@ -133,34 +135,39 @@ def feature_job(
     buckets: int = splitting.BUCKETS,
     mode: str = "overwrite",
 ) -> splitting.Splits:
-    """Scaled train, validation and test tables.
+    """Scaled train, validation and test sets.
 
     The scaler is fitted on train by a sketch and saved. With `exact` the quartile ranges are
-    exact, and saved as a table of factors.
+    exact, and saved as a table of factors. The three sets are the partitions of one table, so
+    that one pass writes them all.
     """
     training = layout.read(spark, "training")
-    splits = splitting.split_by_cycle(training, spec, bucket=bucket, buckets=buckets)
     features = spec.numeric_feature_cols(training)
+    named = splitting.with_split(training, spec, bucket=bucket, buckets=buckets)
+    keep, train = [spec.target_col, "split"], named.where(F.col("split") == "train")
     if exact:
-        factors = scaling.exact_factors(splits.train, features)
+        factors = scaling.exact_factors(train, features)
         rows = [(i, c, x) for i, (c, x) in enumerate(factors.items())]
         table = spark.createDataFrame(rows, "position int, column_name string, factor double")
         write_table(table.coalesce(1), layout.artefact("factors"), mode=mode)
-        scaled = splits.map(lambda part: scaling.scale_by_factors(part, factors, [spec.target_col]))
+        scaled = scaling.scale_by_factors(named, factors, keep)
     else:
-        scaler = scaling.fit_scaler(splits.train, features)
+        scaler = scaling.fit_scaler(train, features)
         save_artefact(scaler, layout.artefact("scaler"))
-        scaled = splits.map(lambda part: scaling.scale_features(part, scaler, features, [spec.target_col]))
+        scaled = scaling.scale_features(named, scaler, features, keep)
     save_manifest(training.select(*features), layout.manifest("num_feature"))
-    final = scaling.clean_scaled(scaled, spec)
-    for name, part in final._asdict().items():
-        layout.write(part, name, mode)
-    save_manifest(final.train, layout.manifest("scaled"))
+    cleaned = cleaning.parse_sentinels(scaled)
+    sparse = cleaning.sparse_columns(cleaned.where(F.col("split") == "train"), spec, cutoff=0.0)
+    final = cleaned.select(*[c for c in cleaned.columns if c not in [*sparse, "split"]], "split")
+    layout.write(final, "scaled", mode, partition_by=["split"])
     return read_splits(spark, layout)
 
 
 def read_splits(spark: SparkSession, layout: Layout) -> splitting.Splits:
-    return splitting.Splits(*[layout.read(spark, s) for s in splitting.Splits._fields])
+    scaled = layout.read(spark, "scaled")
+    return splitting.Splits(
+        *[scaled.where(F.col("split") == s).drop("split") for s in splitting.Splits._fields]
+    )
 
 
 def train_job(spark: SparkSession, layout: Layout, spec: TelemetrySpec, **params) -> DataFrame:

@@ -35,6 +35,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def pin(df: DataFrame) -> DataFrame:
-    """Store the rows reliably and cut the lineage, so that a lost executor cannot change them."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Store the rows in the shared folder and go on from there.
+
+    The lineage ends at the stored table, so a lost executor cannot change its rows; later steps
+    read only the columns they need, and joins are planned by its true size.
+    """
+    path = scratch_path(df.sparkSession, "pinned")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

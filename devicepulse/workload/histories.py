@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from devicepulse.operators import cycles, dedup, joins, profiling, ranking, splitting
+from devicepulse.sources import pin
 from devicepulse.workload import views
 from devicepulse.workload.registry import query
 from devicepulse.workload.storage import bucket
@@ -69,7 +70,7 @@ def win3_cycles_wide_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
   dense_rank() OVER (ORDER BY user_id, device_model, cycle_start) AS cycle_id FROM cyc"""
 )
 def win4_cycle_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cycles.number_cycles(_cycle_rows(spark, sf_dir), SPEC)
+    return cycles.number_cycles(pin(_cycle_rows(spark, sf_dir)), SPEC)
 
 
 @query(

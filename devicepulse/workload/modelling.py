@@ -43,8 +43,8 @@ FROM days"""
 )
 def fea1_assemble_for_scaling(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = views.slim_days(spark, sf_dir)
-    vectors = scaling.assemble(rows, FEATURES, SPEC.day_key, output="features_temp")
-    return cleaning.unpack_vector(vectors, "features_temp", FEATURES, SPEC.day_key)
+    vectors = scaling.assemble(rows, FEATURES, SPEC.day_key, output="unscaled")
+    return cleaning.unpack_vector(vectors, "unscaled", FEATURES, SPEC.day_key)
 
 
 @query()

@@ -217,6 +217,20 @@ def ded1_default_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.shipment_days(spark, sf_dir)
 
 
+@query("""
+SELECT l_partkey, l_suppkey, l_shipdate, l_orderkey, l_linenumber, l_quantity, l_extendedprice FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_partkey, l_suppkey, l_shipdate
+    ORDER BY l_orderkey, l_linenumber, l_quantity, l_extendedprice) AS place FROM lineitem)
+WHERE place = 1
+""")
+def ded1_mostly_unique_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Few repeats: all other rows pass without a shuffle."""
+    key = ["l_partkey", "l_suppkey", "l_shipdate"]
+    payload = ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice"]
+    lines = views.table(spark, sf_dir, "lineitem").select(*key, *payload)
+    return dedup.one_row_per_mostly_unique_key(lines, key, payload)
+
+
 @query("SELECT DISTINCT user_id, event_type, CAST(ts AS DATE) AS date FROM events")
 def ded2_distinct_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = views.table(spark, sf_dir, "events")

@@ -145,7 +145,12 @@ def test_command_line(spark, run, tmp_path, monkeypatch):
     monkeypatch.setattr(sys, "argv", ["cli"])
     cli.main(["drop-duplicates", *root, "--source", run["source"], "--schema", str(tmp_path / "schema")])
     cli.main(["preprocess", *root])
+    cli.main([
+        "drop-duplicates", *root, "--source", run["source"], "--schema", str(tmp_path / "schema"),
+        "--mostly-unique", "--mode", "overwrite",
+    ])
     layout = jobs.Layout(str(tmp_path / "root"))
     assert bag(layout.read(spark, "training")) == bag(run["training"].drop("cycle_id"))
+    assert bag(layout.read(spark, "deduplicated")) == bag(run["deduplicated"])
     with pytest.raises(SystemExit):
         cli.main(["drop-duplicates", *root])
