@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from devicepulse.functions import hash_bucket
 from devicepulse.operators import cleaning, model, ranking, scaling, splitting
 from devicepulse.plans import jobs
 from devicepulse.sources import read_table, scratch_path, write_table
@@ -27,13 +26,17 @@ def spl1_split_by_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.select(*SPEC.day_key, "cycle_seq", "split")
 
 
-@query()
+@query(
+    f"""WITH {views.CYCLES_SQL} SELECT user_id, device_model, cycle_seq, count(*) AS rows,
+  CAST(1 AS BIGINT) AS sets FROM cyc GROUP BY user_id, device_model, cycle_seq"""
+)
 def spl1_split_by_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The default hash has no twin in SQL; tests check that the sets are disjoint and whole."""
-    rows = views.cycle_days(spark, sf_dir)
-    named = splitting.with_split(rows, SPEC)
-    return named.withColumn("bucket", hash_bucket(SPEC.cycle_key, SPEC.seed)).groupBy("split").agg(
-        F.count("*").alias("rows"), F.min("bucket").alias("low"), F.max("bucket").alias("high")
+    """By the default hash, which SQL does not have: every cycle whole and in one set."""
+    parts = splitting.split_by_cycle(views.cycle_days(spark, sf_dir), SPEC, drop=[])
+    tagged = [part.withColumn("split", F.lit(name)) for name, part in parts._asdict().items()]
+    rows = tagged[0].unionByName(tagged[1]).unionByName(tagged[2])
+    return rows.groupBy(*SPEC.cycle_key).agg(
+        F.count("*").alias("rows"), F.count_distinct("split").alias("sets")
     )
 
 
@@ -47,13 +50,38 @@ def fea1_assemble_for_scaling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.unpack_vector(vectors, "unscaled", FEATURES, SPEC.day_key)
 
 
-@query()
+def _range_bounds(column: str) -> str:
+    def at(p):
+        return f"quantile_cont(CAST({column} AS DOUBLE), {p})"
+
+    return f"""SELECT '{column}' AS column_name, round({at(0.73)} - {at(0.27)}, 6) AS least,
+  round({at(0.77)} - {at(0.23)}, 6) AS most, TRUE AS range_is_between FROM shipment_days"""
+
+
+@query(
+    f"WITH {views.SHIPMENT_DAYS_SQL} "
+    + " UNION ALL ".join(_range_bounds(c) for c in ("quantity", "price", "discount", "tax"))
+)
 def fea2_fitted_scaler(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Features of train scaled by sketched quartile ranges: no exact SQL twin."""
-    train = splitting.split_by_cycle(views.training(spark, sf_dir), SPEC).train
-    features = SPEC.numeric_feature_cols(train)
-    scaler = scaling.fit_scaler(train, features)
-    return scaling.scale_features(train, scaler, features, [SPEC.target_col])
+    """The fitted scaler's ranges come from a sketch: each lies between the exact ranges two
+    percent of the ranks inside and outside the quartiles."""
+    columns = ["quantity", "price", "discount", "tax"]
+    rows = views.shipment_days(spark, sf_dir)
+    ranges = scaling.fit_scaler(rows, columns).stages[1].range
+    fitted = spark.createDataFrame(
+        [(c, float(r)) for c, r in zip(columns, ranges, strict=True)], "column_name string, fitted double"
+    )
+    points = (0.23, 0.27, 0.73, 0.77)
+    exact = ranking.exact_quantiles(rows, columns, points).groupBy("column_name").agg(
+        *[F.max(F.when(F.col("probability") == p, F.col("quantile"))).alias(f"at{int(p * 100)}") for p in points]
+    )
+    least, most = F.col("at73") - F.col("at27"), F.col("at77") - F.col("at23")
+    return exact.join(fitted, "column_name").select(
+        "column_name",
+        F.round(least, 6).alias("least"),
+        F.round(most, 6).alias("most"),
+        F.col("fitted").between(least, most).alias("range_is_between"),
+    )
 
 
 @query(
@@ -141,12 +169,18 @@ def _vectors(spark: SparkSession, sf_dir: str) -> splitting.Splits:
     return splits.map(lambda part: scaling.assemble(part, features, [SPEC.target_col]))
 
 
-@query()
+@query(
+    f"""WITH {views.LAGS_SQL} SELECT count(*) AS rows, TRUE AS better_than_guessing
+FROM training WHERE {_SPLIT} = 'train'"""
+)
 def mod1_fit_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fitted trees on their own training rows: which trees is not SQL's to say."""
+    """Which trees are fitted is not SQL's to say: they must beat the larger class as a guess."""
     vectors = _vectors(spark, sf_dir)
     fitted = model.fit_classifier(vectors.train, SPEC, maxIter=ROUNDS)
-    return model.predict(fitted, vectors.train).select(SPEC.target_col, "prediction")
+    predicted = model.predict(fitted, vectors.train)
+    right = F.count_if(F.col("prediction") == F.col("failure"))
+    larger = F.greatest(F.count_if(F.col("failure") == 1), F.count_if(F.col("failure") == 0))
+    return predicted.agg(F.count("*").alias("rows"), (right > larger).alias("better_than_guessing"))
 
 
 @query(
@@ -278,20 +312,33 @@ def job3_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("split", "failure", *[F.round(c, 6).alias(c) for c in _SCALED])
 
 
-@query()
+@query(
+    f"""WITH {_JOB2_SQL}, job_sets AS (SELECT {_SPLIT} AS split FROM job_training)
+SELECT 'f1' AS "metricName", count(*) FILTER (WHERE split = 'train') > 0 AS train_scored,
+  count(*) FILTER (WHERE split = 'val') > 0 AS val_scored,
+  count(*) FILTER (WHERE split = 'test') > 0 AS test_scored FROM job_sets"""
+)
 def job4_train(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The score record of the fitted model."""
-    return jobs.train_job(spark, _trained(spark, sf_dir), SPEC, maxIter=ROUNDS)
+    """The score record of the fitted model: a share for every set that has rows."""
+    scores = jobs.train_job(spark, _trained(spark, sf_dir), SPEC, maxIter=ROUNDS)
+    return scores.select(
+        "metricName",
+        *[
+            F.coalesce(F.col(s).between(0.0, 1.0), F.lit(False)).alias(f"{s}_scored")
+            for s in splitting.Splits._fields
+        ],
+    )
 
 
-@query(
-    f"""WITH {_JOB2_SQL},
+_SCORED_SQL = f"""WITH {_JOB2_SQL},
 new_lagged AS (
   SELECT *, {", ".join(f"lag({c}, {k}) OVER w AS {c}_lag_{k}" for c in _TRAINED for k in (1, 2, 3))}
   FROM job_cyc WINDOW w AS (PARTITION BY user_id, device_model, cycle_seq ORDER BY date))
 SELECT {_KEY}, TRUE AS scored FROM new_lagged
 WHERE {" AND ".join(f"{c} IS NOT NULL" for c in [*_TRAINED, *_TRAINED_LAGS])}"""
-)
+
+
+@query(_SCORED_SQL)
 def mod4_scored_device_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which device-days of the raw readings get a prediction, by the saved artefacts."""
     layout = _trained(spark, sf_dir)
@@ -302,10 +349,10 @@ def mod4_scored_device_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(*SPEC.day_key, F.col("prediction").isin(0.0, 1.0).alias("scored"))
 
 
-@query()
+@query(_SCORED_SQL)
 def job5_inference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predictions for the cleaned table, as written."""
     layout = _trained(spark, sf_dir)
     jobs.train_job(spark, layout, SPEC, maxIter=ROUNDS)
     predictions = jobs.inference_job(spark, layout, SPEC)
-    return predictions.select(*SPEC.day_key, "prediction")
+    return predictions.select(*SPEC.day_key, F.col("prediction").isin(0.0, 1.0).alias("scored"))

@@ -64,10 +64,14 @@ def agg3_distinct_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profiling.distinct_profile(views.readings(spark, sf_dir).select(*_COUNTED))
 
 
-@query()
+@query(_READINGS + _lines("count(DISTINCT {c}) AS exact, TRUE AS sketch_is_close", _COUNTED, "readings"))
 def agg3_distinct_profile_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The sketch form has no exact SQL twin; its error is tested against the exact form."""
-    return profiling.distinct_profile(views.readings(spark, sf_dir), approximate=True)
+    """The sketch next to the exact count, from which it may differ by five standard errors."""
+    rows = views.readings(spark, sf_dir).select(*_COUNTED)
+    exact = profiling.distinct_profile(rows).withColumnRenamed("distinct_count", "exact")
+    both = exact.join(profiling.distinct_profile(rows, approximate=True, rsd=0.02), "column_name")
+    close = F.abs(F.col("distinct_count") - F.col("exact")) <= 0.1 * F.col("exact")
+    return both.select("column_name", "exact", close.alias("sketch_is_close"))
 
 
 @query(_READINGS + _lines("count(DISTINCT {c}) < 2 AS is_constant", _COUNTED, "readings"))
@@ -195,10 +199,27 @@ def agg16_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(profile, ["mean", "stddev", "q25", "q50", "q75"])
 
 
-@query()
+@query(
+    _SHIPMENTS
+    + _lines(_MOMENTS_SQL + ", TRUE AS q25_close, TRUE AS q50_close, TRUE AS q75_close", _MEASURED, "shipments")
+)
 def agg16_summary_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One pass with sketched quartiles: no exact SQL twin."""
-    return profiling.summary(views.shipments(spark, sf_dir), _MEASURED)
+    """One pass with sketched quartiles, each within two percent of the ranks around the exact one."""
+    rows = views.shipments(spark, sf_dir)
+    around = ranking.exact_quantiles(rows, _MEASURED, [0.23, 0.27, 0.48, 0.52, 0.73, 0.77])
+    bounds = around.groupBy("column_name").agg(
+        *[
+            F.max(F.when(F.col("probability") == p, F.col("quantile"))).alias(f"_{p}")
+            for p in (0.23, 0.27, 0.48, 0.52, 0.73, 0.77)
+        ]
+    )
+    profile = profiling.summary(rows, _MEASURED).join(bounds, "column_name")
+    return _rounded(profile, ["mean", "stddev"]).select(
+        "column_name", "rows", "mean", "stddev", "min", "max",
+        F.col("q25").between(F.col("`_0.23`"), F.col("`_0.27`")).alias("q25_close"),
+        F.col("q50").between(F.col("`_0.48`"), F.col("`_0.52`")).alias("q50_close"),
+        F.col("q75").between(F.col("`_0.73`"), F.col("`_0.77`")).alias("q75_close"),
+    )
 
 
 @query(_READINGS + "SELECT DISTINCT device_model FROM readings")

@@ -168,21 +168,33 @@ def snk5_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("metricName", *[F.round(c, 9).alias(c) for c in ("train", "val", "test")])
 
 
-def _scaled_after_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _scaled_before_and_after(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Device-days scaled by a fitted scaler and by the same one saved and loaded."""
     path = scratch_path(spark, "scaler")
     rows = views.slim_days(spark, sf_dir)
-    save_artefact(scaling.fit_scaler(rows, views.FEATURES), path)
-    return scaling.scale_features(rows, load_scaler(path), views.FEATURES, SPEC.day_key)
+    fitted = scaling.fit_scaler(rows, views.FEATURES)
+    save_artefact(fitted, path)
+    before, after = (
+        scaling.scale_features(rows, s, views.FEATURES, SPEC.day_key) for s in (fitted, load_scaler(path))
+    )
+    return before, after
 
 
-@query()
+@query(f"WITH {views.DAYS_SQL} SELECT count(*) AS rows, count(*) AS equal_rows FROM days")
 def snk6_saved_scaler(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The scaler is a sketch's, so there is no exact SQL twin."""
-    return _scaled_after_reload(spark, sf_dir)
+    """What was saved scales every row as what was fitted."""
+    before, after = _scaled_before_and_after(spark, sf_dir)
+    renamed = after.withColumnsRenamed({c: f"{c}_after" for c in views.FEATURES})
+    same = F.lit(True)
+    for c in views.FEATURES:
+        same = same & (F.col(c) == F.col(f"{c}_after"))
+    return before.join(renamed, SPEC.day_key).agg(
+        F.count("*").alias("rows"), F.count_if(same).alias("equal_rows")
+    )
 
 
 @query(f"WITH {views.DAYS_SQL} SELECT user_id, device_model, date FROM days")
 def src6_loaded_scaler_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every device-day comes out of the reloaded scaler, once and with finite features."""
-    scaled = _scaled_after_reload(spark, sf_dir)
+    _, scaled = _scaled_before_and_after(spark, sf_dir)
     return cleaning.drop_incomplete(cleaning.parse_sentinels(scaled)).select(*SPEC.day_key)
