@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from devicepulse.functions import day_gap
@@ -38,21 +38,29 @@ def _whole_cycle(spec: TelemetrySpec) -> WindowSpec:
     )
 
 
+def _unless_repeated(value: Column, window: WindowSpec, spec: TelemetrySpec) -> Column:
+    """The value, or an error where the row before it in the window has the same date.
+
+    Which of two rows of one day comes first is undefined, so whatever is built on their order
+    would be too, and only unique days bound a window group.
+    """
+    repeated = F.lag(spec.date_col).over(window) == F.col(spec.date_col)
+    error = F.raise_error(F.lit(f"several rows for one {spec.day_key}: keep one row per day first"))
+    return F.when(repeated, error).otherwise(value)
+
+
 def previous_day(days: DataFrame, spec: TelemetrySpec) -> DataFrame:
     """Add the date of the device's previous row."""
-    previous = F.lag(spec.date_col).over(_by_date(spec))
-    return days.withColumn("previous_date", previous)
+    by_date = _by_date(spec)
+    previous = F.lag(spec.date_col).over(by_date)
+    return days.withColumn("previous_date", _unless_repeated(previous, by_date, spec))
 
 
 def day_gaps(days: DataFrame, spec: TelemetrySpec) -> DataFrame:
-    """Add the days since the device's previous row, null on its first.
-
-    Two rows of one device-day fail the job: which of them comes first is undefined, so whatever
-    is built on their order would be too, and only unique days bound a device's window group.
-    """
-    gapped = days.withColumn("_gap", day_gap(F.col(spec.date_col), F.lag(spec.date_col).over(_by_date(spec))))
-    repeated = F.raise_error(F.lit(f"several rows for one {spec.day_key}: keep one row per day first"))
-    return gapped.withColumn("gap_days", F.when(F.col("_gap") == 0, repeated).otherwise(F.col("_gap"))).drop("_gap")
+    """Add the days since the device's previous row, null on its first."""
+    by_date = _by_date(spec)
+    gap = day_gap(F.col(spec.date_col), F.lag(spec.date_col).over(by_date))
+    return days.withColumn("gap_days", _unless_repeated(gap, by_date, spec))
 
 
 def with_cycles(days: DataFrame, spec: TelemetrySpec) -> DataFrame:
@@ -87,17 +95,16 @@ def number_cycles(cycles: DataFrame, spec: TelemetrySpec) -> DataFrame:
     """Add `cycle_id`: 1, 2, … over all cycles, by device and first date.
 
     The number of a device's first cycle is one more than the cycles of all devices before it.
-    That running total is taken over one row per device, and joins on the device, by which cycle
-    rows are laid out when they are computed. They are read twice: store them first where they
-    are not a stored table (`pin`).
+    That running total is taken over one row per device. The cycle rows are read twice: store
+    them first where they are not a stored table (`pin`).
     """
     per_device = cycles.groupBy(*spec.ids).agg(F.max(spec.cycle_seq_col).alias("_cycles"))
     counted = running_total(per_device, spec.ids, F.col("_cycles"), "_through")
     before = counted.select(*spec.ids, (F.col("_through") - F.col("_cycles")).alias("_before"))
-    return (
-        cycles.join(before, spec.ids)
-        .withColumn(spec.cycle_id_col, F.col("_before") + F.col(spec.cycle_seq_col))
-        .drop("_before")
+    same_device = [cycles[c].eqNullSafe(before[c]) for c in spec.ids]
+    return cycles.join(before, same_device).select(
+        *[cycles[c] for c in cycles.columns],
+        (before["_before"] + cycles[spec.cycle_seq_col]).alias(spec.cycle_id_col),
     )
 
 
@@ -108,8 +115,11 @@ def cycle_starts(cycles: DataFrame, spec: TelemetrySpec) -> DataFrame:
 
 def forward_fill(days: DataFrame, columns: Sequence[str], spec: TelemetrySpec) -> DataFrame:
     """Carry the last known value forward over the device's later days."""
-    so_far = _by_date(spec).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return days.withColumns({c: F.last(c, ignorenulls=True).over(so_far) for c in columns})
+    by_date = _by_date(spec)
+    so_far = by_date.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return days.withColumns(
+        {c: _unless_repeated(F.last(c, ignorenulls=True).over(so_far), by_date, spec) for c in columns}
+    )
 
 
 def with_failed_flag(rows: DataFrame, spec: TelemetrySpec) -> DataFrame:
@@ -136,12 +146,12 @@ def lag_features(
     num_lags = spec.num_lags if num_lags is None else num_lags
     no_lag_cols = spec.reserved if no_lag_cols is None else no_lag_cols
     in_cycle = Window.partitionBy(*(cycle_key or spec.cycle_key)).orderBy(spec.date_col)
-    lagged = [c for c in rows.columns if c not in no_lag_cols]
-    return rows.select(
-        "*",
-        *[
-            F.lag(c, k).over(in_cycle).alias(f"{c}_lag_{k}")
-            for c in lagged
-            for k in range(1, num_lags + 1)
-        ],
-    )
+    lags = {
+        f"{c}_lag_{k}": F.lag(c, k).over(in_cycle)
+        for c in rows.columns
+        if c not in no_lag_cols
+        for k in range(1, num_lags + 1)
+    }
+    for first in list(lags)[:1]:
+        lags[first] = _unless_repeated(lags[first], in_cycle, spec)
+    return rows.select("*", *[lag.alias(name) for name, lag in lags.items()])

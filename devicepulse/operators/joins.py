@@ -1,8 +1,8 @@
 """Equi-joins between the telemetry table and tables derived from it.
 
 No side is hinted: Spark broadcasts a side whose measured size allows it, and otherwise sorts and
-merges, with skewed partitions split at run time. The right side of each is unique on its key, so
-no join multiplies rows.
+merges, with skewed partitions of the left side split at run time. The right side is folded to one
+row per key, before its shuffle, so that no join multiplies rows and no key is hot on both sides.
 """
 
 from __future__ import annotations
@@ -21,8 +21,9 @@ def attach_cycle_starts(gaps: DataFrame, starts: DataFrame, spec: TelemetrySpec)
 
 
 def attach_target(cycles: DataFrame, df: DataFrame, spec: TelemetrySpec) -> DataFrame:
-    """The cycle table with the target of each device-day."""
-    return cycles.join(df.select(*spec.day_key, spec.target_col), spec.day_key, "left")
+    """The cycle table with the target of each device-day: the highest, where `df` repeats a day."""
+    targets = df.groupBy(*spec.day_key).agg(F.max(spec.target_col).alias(spec.target_col))
+    return cycles.join(targets, spec.day_key, "left")
 
 
 def rows_of_failed_cycles(cycles: DataFrame, df: DataFrame, spec: TelemetrySpec) -> DataFrame:
@@ -30,8 +31,7 @@ def rows_of_failed_cycles(cycles: DataFrame, df: DataFrame, spec: TelemetrySpec)
     the failing device-days; only those are shuffled.
     """
     failing = df.where(F.col(spec.target_col) == 1).select(*spec.day_key)
-    failed = cycles.join(failing, spec.day_key, "left_semi").select(*spec.cycle_key)
-    return members(cycles, failed, spec.cycle_key)
+    return members(cycles, members(cycles, failing, spec.day_key), spec.cycle_key)
 
 
 def with_cycle_columns(
@@ -45,4 +45,4 @@ def with_cycle_columns(
 
 def members(df: DataFrame, chosen: DataFrame, key: Sequence[str]) -> DataFrame:
     """Rows whose key is among the chosen, each once."""
-    return df.join(chosen, list(key), "left_semi")
+    return df.join(chosen.select(*key).distinct(), list(key), "left_semi")

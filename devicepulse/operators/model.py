@@ -10,11 +10,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from devicepulse.operators.splitting import Splits
+from devicepulse.sources.workspace import shared_folder
 from devicepulse.spec import TelemetrySpec
 
 
 def fit_classifier(train: DataFrame, spec: TelemetrySpec, **params) -> GBTClassificationModel:
-    """Fit on `target` and `features`; `params` go to the classifier."""
+    """Fit on `target` and `features`; `params` go to the classifier. Every few rounds it cuts its
+    lineage in the shared folder.
+    """
+    shared_folder(train.sparkSession)
     classifier = GBTClassifier(
         labelCol=spec.target_col, featuresCol="features", seed=spec.seed, **params
     )

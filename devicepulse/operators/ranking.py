@@ -95,7 +95,10 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequen
 
 
 def sort_rows(df: DataFrame, columns: Sequence[str | Column]) -> DataFrame:
-    """Total sort, by ranges. For use right before a sink."""
+    """Total sort, by ranges. For use right before a sink.
+
+    Rows that are equal in all sort columns share a task, so name columns that tell rows apart.
+    """
     return df.orderBy(*columns)
 
 

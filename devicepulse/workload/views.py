@@ -7,7 +7,7 @@ and constant columns are made from the row's own values, the same way in both fo
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from devicepulse.operators import cycles, dedup
@@ -20,10 +20,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _hundredths(name: str) -> Column:
+    """A non-negative number of two decimals as a whole number. `round` would go through decimals."""
+    return F.floor(F.col(name) * 100 + 0.5)
+
+
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw telemetry: several rows per device-day, markers in place."""
     k = F.regexp_extract("props", r"([0-9]+)", 1)
-    cents = F.round(F.col("value") * 100).cast("bigint")
+    cents = _hundredths("value")
     slot = F.col("event_id") % 50
     return table(spark, sf_dir, "events").select(
         "user_id",
@@ -159,9 +164,9 @@ def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_linenumber",
         "l_partkey",
         F.col("l_quantity").cast("bigint").alias("quantity"),
-        F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("price"),
-        F.round(F.col("l_discount") * 100).cast("bigint").alias("discount"),
-        F.round(F.col("l_tax") * 100).cast("bigint").alias("tax"),
+        _hundredths("l_extendedprice").alias("price"),
+        _hundredths("l_discount").alias("discount"),
+        _hundredths("l_tax").alias("tax"),
     )
 
 

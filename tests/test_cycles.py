@@ -42,8 +42,15 @@ def test_cycle_rows_fold_repeated_days(spark):
 
 def test_repeated_days_are_refused_where_order_matters(spark):
     df = telemetry(spark, [("A", 1, 0, 0.0), ("A", 1, 0, 1.0)])
-    with pytest.raises(Exception, match="keep one row per day"):
-        cycles.with_cycles(df, SPEC).collect()
+    keyed = df.withColumns({"cycle_seq": F.lit(1), "cycle_start": F.col("date")})
+    for broken in (
+        cycles.with_cycles(df, SPEC),
+        cycles.previous_day(df, SPEC),
+        cycles.forward_fill(df, ["smart_1_raw"], SPEC),
+        cycles.lag_features(keyed, SPEC),
+    ):
+        with pytest.raises(Exception, match="keep one row per day"):
+            broken.collect()
 
 
 def test_lags_stay_within_the_cycle(spark):
@@ -142,6 +149,13 @@ def test_numbers_are_dense_and_in_key_order(spark):
     assert want.agg(F.min("cycle_id"), F.max("cycle_id"), F.count_distinct("cycle_id")).first()[0] == 1
 
 
+def test_numbering_keeps_devices_without_a_model(spark):
+    df = telemetry(spark, [(s, d, 0, 0.0) for s in "AB" for d in (1, 2, 5)])
+    df = df.withColumn("model", F.when(F.col("serial_number") == "A", F.col("model")))
+    numbered = cycles.number_cycles(cycles.cycle_rows(df, SPEC), SPEC)
+    assert rows_of(numbered, "serial_number", "cycle_id") == [(s, n) for s, n in zip("AAABBB", (1, 1, 2, 3, 3, 4))]
+
+
 def test_first_row_per_gap_is_the_earliest(spark):
     df = telemetry(spark, [("A", d, 0, 0.0) for d in (1, 2, 4, 6, 7)])
     got = dedup.first_row_per_gap(cycles.day_gaps(df, SPEC), SPEC)

@@ -119,6 +119,20 @@ def test_hot_days_are_folded_before_the_cycle_shuffle(spark, hot_dir):
     assert max(written) < ROWS * 2 / 3 + 16 * 30 + 100
 
 
+def test_hot_failing_days_are_folded_before_their_joins(spark, hot_dir, settings):
+    """No side is small enough to broadcast; raw readings are the table of failures."""
+    settings("spark.sql.autoBroadcastJoinThreshold", "-1")
+    settings("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    raw = views.readings(spark, hot_dir).withColumn("failure", F.lit(1))
+    rows = cycles.cycle_rows(raw, SPEC)
+    got = joins.rows_of_failed_cycles(rows, raw, SPEC)
+    assert got.count() == rows.count()
+    assert max(_written_rows(got)) < ROWS * 2 / 3 + 16 * 30 + 100
+    targets = joins.attach_target(rows, raw, SPEC)
+    assert max(_written_rows(targets)) < ROWS * 2 / 3 + 16 * 30 + 100
+    assert targets.where("failure = 1").count() == rows.count()
+
+
 def test_raw_rows_of_a_hot_day_are_split_at_run_time(spark, hot_dir, settings, con):
     """Cycle columns on raw readings: the partition of the hot device-day is read in pieces."""
     settings("spark.sql.autoBroadcastJoinThreshold", "-1")
