@@ -60,7 +60,8 @@ class Layout:
 def report_rows(layout: Layout, name: str, rows: int, kept: int) -> None:
     """How many rows a null drop took. The counts come from tables already written."""
     spark = SparkSession.active()
-    report = spark.createDataFrame([(rows, kept, rows - kept)], "rows bigint, kept bigint, dropped bigint")
+    counts = {"rows": rows, "kept": kept, "dropped": rows - kept}
+    report = spark.range(1).select(*[F.lit(n).cast("bigint").alias(c) for c, n in counts.items()])
     write_scores(report, layout.artefact(name))
 
 
@@ -147,9 +148,12 @@ def feature_job(
     keep, train = [spec.target_col, "split"], named.where(F.col("split") == "train")
     if exact:
         factors = scaling.exact_factors(train, features)
-        rows = [(i, c, x) for i, (c, x) in enumerate(factors.items())]
-        table = spark.createDataFrame(rows, "position int, column_name string, factor double")
-        write_table(table.coalesce(1), layout.artefact("factors"), mode=mode)
+        lines = [
+            F.struct(F.lit(i).alias("position"), F.lit(c).alias("column_name"), F.lit(x).alias("factor"))
+            for i, (c, x) in enumerate(factors.items())
+        ]
+        table = spark.range(1).coalesce(1).select(F.inline(F.array(*lines)))
+        write_table(table, layout.artefact("factors"), mode=mode)
         scaled = scaling.scale_by_factors(named, factors, keep)
     else:
         scaler = scaling.fit_scaler(train, features)

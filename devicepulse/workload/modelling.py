@@ -68,19 +68,18 @@ def fea2_fitted_scaler(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["quantity", "price", "discount", "tax"]
     rows = views.shipment_days(spark, sf_dir)
     ranges = scaling.fit_scaler(rows, columns).stages[1].range
-    fitted = spark.createDataFrame(
-        [(c, float(r)) for c, r in zip(columns, ranges, strict=True)], "column_name string, fitted double"
-    )
+    named = {c: float(r) for c, r in zip(columns, ranges, strict=True)}
+    fitted = F.create_map(*[F.lit(x) for pair in named.items() for x in pair])
     points = (0.23, 0.27, 0.73, 0.77)
     exact = ranking.exact_quantiles(rows, columns, points).groupBy("column_name").agg(
         *[F.max(F.when(F.col("probability") == p, F.col("quantile"))).alias(f"at{int(p * 100)}") for p in points]
     )
     least, most = F.col("at73") - F.col("at27"), F.col("at77") - F.col("at23")
-    return exact.join(fitted, "column_name").select(
+    return exact.select(
         "column_name",
         F.round(least, 6).alias("least"),
         F.round(most, 6).alias("most"),
-        F.col("fitted").between(least, most).alias("range_is_between"),
+        fitted[F.col("column_name")].between(least, most).alias("range_is_between"),
     )
 
 
