@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from devicepulse.operators.ranking import exact_quantiles
 from devicepulse.spec import TelemetrySpec, numeric_cols
@@ -68,17 +70,60 @@ def null_fractions(df: DataFrame) -> dict[str, float | None]:
     return {c: (rows - n) / rows if rows else None for c, n in zip(df.columns, present, strict=True)}
 
 
-def distinct_profile(df: DataFrame, approximate: bool = False, rsd: float = 0.02) -> DataFrame:
-    """Distinct values of every column.
+def _lane(field: T.StructField) -> tuple[str, Column]:
+    """Which of three plain columns can hold every value of the field apart, and the value there."""
+    column, kind = _c(field.name), field.dataType
+    if isinstance(kind, (T.IntegralType, T.BooleanType)):
+        return "whole", column.cast("bigint")
+    if isinstance(kind, T.DateType):
+        return "whole", F.unix_date(column).cast("bigint")
+    if isinstance(kind, T.TimestampType):
+        return "whole", F.unix_micros(column)
+    if isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType):
+        return "real", column.cast("double")
+    if isinstance(kind, T.BinaryType):
+        return "text", F.hex(column)
+    if isinstance(kind, (T.ArrayType, T.StructType)):
+        return "text", F.to_json(column)
+    return "text", column.cast("string")
 
-    The exact form multiplies rows by columns before its partial aggregation; for a wide table
-    at scale the sketch is the cheaper choice, and `constant_flags` answers the constant test.
-    """
 
-    def count(name: str) -> Column:
-        return F.approx_count_distinct(_c(name), rsd) if approximate else F.count_distinct(_c(name))
+def distinct_profile(df: DataFrame, approximate: bool = False, rsd: float = 0.02) -> DataFrame:
+    """Distinct values of every column, exact or by a sketch per column.
 
-    return _per_column(df, {c: {"distinct_count": count(c)} for c in df.columns})
+    Each cell becomes a short row of its column's position and its value. A distinct count per
+    column in one aggregation would instead carry all columns in every such row, and fails to
+    scale with the width. Values are folded before the shuffle, so a value that most rows hold
+    is one row per task. For the constant test, `constant_flags` needs neither.
+    """
+    empty = {"whole": "bigint", "real": "double", "text": "string"}
+    lanes = {f.name: _lane(f) for f in df.schema.fields}
+    used = [lane for lane in empty if lane in {lane for lane, _ in lanes.values()}]
+    cells = df.select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(i).alias("at"),
+                        *[(value if u == lane else F.lit(None).cast(empty[u])).alias(u) for u in used],
+                    )
+                    for i, (lane, value) in enumerate(lanes.values())
+                ]
+            )
+        )
+    )
+    present = reduce(Column.__or__, [F.col(u).isNotNull() for u in used])
+    if approximate:
+        value = F.when(present, F.xxhash64(*used))
+        counts = cells.groupBy("at").agg(F.approx_count_distinct(value, rsd).alias("n"))
+    else:
+        counts = cells.groupBy("at", *used).agg(F.count("*")).groupBy("at").agg(F.count_if(present).alias("n"))
+    names = df.sparkSession.range(1).select(
+        F.posexplode(F.array(*[F.lit(c) for c in df.columns])).alias("at", "column_name")
+    )
+    return names.join(counts, "at", "left").select(
+        "column_name", F.coalesce("n", F.lit(0).cast("bigint")).alias("distinct_count")
+    )
 
 
 def _is_constant(name: str) -> Column:

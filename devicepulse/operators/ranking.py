@@ -54,25 +54,23 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequen
     held by most rows is one row per task), put in order by ranges, and the two values around
     each wanted position are picked by their running counts. Nulls are ignored.
     """
+    # Columns go by position up to the end: a number is cheaper than a name to group and sort by.
     cells = df.select(
         F.inline(
             F.array(
                 *[
-                    F.struct(
-                        F.lit(c).alias("column_name"),
-                        F.col(f"`{c}`").cast("double").alias("reading"),
-                    )
-                    for c in columns
+                    F.struct(F.lit(i).alias("at"), F.col(f"`{c}`").cast("double").alias("reading"))
+                    for i, c in enumerate(columns)
                 ]
             )
         )
     ).where(F.col("reading").isNotNull())
-    counted = cells.groupBy("column_name", "reading").agg(F.count("*").alias("n"))
-    ranked = running_total(counted, ["reading"], F.col("n"), "through", within=["column_name"])
-    totals = ranked.groupBy("column_name").agg(F.max("through").alias("total"))
+    counted = cells.groupBy("at", "reading").agg(F.count("*").alias("n"))
+    ranked = running_total(counted, ["reading"], F.col("n"), "through", within=["at"])
+    totals = ranked.groupBy("at").agg(F.max("through").alias("total"))
     # One row per column and probability: bounded by the arguments.
     wanted = totals.select(
-        "column_name",
+        "at",
         "total",
         F.explode(F.array(*[F.lit(float(p)) for p in probabilities])).alias("probability"),
     ).withColumn("position", (F.col("total") - 1) * F.col("probability"))
@@ -81,14 +79,15 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequen
     holds_low = (first <= low) & (low < F.col("through"))
     holds_high = (first <= high) & (high < F.col("through"))
     around = (
-        ranked.join(F.broadcast(wanted), "column_name")
+        ranked.join(F.broadcast(wanted), "at")
         .where(holds_low | holds_high)
-        .groupBy("column_name", "probability", "position")
+        .groupBy("at", "probability", "position")
         .agg(F.min("reading").alias("below"), F.max("reading").alias("above"))
     )
     part = F.col("position") - F.floor("position")
+    names = F.array(*[F.lit(c) for c in columns])
     return around.select(
-        "column_name",
+        names[F.col("at")].alias("column_name"),
         "probability",
         (F.col("below") + (F.col("above") - F.col("below")) * part).alias("quantile"),
     )

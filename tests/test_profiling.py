@@ -87,3 +87,21 @@ def test_column_choice_by_type(df):
     assert numeric_cols(df) == ["failure", "smart_1_raw"]
     assert non_string_cols(df) == ["date", "failure", "smart_1_raw"]
     assert SPEC.feature_cols(df) == ["smart_1_raw"]
+
+
+def test_distinct_counts_of_every_type(spark):
+    df = spark.sql("""
+      SELECT id % 3 AS whole, id % 2 = 0 AS flag, CAST(id % 5 AS DECIMAL(9, 2)) AS money,
+        IF(id % 2 = 0, 0.0D, -0.0D) AS zero, IF(id % 4 = 0, CAST('NaN' AS DOUBLE), 1.5D) AS nan,
+        CAST(id % 7 AS STRING) AS text, CAST(CAST(id % 2 AS STRING) AS BINARY) AS bytes,
+        DATE_ADD(DATE '2016-01-01', CAST(id % 6 AS INT)) AS day, TIMESTAMP_SECONDS(id % 8) AS moment,
+        CAST(TIMESTAMP_SECONDS(id % 9) AS TIMESTAMP_NTZ) AS local, ARRAY(CAST(id % 2 AS STRING), ',') AS many,
+        STRUCT(id % 3 AS a, 'x' AS b) AS pair, CAST(NULL AS INT) AS none, IF(id > 5, 9, NULL) AS some
+      FROM range(100)""")
+    exact = by_column(profiling.distinct_profile(df))
+    want = df.agg(*[F.count_distinct(c).alias(c) for c in df.columns]).first().asDict()
+    assert {c: r["distinct_count"] for c, r in exact.items()} == want
+    sketch = by_column(profiling.distinct_profile(df, approximate=True))
+    assert {c: r["distinct_count"] for c, r in sketch.items()} == want
+    nothing = by_column(profiling.distinct_profile(df.limit(0)))
+    assert {r["distinct_count"] for r in nothing.values()} == {0} and len(nothing) == len(df.columns)
