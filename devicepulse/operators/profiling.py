@@ -19,14 +19,30 @@ def _c(name: str) -> Column:
 
 def _per_column(df: DataFrame, measures: dict[str, dict[str, Column]]) -> DataFrame:
     """Aggregate once over the table, then lay the one row out as a row per column."""
-    row = df.agg(
-        *[m.alias(f"{i}_{k}") for i, ms in enumerate(measures.values()) for k, m in ms.items()]
+    kinds = list(next(iter(measures.values())))
+    row = df.agg(*[m.alias(f"{k}_{i}") for i, ms in enumerate(measures.values()) for k, m in ms.items()])
+    packed = row.select(
+        F.array(*[F.lit(c) for c in measures]).alias("column_name"),
+        *[F.array(*[F.col(f"{k}_{i}") for i in range(len(measures))]).alias(k) for k in kinds],
     )
+    return packed.select(F.inline(F.arrays_zip("column_name", *kinds)))
+
+
+def _cells(df: DataFrame, values: Sequence[dict[str, Column]]) -> DataFrame:
+    """A short row per cell: the position of its column (`at`) and its value."""
     lines = [
-        F.struct(F.lit(c).alias("column_name"), *[F.col(f"`{i}_{k}`").alias(k) for k in ms])
-        for i, (c, ms) in enumerate(measures.items())
+        F.struct(F.lit(i).alias("at"), *[v.alias(k) for k, v in value.items()])
+        for i, value in enumerate(values)
     ]
-    return row.select(F.inline(F.array(*lines)))
+    return df.select(F.inline(F.array(*lines)))
+
+
+def _named(df: DataFrame, columns: Sequence[str], by_position: DataFrame) -> DataFrame:
+    """Column names in place of positions; a column without cells has a row all the same."""
+    names = df.sparkSession.range(1).select(
+        F.posexplode(F.array(*[F.lit(c) for c in columns])).alias("at", "column_name")
+    )
+    return names.join(by_position, "at", "left").drop("at")
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -99,18 +115,12 @@ def distinct_profile(df: DataFrame, approximate: bool = False, rsd: float = 0.02
     empty = {"whole": "bigint", "real": "double", "text": "string"}
     lanes = {f.name: _lane(f) for f in df.schema.fields}
     used = [lane for lane in empty if lane in {lane for lane, _ in lanes.values()}]
-    cells = df.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(i).alias("at"),
-                        *[(value if u == lane else F.lit(None).cast(empty[u])).alias(u) for u in used],
-                    )
-                    for i, (lane, value) in enumerate(lanes.values())
-                ]
-            )
-        )
+    cells = _cells(
+        df,
+        [
+            {u: value if u == lane else F.lit(None).cast(empty[u]) for u in used}
+            for lane, value in lanes.values()
+        ],
     )
     present = reduce(Column.__or__, [F.col(u).isNotNull() for u in used])
     if approximate:
@@ -118,10 +128,7 @@ def distinct_profile(df: DataFrame, approximate: bool = False, rsd: float = 0.02
         counts = cells.groupBy("at").agg(F.approx_count_distinct(value, rsd).alias("n"))
     else:
         counts = cells.groupBy("at", *used).agg(F.count("*")).groupBy("at").agg(F.count_if(present).alias("n"))
-    names = df.sparkSession.range(1).select(
-        F.posexplode(F.array(*[F.lit(c) for c in df.columns])).alias("at", "column_name")
-    )
-    return names.join(counts, "at", "left").select(
+    return _named(df, df.columns, counts).select(
         "column_name", F.coalesce("n", F.lit(0).cast("bigint")).alias("distinct_count")
     )
 
@@ -195,49 +202,44 @@ def class_means(df: DataFrame, spec: TelemetrySpec, columns: Sequence[str] | Non
     return df.groupBy(spec.target_col).agg(*[F.mean(_c(c)).alias(c) for c in columns])
 
 
-def _moments(name: str) -> dict[str, Column]:
-    number = _c(name).cast("double")
-    return {
-        "rows": F.count(_c(name)),
-        "mean": F.avg(number),
-        "stddev": F.stddev(number),
-        "min": F.min(number),
-        "max": F.max(number),
-    }
+QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 
 
 def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Count, mean, standard deviation, minimum and maximum of the numeric columns."""
-    return _per_column(df, {c: _moments(c) for c in columns or numeric_cols(df)})
+    return _moments(df, list(columns or numeric_cols(df)), {})
+
+
+def _moments(df: DataFrame, columns: list[str], more: dict[str, Column]) -> DataFrame:
+    cells = _cells(df, [{"reading": _c(c).cast("double")} for c in columns])
+    measures = {
+        "rows": F.count("reading"),
+        "mean": F.avg("reading"),
+        "stddev": F.stddev("reading"),
+        "min": F.min("reading"),
+        "max": F.max("reading"),
+        **more,
+    }
+    profile = cells.groupBy("at").agg(*[m.alias(k) for k, m in measures.items()])
+    return _named(df, columns, profile).na.fill(0, ["rows"])
 
 
 def summary(
     df: DataFrame, columns: Sequence[str] | None = None, exact: bool = False, accuracy: int = 10000
 ) -> DataFrame:
-    """The same plus quartiles: by sketch in the same pass, or exact and interpolated."""
-    columns = list(columns or numeric_cols(df))
-    points = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
+    """The same plus quartiles: by one sketch per column in the same pass, or exact and interpolated."""
+    columns, points = list(columns or numeric_cols(df)), list(QUARTILES.values())
     if not exact:
-        # One sketch per column answers all three points.
-        profile = _per_column(
-            df,
-            {
-                c: {
-                    **_moments(c),
-                    "_quartiles": F.percentile_approx(
-                        _c(c).cast("double"), list(points.values()), accuracy
-                    ),
-                }
-                for c in columns
-            },
-        )
-        return profile.select(
-            *[c for c in profile.columns if c != "_quartiles"],
-            *[F.col("_quartiles").getItem(i).alias(k) for i, k in enumerate(points)],
-        )
-    quartiles = exact_quantiles(df, columns, list(points.values()))
+        sketch = F.percentile_approx("reading", points, accuracy)
+        profile = _moments(df, columns, {"quartiles": sketch})
+        at = {k: F.col("quartiles").getItem(i) for i, k in enumerate(QUARTILES)}
+        return profile.withColumns(at).drop("quartiles")
+    quartiles = exact_quantiles(df, columns, points)
     wide = quartiles.groupBy("column_name").agg(
-        *[F.max(F.when(F.col("probability") == p, F.col("quantile"))).alias(k) for k, p in points.items()]
+        *[
+            F.max(F.when(F.col("probability") == p, F.col("quantile"))).alias(k)
+            for k, p in QUARTILES.items()
+        ]
     )
     return describe(df, columns).join(wide, "column_name", "left")
 

@@ -1,5 +1,5 @@
 import pytest
-from helpers import SPEC, day, rows_of, telemetry
+from helpers import SPEC, day, plan_of, rows_of, telemetry
 from pyspark.sql import functions as F
 
 from devicepulse.operators import cycles, profiling
@@ -105,3 +105,24 @@ def test_distinct_counts_of_every_type(spark):
     assert {c: r["distinct_count"] for c, r in sketch.items()} == want
     nothing = by_column(profiling.distinct_profile(df.limit(0)))
     assert {r["distinct_count"] for r in nothing.values()} == {0} and len(nothing) == len(df.columns)
+
+
+def test_wide_tables(spark):
+    """Profiles of 150 columns: slim rows, no row that carries all columns."""
+    df = spark.range(400).select(*[(F.xxhash64("id", F.lit(i)) % (i + 2)).cast("double").alias(f"c{i}") for i in range(150)])
+    profile = profiling.distinct_profile(df)
+    assert "Expand" not in plan_of(profile)
+    counts = {c: r["distinct_count"] for c, r in by_column(profile).items()}
+    for c in ("c0", "c70", "c149"):
+        assert counts[c] == df.select(c).distinct().count()
+    described = by_column(profiling.describe(df))
+    want = {r["summary"]: r for r in df.describe().collect()}
+    for c in df.columns:
+        assert described[c]["mean"] == pytest.approx(float(want["mean"][c]))
+        assert described[c]["stddev"] == pytest.approx(float(want["stddev"][c]))
+    assert len(by_column(profiling.null_profile(df))) == 150
+
+
+def test_describing_nothing_gives_a_row_per_column(df):
+    got = by_column(profiling.describe(df.limit(0)))
+    assert {c: (r["rows"], r["mean"]) for c, r in got.items()} == {"failure": (0, None), "smart_1_raw": (0, None)}
