@@ -32,6 +32,8 @@ CHECKED = [
     "jon5_telemetry_with_failed_cycles",
     "jon6_rows_of_each_split",
     "fea3_scale_for_training",
+    "job1_drop_duplicates",
+    "job2_preprocess",
     "mod3_weighted_f1",
     "srt1_device_day_order",
     "lim3_top_devices",
