@@ -213,12 +213,15 @@ class ScoringKit:
         )
 
 
-def scoring_rows(rows: DataFrame, kit: ScoringKit, spec: TelemetrySpec) -> DataFrame:
+def scoring_rows(
+    rows: DataFrame, kit: ScoringKit, spec: TelemetrySpec, unique_days: bool = False
+) -> DataFrame:
     """New rows laid out as the training table: cleaned, one per device-day, with cycles and lags.
 
-    Cycles are added in place, so that cycles and lags share one shuffle by device.
+    Cycles are added in place, so that cycles and lags share one shuffle by device. `unique_days`
+    says that device-days are unique already, which saves the other one.
     """
-    one = dedup.one_row_per_day(rows, spec)
+    one = rows if unique_days else dedup.one_row_per_day(rows, spec)
     typed = cleaning.select_as(cleaning.parse_sentinels(one), kit.preprocessed)
     aligned = cleaning.parse_sentinels(typed)
     lagged = cycles.lag_features(cycles.with_cycles(aligned, spec), spec)
@@ -226,9 +229,11 @@ def scoring_rows(rows: DataFrame, kit: ScoringKit, spec: TelemetrySpec) -> DataF
     return lagged.select(*names)
 
 
-def score_rows(rows: DataFrame, kit: ScoringKit, spec: TelemetrySpec) -> DataFrame:
+def score_rows(
+    rows: DataFrame, kit: ScoringKit, spec: TelemetrySpec, unique_days: bool = False
+) -> DataFrame:
     """Predictions with device and date. Rows without a full set of lags cannot be scored."""
-    complete = cleaning.drop_incomplete(scoring_rows(rows, kit, spec))
+    complete = cleaning.drop_incomplete(scoring_rows(rows, kit, spec, unique_days))
     keep = spec.day_key
     scaled = scaling.scale_features(complete, kit.scaler, kit.num_features.names, keep)
     usable = cleaning.drop_incomplete(
@@ -252,13 +257,15 @@ def inference_job(
     `nrows` keeps the first rows in key order, as a trial run does; by default all are scored.
     How many device-days got no prediction, for want of lags, is reported next to the artefacts.
     """
-    rows = layout.read(spark, "cleaned") if source is None else read_table(spark, source, fmt, schema)
+    unique_days = source is None
+    rows = layout.read(spark, "cleaned") if unique_days else read_table(spark, source, fmt, schema)
     if nrows is not None:
         rows = ranking.first_rows(rows, spec.day_key, nrows)
-    predictions = score_rows(rows, ScoringKit.load(spark, layout, spec), spec)
+    predictions = score_rows(rows, ScoringKit.load(spark, layout, spec), spec, unique_days)
     # Vectors have no CSV form, so predictions are Parquet whatever the other tables are.
     write_table(predictions, layout.table("predictions"), mode=mode)
     written = read_table(spark, layout.table("predictions"))
-    report_rows(layout, "scored_rows", cycles.device_days(rows, spec).count(), written.count())
+    days = rows if unique_days else cycles.device_days(rows, spec)
+    report_rows(layout, "scored_rows", days.count(), written.count())
     return written
 

@@ -1,7 +1,7 @@
 import sys
 
 import pytest
-from helpers import SPEC, bag
+from helpers import SPEC, bag, plan_of
 from pyspark.sql import functions as F
 
 from devicepulse.operators import cycles, model, scaling
@@ -116,6 +116,13 @@ def test_raw_rows_score_as_cleaned_rows(spark, run):
     assert bag(from_raw) == bag(run["predictions"].select(*columns))
 
 
+def test_scoring_unique_days_takes_one_shuffle(spark, run):
+    kit = jobs.ScoringKit.load(spark, run["layout"], run["spec"])
+    cleaned = run["layout"].read(spark, "cleaned")
+    assert plan_of(jobs.score_rows(cleaned, kit, SPEC, True)).count("Exchange hashpartitioning") == 1
+    assert plan_of(jobs.score_rows(cleaned, kit, SPEC)).count("Exchange hashpartitioning") == 2
+
+
 def test_unscored_rows_are_reported(spark, run):
     report = spark.read.json(run["layout"].artefact("scored_rows")).first()
     assert report.rows == run["deduplicated"].count()
@@ -134,6 +141,9 @@ def test_exact_scaling_is_near_the_sketched(spark, run, tmp_path):
     assert factors.count() == load_manifest(spark, other.manifest("num_feature")).names.__len__()
 
 
+# From here on the predictions are overwritten.
+
+
 def test_first_rows_only(spark, run):
     few = jobs.inference_job(spark, run["layout"], run["spec"], nrows=50)
     assert 0 < few.count() <= 50
@@ -154,3 +164,16 @@ def test_command_line(spark, run, tmp_path, monkeypatch):
     assert bag(layout.read(spark, "deduplicated")) == bag(run["deduplicated"])
     with pytest.raises(SystemExit):
         cli.main(["drop-duplicates", *root])
+
+
+def test_new_source_is_deduplicated_and_reported(spark, run):
+    """The raw CSV with repeated device-days, scored by the job."""
+    scored = jobs.inference_job(
+        spark, run["layout"], run["spec"], run["source"], "csv", schema=run["raw"].schema
+    )
+    columns = [*SPEC.day_key, "prediction"]
+    kit = jobs.ScoringKit.load(spark, run["layout"], run["spec"])
+    cleaned = run["layout"].read(spark, "cleaned")
+    assert bag(scored.select(*columns)) == bag(jobs.score_rows(cleaned, kit, SPEC, True).select(*columns))
+    report = spark.read.json(run["layout"].artefact("scored_rows")).first()
+    assert (report.rows, report.kept) == (run["deduplicated"].count(), scored.count())
