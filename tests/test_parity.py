@@ -6,9 +6,9 @@ import pytest
 from parity import connect, differences
 
 import __spark_entry__ as entry_module
+from devicepulse.workload.catalog import QUERIES, SQL
 
 SF_DIR = os.environ.get("PARITY_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, SQL = entry_module.queries(), entry_module.oracle_sql()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="driver tables are not here")
 
@@ -27,6 +27,11 @@ def test_every_query_has_a_twin():
     assert set(SQL) == set(QUERIES)
 
 
+def test_every_query_is_registered():
+    assert set(QUERIES) <= set(entry_module.queries())
+    assert set(SQL) <= set(entry_module.oracle_sql())
+
+
 def test_entry(spark):
     first, second = entry_module.entry(spark), entry_module.entry(spark)
     assert first.count() > 0 and first.schema == second.schema
