@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from devicepulse.llm import bpe, quality_rules
+from devicepulse.llm import bpe, mixing, quality_rules
 from devicepulse.llm.common import table
 from devicepulse.llm.registry import query
 
@@ -84,3 +84,9 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         (~quality_rules.passes(base)).alias("base_failed"),
         quality_rules.passes(quality_rules.PRODUCTION).alias("kept"),
     )
+
+
+@query()
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.mix_sources(docs).drop("source")
