@@ -24,15 +24,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from devicepulse.llm.common import sized
+from devicepulse.llm.common import sized, slices
 
 # Fixed: how byte-level vocabularies cut a text into pieces before merging.
 PIECES = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )
-# A space beside other white space, or at an end.
-SPACE_RUN = regex.compile(r" \s|\s |^ | $")
-CACHE = 600_000  # entries of each cache
+CACHE = 200_000  # words in a generation of a worker's cache; pieces and pairs by half
 LONG = 48  # characters; longer texts rarely repeat and are not kept
 BATCH_BYTES = 4 << 20
 
@@ -44,33 +42,82 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+class _SpaceRun(Exception):
+    """A space beside other white space, or at an end."""
+
+
 class _Kept(dict):
-    """Ids by text; those of a new text are made when it is looked up."""
+    """Ids by text; those of a new text are made when it is looked up.
+
+    A full generation makes room for the next, and what is looked up again moves into that one.
+    """
 
-    def __init__(self, make: Callable[[str], tuple[int, ...]]):
-        self.make = make
+    def __init__(self, make: Callable[[str], tuple[int, ...]], most: int):
+        self.make, self.most, self.older = make, most, {}
 
     def __missing__(self, text: str) -> tuple[int, ...]:
-        ids = self.make(text)
+        ids = self.older.get(text)
+        if ids is None:
+            ids = self.make(text)
         if len(text) <= LONG:
-            if len(self) >= CACHE:
+            if len(self) >= self.most:
+                self.older = dict(self)
                 self.clear()
             self[text] = ids
         return ids
 
 
+class TokenBytes:
+    """The bytes of each token id, from the text of a tokenizer file: what decoding needs."""
+
+    def __init__(self, spec: dict):
+        letters = byte_letters()
+        tokens = {i: bytes(letters[c] for c in t) for t, i in spec["model"]["vocab"].items()}
+        tokens |= {a["id"]: a["content"].encode() for a in spec.get("added_tokens", [])}
+        self.known = np.zeros(max(tokens) + 1, bool)
+        self.known[list(tokens)] = True
+        ordered = [tokens.get(i, b"") for i in range(len(self.known))]
+        self.size = np.fromiter(map(len, ordered), np.int64, len(ordered))
+        self.begin = np.cumsum(self.size) - self.size
+        self.data = np.frombuffer(b"".join(ordered), np.uint8)
+
+    def join(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of all ids in a row, and where each id's end. Unknown ids raise."""
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.known) or not self.known[ids].all()):
+            raise ValueError("an id is not in the vocabulary")
+        size = self.size[ids]
+        ends = np.cumsum(size)
+        move = np.repeat(self.begin[ids] - (ends - size), size)
+        return self.data[np.arange(len(move)) + move], ends
+
+    def decode(self, ids: list[int]) -> str:
+        """Bytes that are no UTF-8 become replacement characters."""
+        return self.join(np.array(ids, np.int64))[0].tobytes().decode("utf-8", "replace")
+
+    def texts(self, ids: np.ndarray, starts: np.ndarray) -> pa.Array:
+        """The texts of id lists that lie in a row, list i from starts[i] to starts[i + 1]."""
+        data, ends = self.join(ids)
+        at = np.concatenate([[0], ends])[starts]
+        whole = data.tobytes()
+        try:
+            whole.decode()
+            inner = at[:-1][at[:-1] < len(data)]
+            valid = not (data[inner] & 0xC0 == 0x80).any()
+        except UnicodeDecodeError:
+            valid = False
+        if valid:
+            return pa.StringArray.from_buffers(len(at) - 1, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(whole))
+        return pa.array([whole[a:b].decode("utf-8", "replace") for a, b in zip(at, at[1:])], pa.string())
+
+
 class Vocabulary:
     """A byte-level BPE vocabulary, from the text of a tokenizer file."""
 
-    def __init__(self, content: str):
-        spec = json.loads(content)
+    def __init__(self, spec: dict):
         model, splitter = spec["model"], spec["pre_tokenizer"] or {}
         odd = model["type"] != "BPE" or splitter.get("type") != "ByteLevel" or spec.get("normalizer")
         if odd or splitter.get("add_prefix_space") or not splitter.get("use_regex", True):
             raise ValueError("only byte-level BPE without a normalizer or a prefix space is supported")
-        letters = byte_letters()
-        raw = lambda token: bytes(letters[c] for c in token)
-        self.bytes_of: dict[int, bytes] = {i: raw(t) for t, i in model["vocab"].items()}
         self.merged: dict[tuple[int, int], tuple[int, int]] = {}
         self.parts: dict[int, tuple[int, int, int]] = {}
         ids = model["vocab"]
@@ -83,9 +130,11 @@ class Vocabulary:
             if whole not in self.parts and self._meet(left, right, rank):
                 self.parts[whole] = rank, left, right
         automaton = ahocorasick.Automaton()
-        for i, token in self.bytes_of.items():
+        letters = byte_letters()
+        for token, i in ids.items():
             if len(token) == 1 or i in self.parts:
-                automaton.add_word(token.decode("latin-1"), (i, len(token)))
+                raw = bytes(letters[c] for c in token)
+                automaton.add_word(raw.decode("latin-1"), (i, len(raw)))
         automaton.make_automaton()
         self.automaton = automaton
         self.special = {}
@@ -93,11 +142,10 @@ class Vocabulary:
             if added["lstrip"] or added["rstrip"] or added["single_word"]:
                 raise ValueError("added tokens that strip or need whole words are not supported")
             self.special[added["content"]] = added["id"]
-            self.bytes_of[added["id"]] = added["content"].encode()
         longest = sorted(self.special, key=len, reverse=True)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, longest)) + ")") if longest else None
-        self.pieces = _Kept(lambda piece: self.encode_piece(piece.encode()))
-        self.spaced = _Kept(lambda word: tuple(self._pieces(" " + word)))
+        self.pieces = _Kept(lambda piece: self.encode_piece(piece.encode()), CACHE // 2)
+        self.spaced = _Kept(self._word, CACHE)
         self.tested: dict[tuple[int, int], bool] = {}
 
     def _meet(self, left: int, right: int, rank: float) -> bool:
@@ -123,7 +171,7 @@ class Vocabulary:
 
     def _compatible(self, left: int, right: int) -> bool:
         """Whether two tokens side by side are the encoding of their bytes."""
-        if len(self.tested) >= CACHE:
+        if len(self.tested) >= CACHE // 2:
             self.tested.clear()
         known = self.tested[left, right] = self._meet(left, right, float("inf"))
         return known
@@ -153,20 +201,28 @@ class Vocabulary:
     def _pieces(self, text: str) -> Iterator[int]:
         return chain.from_iterable(map(self.pieces.__getitem__, PIECES.findall(text)))
 
-    def _plain(self, text: str) -> Iterator[int]:
+    def _word(self, word: str) -> tuple[int, ...]:
+        if not word or word[0].isspace() or word[-1].isspace():
+            raise _SpaceRun
+        return tuple(self._pieces(" " + word))
+
+    def _plain(self, text: str) -> list[int]:
         """The ids of a text without special tokens.
 
         A piece always begins at a space between two characters that are no white space, so such
         texts are looked up word by word; runs of white space need the whole text at once.
         """
-        if SPACE_RUN.search(text):
-            return self._pieces(text)
         first, *rest = text.split(" ")
-        return chain(self._pieces(first), chain.from_iterable(map(self.spaced.__getitem__, rest)))
+        if rest and (not first or first[-1].isspace()):
+            return list(self._pieces(text))
+        try:
+            return [*self._pieces(first), *chain.from_iterable(map(self.spaced.__getitem__, rest))]
+        except _SpaceRun:
+            return list(self._pieces(text))
 
     def encode(self, text: str) -> list[int]:
         if self.cut is None or not any(s in text for s in self.special):
-            return list(self._plain(text))
+            return self._plain(text)
         ids: list[int] = []
         for part in self.cut.split(text):
             if part in self.special:
@@ -175,20 +231,16 @@ class Vocabulary:
                 ids.extend(self._plain(part))
         return ids
 
-    def decode(self, ids: list[int]) -> str:
-        """Bytes that are no UTF-8 become replacement characters; unknown ids raise."""
-        return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
-
 
-_LOADED: dict[int, Vocabulary] = {}
+_LOADED: dict[tuple[type, int], object] = {}
 
 
-def _vocabulary(shared) -> Vocabulary:
-    """One per worker process and broadcast."""
-    if shared.id not in _LOADED:
+def _loaded(kind: type, shared):
+    """One of each kind per worker process."""
+    if (kind, shared.id) not in _LOADED:
         _LOADED.clear()
-        _LOADED[shared.id] = Vocabulary(shared.value)
-    return _LOADED[shared.id]
+        _LOADED[kind, shared.id] = kind(json.loads(shared.value))
+    return _LOADED[kind, shared.id]
 
 
 class _Shared:
@@ -207,7 +259,7 @@ def load(df: DataFrame, path: str) -> _Shared:
     """Read a vocabulary file on the driver, for several calls over one session."""
     with open(path, encoding="utf-8") as f:
         content = f.read()
-    Vocabulary(content)  # an unsupported file fails here, not in a task
+    Vocabulary(json.loads(content))  # an unsupported file fails here, not in a task
     return _Shared(df.sparkSession, content)
 
 
@@ -229,7 +281,7 @@ def encode(df: DataFrame, vocabulary: _Shared, text: str = "text", ids: str = "i
     first, schema = _with(df, text, **{ids: T.ArrayType(T.IntegerType(), False)})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _vocabulary(vocabulary)
+        coder = _loaded(Vocabulary, vocabulary)
         for batch in sized(batches, 0, BATCH_BYTES):
             lists = [coder.encode(t) if t else [] for t in batch.column(0).to_pylist()]
             ends = np.cumsum([0, *map(len, lists)], dtype=np.int32)
@@ -246,12 +298,12 @@ def decode(df: DataFrame, vocabulary: _Shared, ids: str = "ids", text: str = "te
     first, schema = _with(df, ids, **{text: T.StringType()})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _vocabulary(vocabulary)
-        for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                batch = whole.slice(at, 256)
-                made = pa.array([coder.decode(x or []) for x in batch.column(0).to_pylist()], pa.string())
-                rest = [(batch.schema.field(i).name, batch.column(i)) for i in range(1, batch.num_columns)]
-                yield pa.RecordBatch.from_arrays([*(c for _, c in rest), made], [*(n for n, _ in rest), text])
+        coder = _loaded(TokenBytes, vocabulary)
+        for batch in slices(batches, 512):
+            lists = batch.column(0).fill_null([])
+            starts = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+            made = coder.texts(lists.flatten().to_numpy(), starts)
+            rest = [(batch.schema.field(i).name, batch.column(i)) for i in range(1, batch.num_columns)]
+            yield pa.RecordBatch.from_arrays([*(c for _, c in rest), made], [*(n for n, _ in rest), text])
 
     return first.mapInArrow(run, schema)

@@ -1,5 +1,7 @@
 """Ids and texts against the tokenizers library."""
 
+import json
+
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -12,7 +14,8 @@ from devicepulse.llm.text_queries import bpe_digests
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 LIBRARY = Tokenizer.from_file(PATH)
 with open(PATH, encoding="utf-8") as f:
-    CODER = bpe.Vocabulary(f.read())
+    SPEC = json.load(f)
+CODER, TEXTS = bpe.Vocabulary(SPEC), bpe.TokenBytes(SPEC)
 
 ODD = ["", " ", "  ", "a", " a", "a ", "a  b", "a \n b", "\n\n", "it's'll'", "x" * 5000, "ab" * 3000]
 ODD += [" " * 3000, "<|endoftext|>", "a<|endoftext|> b<|endoftext|>", "日本語テキスト", "🎉🎉 é́", "\x1c\x85\xa0 a"]
@@ -21,7 +24,7 @@ ODD += [" " * 3000, "<|endoftext|>", "a<|endoftext|> b<|endoftext|>", "日本語
 def same(text):
     ids = LIBRARY.encode(text, add_special_tokens=False).ids
     assert CODER.encode(text) == ids
-    assert CODER.decode(ids) == LIBRARY.decode(ids, skip_special_tokens=False) == text
+    assert TEXTS.decode(ids) == LIBRARY.decode(ids, skip_special_tokens=False) == text
 
 
 @pytest.mark.parametrize("text", ODD)
@@ -50,13 +53,27 @@ def test_every_code_point_is_cut_as_by_the_library():
 
 def test_broken_bytes_become_replacement_characters():
     ids = LIBRARY.encode("日", add_special_tokens=False).ids[:1]
-    assert CODER.decode(ids) == LIBRARY.decode(ids, skip_special_tokens=False)
+    assert TEXTS.decode(ids) == LIBRARY.decode(ids, skip_special_tokens=False)
+
+
+def test_broken_bytes_in_a_batch(spark):
+    first = LIBRARY.encode("日", add_special_tokens=False).ids
+    lists = [first[:1], first[1:], [], None, first, [50256]]
+    docs = spark.createDataFrame([(i, x) for i, x in enumerate(lists)], "n int, ids array<int>").coalesce(1)
+    got = {r.n: r.text for r in bpe.decode(docs, bpe.load(docs, PATH)).collect()}
+    assert got == {i: LIBRARY.decode(x or [], skip_special_tokens=False) for i, x in enumerate(lists)}
+
+
+def test_unknown_ids_raise():
+    with pytest.raises(ValueError, match="vocabulary"):
+        TEXTS.decode([60000])
 
 
 def test_full_caches_change_nothing(monkeypatch):
     monkeypatch.setattr(bpe, "CACHE", 3)
+    small = bpe.Vocabulary(SPEC)
     for text in ("the cat sat on the mat and the dog", "one two three four five six"):
-        same(text)
+        assert small.encode(text) == CODER.encode(text)
 
 
 def test_rows_keep_their_columns(spark):
