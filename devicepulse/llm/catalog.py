@@ -1,6 +1,6 @@
 """Importing this module registers every query of the subpackage."""
 
-from devicepulse.llm import text_queries
+from devicepulse.llm import page_queries, text_queries
 from devicepulse.llm.registry import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "text_queries"]
+__all__ = ["QUERIES", "SQL", "page_queries", "text_queries"]
