@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from devicepulse.llm import bpe, mixing, quality_rules
+from devicepulse.llm import bpe, jaccard_join, mixing, quality_rules
 from devicepulse.llm.common import table
 from devicepulse.llm.registry import query
 
@@ -90,3 +90,9 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mix_sources(docs).drop("source")
+
+
+@query()
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard_join.link_documents(docs, jaccard_join.Join(width=4, share=85))
