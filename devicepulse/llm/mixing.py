@@ -31,7 +31,7 @@ class Mix:
     most_repeats: int = 3
     block_words: int = 64
     shard_slots: int = 4096
-    bucket_docs: int = 20_000
+    bucket_docs: int = 2_000
     rounds: int = 24
     seed: int = 17
 
@@ -182,7 +182,9 @@ def _slots(plan: DataFrame, mix: Mix) -> DataFrame:
         .where("n > 0")
         .join(plan.select("source_no", "n_blocks"), "source_no")
     )
-    slots = spans.select(
+    # Few rows that each make many: dealt over a number of partitions of their own, not by their size.
+    parts = int(plan.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slots = spans.repartition(parts, "shard", "source_no").select(
         "shard",
         "source_no",
         "n_blocks",
