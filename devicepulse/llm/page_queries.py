@@ -22,7 +22,7 @@ FROM paid LEFT JOIN firsts USING (t)"""
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     archives = warc.write(pages, warc.new_folder(spark))
-    return warc.read(archives).drop("url", "payload")
+    return warc.read(archives, payloads=False).drop("url", "payload")
 
 
 @query()

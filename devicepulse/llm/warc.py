@@ -206,10 +206,11 @@ def parse(record: bytes) -> tuple[dict[str, str], bytes]:
     return headers, rest[: int(headers["content-length"])]
 
 
-def read(archives: DataFrame) -> DataFrame:
+def read(archives: DataFrame, payloads: bool = True) -> DataFrame:
     """The records of listed archives: (page_id, url, record_type, payload, payload_bytes, payload_digest,
     refers_to). The payload of a revisit is null; its bytes and digest are those of the one it stands for. A
-    response whose payload does not have the digest in its header raises."""
+    response whose payload does not have the digest in its header raises. Without `payloads` they are
+    read and checked, but left null in the rows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["page_id", "url", "record_type", "payload", "payload_bytes", "payload_digest", "refers_to"]
         kinds = [pa.int64(), pa.string(), pa.string(), pa.binary(), pa.int64(), pa.string(), pa.int64()]
@@ -238,14 +239,14 @@ def read(archives: DataFrame) -> DataFrame:
                             number(headers["warc-record-id"]),
                             headers["warc-target-uri"],
                             headers["warc-type"],
-                            payload if response else None,
+                            payload if response and payloads else None,
                             int(told[b"Content-Length"]),
                             digest,
                             number(headers.get("warc-refers-to")),
                         )
                     )
-                    held += len(payload)
-                    if held > 4 << 20:
+                    held += 200 + len(payload) * payloads
+                    if held > 1 << 20:
                         yield made(rows)
                         rows, held = [], 0
                 yield made(rows)
@@ -254,8 +255,9 @@ def read(archives: DataFrame) -> DataFrame:
         "page_id bigint, url string, record_type string, payload binary, payload_bytes bigint, "
         "payload_digest string, refers_to bigint"
     )
-    listed = archives.select("path")
-    return listed.repartition(F.col("path")).mapInArrow(run, schema)
+    # A number of partitions of its own, as the short list would be read by one task otherwise.
+    parts = int(archives.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return archives.select("path").repartition(parts, "path").mapInArrow(run, schema)
 
 
 def new_folder(spark: SparkSession) -> str:
