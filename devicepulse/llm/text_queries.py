@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from devicepulse.llm import bpe, jaccard_join, mixing, quality_rules
-from devicepulse.llm.common import table
+from devicepulse.llm import bpe, jaccard_join, mixing, quality_model, quality_rules
+from devicepulse.llm.common import stored, table
 from devicepulse.llm.registry import query
 
 
@@ -86,6 +86,21 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op2_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fitted on labelled documents outside the held-out fifth of ids."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    labels = labels.where(~held_out & F.col("label").isNotNull())
+    # The texts are read once: both the fit and the scores start from the stored statistics.
+    statistics = stored(quality_model.with_statistics(docs), "statistics")
+    model = quality_model.fit(statistics.join(labels, "doc_id"))
+    return statistics.select(
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), model.score().alias("score")
+    ).withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 @query()
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
