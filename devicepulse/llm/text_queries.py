@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from devicepulse.llm import bpe, jaccard_join, mixing, quality_model, quality_rules
+from devicepulse.llm import bpe, jaccard_join, mixing, personal_data, quality_model, quality_rules
 from devicepulse.llm.common import stored, table
 from devicepulse.llm.registry import query
 
@@ -107,6 +107,14 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(docs).drop("source")
 
 
+@query()
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = personal_data.detect(docs)
+    counts = [f"n_{k}" for k in personal_data.BASE_KINDS]
+    return found.select("doc_id", *counts, F.sha2("base_spans", 256).alias("base_sha256"), "spans")
+
+
 @query()
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
