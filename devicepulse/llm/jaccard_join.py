@@ -7,10 +7,11 @@ Candidates are compared in small blocks: the sets of a block go into a tree of t
 where sets that begin alike share a path, a probe set walks it adding up the overlap once for all sets
 below a node, and a branch is left as soon as what remains of its sets cannot reach the threshold.
 
-Groups of thousands of near copies never come out as pairs. First every set is compared with one set for
-each of its shared n-grams only, a star; the links make groups. Then all candidate pairs that are not
-in one group already are taken, counted over all n-grams of their prefixes, which gives a bound on their
-overlap, and the ones that pass it are compared. So no link between different groups is lost.
+Groups of thousands of near copies never come out as pairs. Sets that meet one centre on a good part of
+their prefixes form a family. A family is cut into parts of a bounded number of sets, and every two parts
+go through a tree together, in one task; out come only the links that join groups, and counts. Candidates
+of different families are few; they come as pairs, counted over all n-grams of their prefixes, which gives a
+bound on their overlap, and the ones that pass it are compared in trees too. So no link is lost.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from devicepulse.llm.common import sized, stored
+from devicepulse.llm.common import SPACES, sized, stored
 
 BATCH_BYTES = 4 << 20
 HEAVY = np.uint64(1 << 62)
@@ -44,7 +45,7 @@ class Join:
     share: int = 80
     frequent: int = 1_000_000
     star_edges: int = 3
-    block_sets: int = 128
+    block_sets: int = 512
     cache: int = 300_000
 
     def prefix(self, n):
@@ -248,6 +249,52 @@ def _compare(blocks: DataFrame, join: Join) -> DataFrame:
     return laid.mapInArrow(run, "a binary, b binary")
 
 
+def _compare_parts(blocks: DataFrame, join: Join) -> DataFrame:
+    """Blocks (block, second, key, tokens), of two parts or of one, to rows (a, b, n): the links that join
+    groups within a block, with n null, and the number of links n of each set a, with b null."""
+
+    def links(first: list[tuple[bytes, bytes]], second: list[tuple[bytes, bytes]]):
+        group: dict[bytes, bytes] = {}
+
+        def top(key: bytes) -> bytes:
+            while group.get(key, key) != key:
+                group[key] = key = group.get(group[key], group[key])
+            return key
+
+        joined, counts = [], {}
+        for key, tokens in second or first:
+            for other in walk_tree(first, tokens, join):
+                if second or other < key:
+                    counts[key] = counts.get(key, 0) + 1
+                    counts[other] = counts.get(other, 0) + 1
+                    x, y = top(key), top(other)
+                    if x != y:
+                        group[x] = y
+                        joined.append((key, other, None))
+        return joined + [(k, None, n) for k, n in counts.items()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, parts = None, ([], [])
+        kinds = (pa.binary(), pa.binary(), pa.int64())
+
+        def made(rows):
+            columns = zip(*rows, strict=True) if rows else [()] * 3
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["a", "b", "n"])
+
+        for batch in batches:
+            found = []
+            for block, second, key, tokens in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if block != now:
+                    found += links(*parts)
+                    now, parts = block, ([], [])
+                parts[second].append((key, tokens))
+            yield made(found)
+        yield made(links(*parts))
+
+    laid = blocks.repartition("block").sortWithinPartitions("block")
+    return laid.mapInArrow(run, "a binary, b binary, n bigint")
+
+
 class _Corpus:
     """What the steps share: the documents, their nodes, and the frequent n-grams."""
 
@@ -267,14 +314,13 @@ class _Corpus:
         self.frequent = self.spark.sparkContext.broadcast(known.tobytes())
 
     def prefixes(self) -> DataFrame:
-        """(token, key, n, pivot, pivot_n) for every n-gram that the prefixes of several sets hold. The pivot is
-        one of these sets, by a hash. One shuffle by n-gram serves all of it; copies in different tasks fold."""
+        """(token, key) for every n-gram that the prefixes of several sets hold, by one shuffle. Copies in
+        different tasks fold."""
         made = _pass(self.docs, self.join, self.frequent, _prefixes, "token bigint, key binary")
         one = made.repartition("token").groupBy("token", "key").agg(F.lit(1).alias("_"))
         by_token = Window.partitionBy("token")
-        pivot = F.min(F.struct(F.xxhash64("token", "key").alias("draw"), "key")).over(by_token)
-        shared = one.withColumn("pivot", pivot["key"]).withColumn("_other", F.max("key").over(by_token) != F.min("key").over(by_token))
-        return stored(shared.where("_other").select("token", "key", "pivot"), "prefixes")
+        several = one.withColumn("_other", F.max("key").over(by_token) != F.min("key").over(by_token))
+        return stored(several.where("_other").select("token", "key"), "prefixes")
 
     def sets(self, keys: DataFrame) -> DataFrame:
         """(key, tokens) of some nodes, from one document of each; stored."""
@@ -287,14 +333,13 @@ class _Corpus:
         same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark"))
         texts = self.docs.join(chosen, same, "left_semi")
         made = _pass(texts, self.join, self.frequent, _sets, "key binary, tokens binary")
-        return stored(made, "sets")
+        # Repeated rows of one document give a set twice.
+        return stored(made.dropDuplicates(["key"]), "sets")
 
     def compare(self, pairs: DataFrame) -> DataFrame:
         """The links (a, b) among candidate pairs (a, b)."""
         pairs = stored(pairs.select("a", "b"), "pairs")
         sets = self.sets(pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct())
-        # Repeated rows of one document give a set twice.
-        sets = sets.dropDuplicates(["key"])
         counts = pairs.groupBy("a").agg(F.ceil(F.count("*") / self.join.block_sets).alias("_blocks"))
         part = F.pmod(F.xxhash64("b"), F.col("_blocks"))
         cut = stored(pairs.join(counts, "a").select("a", "b", F.xxhash64("a", part).alias("block")), "cut")
@@ -303,6 +348,19 @@ class _Corpus:
         probes = probes.join(sets, probes["a"] == sets["key"]).select("block", F.lit(True).alias("probe"), "key", "tokens")
         return stored(_compare(held.unionByName(probes), self.join), "links")
 
+    def compare_families(self, families: DataFrame) -> DataFrame:
+        """Families (key, label) to rows (a, b, n) as of `_compare_parts`, over all pairs of a family."""
+        sets = self.sets(families.select("key")).join(families, "key")
+        parts = families.groupBy("label").agg(F.ceil(F.count("*") / self.join.block_sets).alias("_parts"))
+        placed = sets.join(parts, "label").withColumn("_part", F.pmod(F.xxhash64("key"), F.col("_parts")))
+        both = placed.withColumn("_with", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_parts") - 1)))
+        low, high = F.least("_part", "_with"), F.greatest("_part", "_with")
+        # Of two parts the second is the higher one; a part with itself has no second.
+        blocks = both.select(
+            F.xxhash64("label", low, high).alias("block"), (F.col("_part") > low).cast("int").alias("second"), "key", "tokens"
+        )
+        return stored(_compare_parts(blocks, self.join), "family_links")
+
 
 def _components(links: DataFrame) -> DataFrame:
     """(key, label) for every node of the links (a, b): the smallest key reachable.
@@ -331,15 +389,8 @@ def _needed(join: Join, a: Column, b: Column) -> Column:
     return F.ceil(F.lit(join.share) * (a + b) / F.lit(100 + join.share))
 
 
-def link_documents(docs: DataFrame, join: Join = Join(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, n_links) for every row, in no order.
-
-    component_id is the smallest id that links reach, itself included. n_links counts links found for the
-    document's set: enough to join its group, not all there are; equal sets are one and need none. A text
-    without words has an empty set and is linked with nothing. Rows without an id are linked like others
-    and have the smallest id of their group, null if there is none. Repeated rows are kept. No text is
-    too long, and sets are compared by 62-bit hashes of their n-grams.
-    """
+def _grouped(docs: DataFrame, join: Join, doc_id: str, text: str) -> DataFrame:
+    """(id, mark, n, group, n_links) of every row; group is null for a text without words."""
     corpus = _Corpus(docs, join, doc_id, text)
     sizes = corpus.nodes.where("key IS NOT NULL").groupBy("key").agg(F.first("n").alias("n"))
     shared = corpus.prefixes()
@@ -350,17 +401,22 @@ def link_documents(docs: DataFrame, join: Join = Join(), doc_id: str = "doc_id",
         a, b = n.select(F.col("key").alias("a"), F.col("n").alias("n_a")), n.select(F.col("key").alias("b"), F.col("n").alias("n_b"))
         return pairs.join(a, "a").join(b, "b").where(fit(F.col("n_a"), F.col("n_b")))
 
-    # A star round each shared n-gram's pivot: the pairs that meet most often are likely to link.
-    star = shared.where("key <> pivot").groupBy(F.col("pivot").alias("a"), F.col("key").alias("b")).agg(F.count("*").alias("met"))
-    best = Window.partitionBy("b").orderBy(F.col("met").desc(), "a")
-    star = with_sizes(star).withColumn("_place", F.row_number().over(best)).where(F.col("_place") <= join.star_edges)
-    links = corpus.compare(star.where(100 * F.col("met") >= F.least("n_a", "n_b")))
-    labels = _components(links)
-    # All other candidates: pairs of different groups, with how often they meet.
-    grouped = shared.select("token", "key").join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
+    # A centre is the first set of an n-gram by a hash of the set, so that n-grams of like sets have the same.
     by_token = Window.partitionBy("token")
-    mixed = grouped.withColumn("_mixed", F.min("label").over(by_token) != F.max("label").over(by_token)).where("_mixed")
-    mixed = stored(mixed.join(n, "key").select("token", "key", "label", "n"), "mixed")
+    best = Window.partitionBy("b").orderBy(F.col("met").desc(), "a")
+    centre = F.min(F.struct(F.xxhash64("key").alias("draw"), "key")).over(by_token)
+    star = shared.withColumn("a", centre["key"]).where("key <> a").groupBy("a", F.col("key").alias("b"))
+    star = with_sizes(star.agg(F.count("*").alias("met")))
+    # Half of the prefix, about; less is left to the pairs.
+    near = star.where(200 * F.col("met") >= (100 - join.share) * F.least("n_a", "n_b"))
+    near = near.withColumn("_place", F.row_number().over(best)).where(F.col("_place") <= join.star_edges)
+    families = _components(stored(near.select("a", "b"), "star"))
+    found = corpus.compare_families(families)
+    # All other candidates: pairs of different families, with how often they meet.
+    rows = shared.join(families, "key", "left").withColumn("label", F.coalesce("label", "key"))
+    several = F.min("label").over(by_token) != F.max("label").over(by_token)
+    rows = rows.withColumn("_several", several).where("_several")
+    mixed = stored(rows.join(n, "key").select("token", "key", "label", "n"), "mixed")
     left = mixed.select("token", F.col("key").alias("a"), F.col("label").alias("l_a"), F.col("n").alias("n_a"))
     right = mixed.select("token", F.col("key").alias("b"), F.col("label").alias("l_b"), F.col("n").alias("n_b"))
     met = (
@@ -372,17 +428,55 @@ def link_documents(docs: DataFrame, join: Join = Join(), doc_id: str = "doc_id",
     # Past the prefix that ends first, the overlap is at most what is left of that set.
     rest = F.greatest(*[F.ceil(F.col(c) * join.share / 100) - 1 for c in ("n_a", "n_b")])
     open_ = met.where(F.col("met") + rest >= _needed(join, F.col("n_a"), F.col("n_b")))
-    all_links = stored(links.union(corpus.compare(open_)), "all_links")
-    labels = _components(all_links)
-    degree = all_links.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key").agg(F.count("*").alias("n_links"))
+    pairs = corpus.compare(open_)
+    labels = _components(found.where("b IS NOT NULL").select("a", "b").union(pairs))
+    counts = pairs.select(F.explode(F.array("a", "b")).alias("key"), F.lit(1).cast("bigint").alias("n"))
+    counts = counts.union(found.where("b IS NULL").select("a", "n"))
+    degree = counts.groupBy("key").agg(F.sum("n").alias("n_links"))
     nodes = corpus.nodes.join(labels, "key", "left").join(degree, "key", "left")
-    # Blank texts have no key; each is on its own.
-    group = F.coalesce("label", "key")
-    ids = nodes.where("key IS NOT NULL").groupBy(group.alias("group")).agg(F.min("id").alias("component"))
-    joined = nodes.withColumn("group", group).join(ids, "group", "left")
-    return joined.select(
+    return nodes.select("id", "mark", "n", F.coalesce("label", "key").alias("group"), "n_links")
+
+
+def link_documents(docs: DataFrame, join: Join = Join(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, n_shingles, component_id, n_links) for every row, in no order.
+
+    component_id is the smallest id that links reach, itself included. n_links is the number of different
+    other sets that the document's set links with; equal sets are one and need no link. A text
+    without words has an empty set and is linked with nothing. Rows without an id are linked like others
+    and have the smallest id of their group, null if there is none. Repeated rows are kept. No text is
+    too long, and sets are compared by 62-bit hashes of their n-grams.
+    """
+    rows = stored(_grouped(docs, join, doc_id, text), "grouped")
+    ids = rows.where("group IS NOT NULL").groupBy("group").agg(F.min("id").alias("component"))
+    # Blank texts have no group; each is on its own.
+    return rows.join(ids, "group", "left").select(
         F.col("id").alias("doc_id"),
         F.col("n").alias("n_shingles"),
-        F.when(F.col("key").isNull(), F.col("id")).otherwise(F.col("component")).alias("component_id"),
+        F.when(F.col("group").isNull(), F.col("id")).otherwise(F.col("component")).alias("component_id"),
         F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"),
     )
+
+
+def keep_one(docs: DataFrame, join: Join = Join(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One document of each group, with the columns that it had: the one with the smallest id, then the smallest
+    hash of its text; of repeated rows of that one, the first by a hash of all columns. Texts without
+    words are in no group and all stay. A group without ids keeps one of its rows too.
+    """
+    rows = _grouped(docs, join, doc_id, text).where("group IS NOT NULL")
+    first = F.min(F.struct(F.col("id").isNull().alias("no_id"), F.coalesce("id", F.lit(0)).alias("id"), "mark"))
+    chosen = rows.groupBy("group").agg(first.alias("_first")).select("_first.no_id", "_first.id", "_first.mark")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    id_ = F.col(f"`{doc_id}`").cast("bigint")
+    held = docs.select(
+        F.struct(*columns).alias("__row"),
+        id_.isNull().alias("no_id"),
+        F.coalesce(id_, F.lit(0)).alias("id"),
+        F.xxhash64(F.col(f"`{text}`")).alias("mark"),
+        F.xxhash64(*columns).alias("__draw"),
+        F.col(f"`{text}`").rlike(f"[^{SPACES}]").alias("__words"),
+    )
+    key = ["no_id", "id", "mark"]
+    place = F.row_number().over(Window.partitionBy(*key).orderBy("__draw"))
+    kept = held.where("__words").join(chosen, key, "left_semi").withColumn("__place", place).where("__place = 1")
+    blank = held.where(~F.coalesce("__words", F.lit(False)))
+    return kept.select("__row.*").unionByName(blank.select("__row.*"))

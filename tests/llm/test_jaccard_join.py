@@ -51,6 +51,18 @@ def got(spark, rows, join, parts=4):
     return sorted(str((r.doc_id, r.n_shingles, r.component_id)) for r in j.link_documents(df, join).collect())
 
 
+def test_numbers_of_links(spark):
+    rows, join = corpus(6), Join(share=70, block_sets=4)
+    shingler = j._Shingler(join)
+    sets = {i: frozenset(shingler(t).tolist()) for i, t in rows if i is not None}
+    different = set(sets.values()) | {frozenset(shingler(t).tolist()) for i, t in rows if i is None}
+    df = spark.createDataFrame(rows, SCHEMA)
+    for r in j.link_documents(df, join).where("doc_id IS NOT NULL").collect():
+        mine = sets[r.doc_id]
+        linked = [s for s in different if s != mine and s and 100 * len(s & mine) >= 70 * len(s | mine)]
+        assert r.n_links == len(linked)
+
+
 def edited(rnd, words, rate):
     return [w if rnd.random() > rate else f"e{rnd.randrange(10**6)}" for w in words]
 
