@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from devicepulse.llm import bpe, jaccard_join, mixing, personal_data, quality_model, quality_rules
+from devicepulse.llm import bpe, jaccard_join, mixing, personal_data, quality_model, quality_rules, substring_dedup
 from devicepulse.llm.common import stored, table
 from devicepulse.llm.registry import query
 
@@ -101,6 +101,12 @@ def op2_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
+@query()
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each passage of a document that other documents hold too."""
+    return substring_dedup.repeated_passages(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query()
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
