@@ -7,12 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from devicepulse.sources.workspace import pin
 from devicepulse.spec import TelemetrySpec
 
-# Keys of a few dozen bytes each: at most some tens of megabytes to broadcast.
-FEW_KEYS = 500_000
-
 
 def one_row_per_key(
     df: DataFrame, keys: Sequence[str], order: Sequence[str | Column] | None = None
@@ -31,27 +27,19 @@ def one_row_per_key(
 
 
 def one_row_per_mostly_unique_key(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str | Column] | None = None,
-    few_keys: int = FEW_KEYS,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str | Column] | None = None
 ) -> DataFrame:
     """The same rows as `one_row_per_key`, for a wide table with few repeated keys.
 
-    The repeated keys are found on the key columns alone. If there are at most `few_keys` of them,
-    they are broadcast: rows of other keys pass through without a shuffle or a sort, and only rows
-    of repeated keys are compared. If there are more, the one-pass form is used.
+    The repeated keys are found on the key columns alone. Rows of other keys pass an anti join and are not
+    sorted by the order; only rows of repeated keys are compared. Always these two joins, planned by Spark:
+    where it cannot broadcast the repeated keys, the wide table is shuffled for each.
     """
     repeated = df.groupBy(*keys).agg(F.count("*").alias("_rows")).where(F.col("_rows") > 1)
-    repeated = pin(repeated.select(*[F.col(k).alias(f"_{k}") for k in keys]))
-    count = repeated.count()
-    if count == 0:
-        return df
-    if count > few_keys:
-        return one_row_per_key(df, keys, order)
+    repeated = repeated.select(*[F.col(k).alias(f"_{k}") for k in keys])
     same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-    single = df.join(F.broadcast(repeated), same, "left_anti")
-    compared = df.join(F.broadcast(repeated), same, "left_semi")
+    single = df.join(repeated, same, "left_anti")
+    compared = df.join(repeated, same, "left_semi")
     return single.unionByName(one_row_per_key(compared, keys, order))
 
 

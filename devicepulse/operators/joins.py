@@ -2,7 +2,8 @@
 
 No side is hinted: Spark broadcasts a side whose measured size allows it, and otherwise sorts and
 merges, with skewed partitions of the left side split at run time. The right side is folded to one
-row per key, before its shuffle, so that no join multiplies rows and no key is hot on both sides.
+row per key, before its shuffle, so that no join multiplies rows and no key is hot on both sides. A missing key
+is a key like any other: null meets null, as it does in windows and groups.
 """
 
 from __future__ import annotations
@@ -15,15 +16,23 @@ from pyspark.sql import functions as F
 from devicepulse.spec import TelemetrySpec
 
 
+def _same(df: DataFrame, other: DataFrame, key: Sequence[str], how: str) -> DataFrame:
+    """Equi-join on columns of the same names, null-safe; the key stands once, as by a join on names."""
+    renamed = other.withColumnsRenamed({k: f"_right_{k}" for k in key})
+    same = [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in key]
+    joined = df.join(renamed, same, how).drop(*[f"_right_{k}" for k in key])
+    return joined.select(*key, *[c for c in joined.columns if c not in key])
+
+
 def attach_cycle_starts(gaps: DataFrame, starts: DataFrame, spec: TelemetrySpec) -> DataFrame:
     """The gap table with the columns of the rows that open a cycle, null elsewhere."""
-    return gaps.join(starts, [*spec.day_key, "gap_days"], "left")
+    return _same(gaps, starts, [*spec.day_key, "gap_days"], "left")
 
 
 def attach_target(cycles: DataFrame, df: DataFrame, spec: TelemetrySpec) -> DataFrame:
     """The cycle table with the target of each device-day: the highest, where `df` repeats a day."""
     targets = df.groupBy(*spec.day_key).agg(F.max(spec.target_col).alias(spec.target_col))
-    return cycles.join(targets, spec.day_key, "left")
+    return _same(cycles, targets, spec.day_key, "left")
 
 
 def rows_of_failed_cycles(cycles: DataFrame, df: DataFrame, spec: TelemetrySpec) -> DataFrame:
@@ -40,9 +49,9 @@ def with_cycle_columns(
     """Telemetry with the cycle columns of its device-days: only those that have a cycle row
     (`inner`), or all (`left`).
     """
-    return df.join(cycles, spec.day_key, how)
+    return _same(df, cycles, spec.day_key, how)
 
 
 def members(df: DataFrame, chosen: DataFrame, key: Sequence[str]) -> DataFrame:
     """Rows whose key is among the chosen, each once."""
-    return df.join(chosen.select(*key).distinct(), list(key), "left_semi")
+    return _same(df, chosen.select(*key).distinct(), list(key), "left_semi").select(*df.columns)

@@ -37,10 +37,16 @@ def confusion(predictions: DataFrame, label: str, prediction: str = "prediction"
     ).agg(F.count("*").alias("rows"))
 
 
-def weighted_f1(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """F1 of each class weighted by its rows, from a confusion table.
+# The shares that a confusion table gives, by the evaluator's names for them.
+METRICS = ("f1", "accuracy", "weightedPrecision", "weightedRecall")
+
+
+def weighted_metrics(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Each class's F1, precision and recall weighted by its rows, and the share of right predictions, from
+    a confusion table: one column for each of `METRICS`.
 
-    Each cell counts once for its true class and once for its predicted one.
+    Each cell counts once for its true class and once for its predicted one. A class that is never
+    predicted has precision 0.
     """
     n, zero = F.col("rows"), F.lit(0).cast("bigint")
     hit = F.when(F.col("label") == F.col("prediction"), n).otherwise(zero)
@@ -58,22 +64,35 @@ def weighted_f1(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         .agg(*[F.sum(c).alias(c) for c in ("actual", "guessed", "hits")])
     )
     f1 = 2.0 * F.col("hits") / (F.col("actual") + F.col("guessed"))
+    precision = F.coalesce(F.try_divide(F.col("hits").cast("double"), F.col("guessed")), F.lit(0.0))
+    right = F.sum("hits") / F.sum("actual")
     return per_class.groupBy(*by).agg(
-        (F.sum(f1 * F.col("actual")) / F.sum("actual")).alias("f1")
+        (F.sum(f1 * F.col("actual")) / F.sum("actual")).alias("f1"),
+        right.alias("accuracy"),
+        (F.sum(precision * F.col("actual")) / F.sum("actual")).alias("weightedPrecision"),
+        # Recall of a class times its rows is its hits.
+        right.alias("weightedRecall"),
     )
 
 
+def weighted_f1(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """F1 of each class weighted by its rows, from a confusion table."""
+    return weighted_metrics(counts, by).select(*by, "f1")
+
+
 def score_splits(predicted: Splits, spec: TelemetrySpec) -> DataFrame:
     """One row: the metric's name and its value on each set, in one job over all three."""
+    if spec.metric not in METRICS:
+        raise ValueError(f"metric {spec.metric!r} is not one of {METRICS}")
     names = list(Splits._fields)
     tagged = None
     for name, part in zip(names, predicted, strict=True):
         rows = part.select(F.lit(name).alias("split"), spec.target_col, "prediction")
         tagged = rows if tagged is None else tagged.unionByName(rows)
-    per_split = weighted_f1(confusion(tagged, spec.target_col, by=["split"]), by=["split"])
+    per_split = weighted_metrics(confusion(tagged, spec.target_col, by=["split"]), by=["split"])
     return per_split.agg(
         F.any_value(F.lit(spec.metric)).alias("metricName"),
-        *[F.max(F.when(F.col("split") == s, F.col("f1"))).alias(s) for s in names],
+        *[F.max(F.when(F.col("split") == s, F.col(spec.metric))).alias(s) for s in names],
     )
 
 

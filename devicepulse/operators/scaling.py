@@ -52,6 +52,12 @@ def exact_factors(df_train: DataFrame, feature_cols: Sequence[str]) -> dict[str,
     return {c: 1.0 / by_name[c] if by_name.get(c) else 0.0 for c in feature_cols}
 
 
+def fitted_factors(df_train: DataFrame, feature_cols: Sequence[str], relative_error: float = 0.001) -> dict[str, float]:
+    """The same by the fitted scaler's sketch."""
+    ranges = fit_scaler(df_train, feature_cols, relative_error).stages[1].range
+    return {c: 1.0 / float(r) if r else 0.0 for c, r in zip(feature_cols, ranges, strict=True)}
+
+
 def scale_by_factors(df: DataFrame, factors: dict[str, float], keep: Sequence[str]) -> DataFrame:
     return df.select(*keep, *[(F.col(f"`{c}`") * F.lit(x)).alias(c) for c, x in factors.items()])
 

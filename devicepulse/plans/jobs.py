@@ -7,20 +7,20 @@ stage. Only profile rows (one number per column) and schemas reach the driver.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassificationModel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from devicepulse.functions import null_sentinels
 from devicepulse.operators import cleaning, cycles, dedup, joins, model, ranking, scaling, splitting
 from devicepulse.sources import (
     load_classifier,
     load_manifest,
-    load_scaler,
     read_table,
     save_artefact,
     save_manifest,
@@ -57,12 +57,51 @@ class Layout:
         save_manifest(df, self.manifest(name))
 
 
+def report_counts(layout: Layout, name: str, counts: dict[str, int]) -> None:
+    """Write a record of counts next to the artefacts."""
+    row = SparkSession.active().range(1)
+    report = row.select(*[F.lit(n).cast("bigint").alias(c) for c, n in counts.items()])
+    write_scores(report, layout.artefact(name))
+
+
 def report_rows(layout: Layout, name: str, rows: int, kept: int) -> None:
     """How many rows a null drop took. The counts come from tables already written."""
-    spark = SparkSession.active()
-    counts = {"rows": rows, "kept": kept, "dropped": rows - kept}
-    report = spark.range(1).select(*[F.lit(n).cast("bigint").alias(c) for c, n in counts.items()])
-    write_scores(report, layout.artefact(name))
+    report_counts(layout, name, {"rows": rows, "kept": kept, "dropped": rows - kept})
+
+
+def clean_readings(df: DataFrame, spec: TelemetrySpec) -> DataFrame:
+    """Null out missing-value markers in all columns but the device and date: a device that is called `NA`
+    is still a device."""
+    fields = {f.name: f for f in df.schema.fields}
+    return df.select(
+        *[F.col(f"`{c}`") if c in spec.day_key else null_sentinels(fields[c]) for c in df.columns]
+    )
+
+
+def number_types(df: DataFrame, columns: Sequence[str]) -> tuple[dict[str, str], dict[str, int]]:
+    """What the text columns hold, in one pass: a number type for those that hold nothing else (`bigint`
+    where every number is whole and small enough, else `double`), and for the others how many cells are no
+    number. A column without any value counts as double. One row reaches the driver.
+    """
+    if not columns:
+        return {}, {}
+    counts = []
+    for i, c in enumerate(columns):
+        cell = F.col(f"`{c}`")
+        known = cell.isNotNull()
+        counts.append(F.count_if(known).alias(f"known_{i}"))
+        counts.append(F.count_if(known & cell.try_cast("double").isNull()).alias(f"other_{i}"))
+        # A text that says the number in another way, `1e3` or `1.0`, is left to double.
+        whole = cell.rlike(r"^\s*[+-]?[0-9]+\s*$") & cell.try_cast("bigint").isNotNull()
+        counts.append(F.count_if(known & ~whole).alias(f"broken_{i}"))
+    row = df.agg(*counts).first()
+    types, others = {}, {}
+    for i, c in enumerate(columns):
+        if row[f"other_{i}"]:
+            others[c] = row[f"other_{i}"]
+        else:
+            types[c] = "bigint" if row[f"known_{i}"] and not row[f"broken_{i}"] else "double"
+    return types, others
 
 
 def drop_duplicates_job(
@@ -95,14 +134,19 @@ def preprocess_job(
     table is not shuffled to find them: it is joined with their device-days, and only what is left
     is laid out by device for the lags.
     """
-    raw = layout.read(spark, "deduplicated")
-    # A text column outside the keys is a number whose file also held sentinels.
+    raw = clean_readings(layout.read(spark, "deduplicated"), spec)
+    # A text column that holds only numbers is one whose file also held markers. Any other stays text: it is
+    # no feature, and what kept it from being one is reported.
     texts = [
         f.name
         for f in raw.schema.fields
         if isinstance(f.dataType, T.StringType) and f.name not in spec.reserved
     ]
-    numbers = cleaning.parse_sentinels(cleaning.restore_numbers(cleaning.parse_sentinels(raw), texts))
+    types, others = number_types(raw, texts)
+    report_counts(layout, "unparsed_cells", {"text_columns": len(others), **others})
+    for kind in ("bigint", "double"):
+        raw = cleaning.restore_numbers(raw, [c for c, k in types.items() if k == kind], kind)
+    numbers = clean_readings(raw, spec)
     sparse = cleaning.sparse_columns(numbers, spec)
     layout.write(cleaning.drop_columns(numbers, sparse), "cleaned", mode)
     cleaned = layout.read(spark, "cleaned")
@@ -120,13 +164,18 @@ def preprocess_job(
     layout.write(failed, "failed_rows", mode)
     failed = layout.read(spark, "failed_rows")
     constant = cleaning.constant_columns(failed, spec)
-    lagged = cycles.lag_features(cleaning.drop_columns(failed, constant), spec)
+    varied = cleaning.drop_columns(failed, constant)
+    lagged = cycles.lag_features(varied, spec, no_lag_cols=[*spec.reserved, *_texts(varied)])
     layout.write(cleaning.drop_incomplete(lagged), "training", mode)
     training = layout.read(spark, "training")
     report_rows(layout, "training_rows", failed.count(), training.count())
     return training
 
 
+def _texts(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+
+
 def feature_job(
     spark: SparkSession,
     layout: Layout,
@@ -138,35 +187,61 @@ def feature_job(
 ) -> splitting.Splits:
     """Scaled train, validation and test sets.
 
-    The scaler is fitted on train by a sketch and saved. With `exact` the quartile ranges are
-    exact, and saved as a table of factors. The three sets are the partitions of one table, so
-    that one pass writes them all.
+    The quartile ranges of train come from a sketch, or with `exact` are exact. Either way they are saved as
+    one table of factors, under a new number that the model is trained with, so scoring cannot take those
+    of another run. Rows of the other sets that scaling left incomplete are dropped and counted: the
+    columns are chosen so that train has none. The three sets are the partitions of one table, so that one
+    pass writes them all.
     """
     training = layout.read(spark, "training")
     features = spec.numeric_feature_cols(training)
     named = splitting.with_split(training, spec, bucket=bucket, buckets=buckets)
     keep, train = [spec.target_col, "split"], named.where(F.col("split") == "train")
-    if exact:
-        factors = scaling.exact_factors(train, features)
-        lines = [
-            F.struct(F.lit(i).alias("position"), F.lit(c).alias("column_name"), F.lit(x).alias("factor"))
-            for i, (c, x) in enumerate(factors.items())
-        ]
-        table = spark.range(1).coalesce(1).select(F.inline(F.array(*lines)))
-        write_table(table, layout.artefact("factors"), mode=mode)
-        scaled = scaling.scale_by_factors(named, factors, keep)
-    else:
-        scaler = scaling.fit_scaler(train, features)
-        save_artefact(scaler, layout.artefact("scaler"))
-        scaled = scaling.scale_features(named, scaler, features, keep)
+    factors = scaling.exact_factors(train, features) if exact else scaling.fitted_factors(train, features)
+    save_factors(spark, layout, factors, mode)
+    scaled = scaling.scale_by_factors(named, factors, keep)
     save_manifest(training.select(*features), layout.manifest("num_feature"))
     cleaned = cleaning.parse_sentinels(scaled)
     sparse = cleaning.sparse_columns(cleaned.where(F.col("split") == "train"), spec, cutoff=0.0)
     final = cleaned.select(*[c for c in cleaned.columns if c not in [*sparse, "split"]], "split")
-    layout.write(final, "scaled", mode, partition_by=["split"])
+    counts = Observation("scaled")
+    broken = {f"dropped_{s}": F.count_if((F.col("split") == s) & _incomplete(final)) for s in splitting.Splits._fields}
+    seen = {f"rows_{s}": F.count_if(F.col("split") == s) for s in splitting.Splits._fields}
+    observed = final.observe(counts, *[x.alias(c) for c, x in {**seen, **broken}.items()])
+    layout.write(cleaning.drop_incomplete(observed), "scaled", mode, partition_by=["split"])
+    report_counts(layout, "scaled_rows", counts.get)
     return read_splits(spark, layout)
 
 
+def _incomplete(df: DataFrame) -> Column:
+    found = F.lit(False)
+    for c in df.columns:
+        found = found | F.col(f"`{c}`").isNull()
+    return found
+
+
+def save_factors(spark: SparkSession, layout: Layout, factors: dict[str, float], mode: str) -> None:
+    """The factor of each feature in order, with the number of this fit."""
+    fit = uuid.uuid4().hex
+    lines = [
+        F.struct(
+            F.lit(fit).alias("fit"),
+            F.lit(i).alias("position"),
+            F.lit(c).alias("column_name"),
+            F.lit(float(x)).alias("factor"),
+        )
+        for i, (c, x) in enumerate(factors.items())
+    ]
+    table = spark.range(1).coalesce(1).select(F.inline(F.array(*lines)))
+    write_table(table, layout.artefact("factors"), mode=mode)
+
+
+def load_factors(spark: SparkSession, layout: Layout) -> tuple[str, dict[str, float]]:
+    """The number of the fit, and the factors. One row per feature reaches the driver."""
+    rows = read_table(spark, layout.artefact("factors")).orderBy("position").collect()
+    return rows[0].fit, {r.column_name: r.factor for r in rows}
+
+
 def read_splits(spark: SparkSession, layout: Layout) -> splitting.Splits:
     scaled = layout.read(spark, "scaled")
     return splitting.Splits(
@@ -181,6 +256,8 @@ def train_job(spark: SparkSession, layout: Layout, spec: TelemetrySpec, **params
     vectors = splits.map(lambda part: scaling.assemble(part, features, [spec.target_col]))
     fitted = model.fit_classifier(vectors.train, spec, **params)
     save_artefact(fitted, layout.artefact("model"))
+    fit, _ = load_factors(spark, layout)
+    write_scores(spark.range(1).select(F.lit(fit).alias("fit")), layout.artefact("model_fit"))
     save_manifest(splits.train.select(*features), layout.manifest("feature"))
     scores = model.score_splits(vectors.map(lambda part: model.predict(fitted, part)), spec)
     write_scores(scores, layout.artefact("model_scores"))
@@ -195,7 +272,7 @@ class ScoringKit:
     lagged: T.StructType
     num_features: T.StructType
     features: T.StructType
-    scaler: PipelineModel
+    factors: dict[str, float]
     classifier: GBTClassificationModel
 
     @classmethod
@@ -203,12 +280,16 @@ class ScoringKit:
         def columns(name: str) -> T.StructType:
             return without_target(load_manifest(spark, layout.manifest(name)), spec.target_col)
 
+        fit, factors = load_factors(spark, layout)
+        trained_with = spark.read.json(layout.artefact("model_fit")).first().fit
+        if fit != trained_with:
+            raise ValueError("the model was trained with other scaling factors: run the train job again")
         return cls(
             columns("cleaned"),
             columns("training"),
             columns("num_feature"),
             columns("feature"),
-            load_scaler(layout.artefact("scaler")),
+            factors,
             load_classifier(layout.artefact("model")),
         )
 
@@ -222,9 +303,11 @@ def scoring_rows(
     says that device-days are unique already, which saves the other one.
     """
     one = rows if unique_days else dedup.one_row_per_day(rows, spec)
-    typed = cleaning.select_as(cleaning.parse_sentinels(one), kit.preprocessed)
-    aligned = cleaning.parse_sentinels(typed)
-    lagged = cycles.lag_features(cycles.with_cycles(aligned, spec), spec)
+    typed = cleaning.select_as(clean_readings(one, spec), kit.preprocessed)
+    aligned = clean_readings(typed, spec)
+    lagged = cycles.lag_features(
+        cycles.with_cycles(aligned, spec), spec, no_lag_cols=[*spec.reserved, *_texts(aligned)]
+    )
     names = [c for c in kit.lagged.names if c not in spec.cycle_cols]
     return lagged.select(*names)
 
@@ -233,11 +316,28 @@ def score_rows(
     rows: DataFrame, kit: ScoringKit, spec: TelemetrySpec, unique_days: bool = False
 ) -> DataFrame:
     """Predictions with device and date. Rows without a full set of lags cannot be scored."""
-    complete = cleaning.drop_incomplete(scoring_rows(rows, kit, spec, unique_days))
+    return _scored(rows, kit, spec, unique_days, None, None)
+
+
+def _scored(
+    rows: DataFrame,
+    kit: ScoringKit,
+    spec: TelemetrySpec,
+    unique_days: bool,
+    days: Observation | None,
+    lagged: Observation | None,
+) -> DataFrame:
+    """Score, and count device-days and rows with all lags on the way where asked to."""
+
+    def counted(df: DataFrame, by: Observation | None) -> DataFrame:
+        return df if by is None else df.observe(by, F.count(F.lit(1)).alias("rows"))
+
+    complete = cleaning.drop_incomplete(counted(scoring_rows(rows, kit, spec, unique_days), days))
     keep = spec.day_key
-    scaled = scaling.scale_features(complete, kit.scaler, kit.num_features.names, keep)
+    factors = {c: kit.factors[c] for c in kit.num_features.names}
+    scaled = scaling.scale_by_factors(counted(complete, lagged), factors, keep)
     usable = cleaning.drop_incomplete(
-        cleaning.parse_sentinels(cleaning.select_as(scaled, [*keep, *kit.features.names]))
+        clean_readings(cleaning.select_as(scaled, [*keep, *kit.features.names]), spec), kit.features.names
     )
     return model.predict(kit.classifier, scaling.assemble(usable, kit.features.names, keep))
 
@@ -254,18 +354,28 @@ def inference_job(
 ) -> DataFrame:
     """Score new rows (default: the cleaned table) with the saved artefacts.
 
-    `nrows` keeps the first rows in key order, as a trial run does; by default all are scored.
-    How many device-days got no prediction, for want of lags, is reported next to the artefacts.
+    `nrows` keeps the first device-days in key order, as a trial run does; by default all are scored. A
+    CSV source without a schema is read as text and takes its types from the manifest of training, so it
+    is read once and `007` stays what it is. How many device-days got no prediction, for want of lags or
+    because scaling left them incomplete, is counted while scoring and reported next to the artefacts.
     """
-    unique_days = source is None
-    rows = layout.read(spark, "cleaned") if unique_days else read_table(spark, source, fmt, schema)
+    if source is None:
+        rows = layout.read(spark, "cleaned")
+    elif fmt == "csv" and schema is None:
+        rows = spark.read.option("header", True).csv(source)
+    else:
+        rows = read_table(spark, source, fmt, schema)
+    if source is not None:
+        rows = dedup.one_row_per_day(rows, spec)
     if nrows is not None:
         rows = ranking.first_rows(rows, spec.day_key, nrows)
-    predictions = score_rows(rows, ScoringKit.load(spark, layout, spec), spec, unique_days)
+    days, lagged = Observation("days"), Observation("lagged")
+    predictions = _scored(rows, ScoringKit.load(spark, layout, spec), spec, True, days, lagged)
     # Vectors have no CSV form, so predictions are Parquet whatever the other tables are.
     write_table(predictions, layout.table("predictions"), mode=mode)
     written = read_table(spark, layout.table("predictions"))
-    days = rows if unique_days else cycles.device_days(rows, spec)
-    report_rows(layout, "scored_rows", days.count(), written.count())
+    n, full, kept = days.get["rows"], lagged.get["rows"], written.count()
+    counts = {"rows": n, "kept": kept, "dropped": n - kept, "without_lags": n - full, "after_scaling": full - kept}
+    report_counts(layout, "scored_rows", counts)
     return written
 

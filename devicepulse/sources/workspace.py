@@ -2,36 +2,48 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+WAREHOUSE_DIR = "spark.sql.warehouse.dir"
+_CLEANED: set[str] = set()
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by `spark.checkpoint.dir`, which every executor can reach.
-
-    A folder of our own is set only where none is named and the session runs in one process;
-    on a cluster a machine-local folder would be lost with its machine, so that is an error.
+    """The folder named by `spark.checkpoint.dir`, which every executor can reach; where none is named, a
+    folder beside the tables of the warehouse, which they share as well. The same on every master.
     """
     sc = spark.sparkContext
     named = spark.conf.get(CHECKPOINT_DIR, None)
-    if named:
-        if sc.getCheckpointDir() is None:
-            sc.setCheckpointDir(named)
-        return named.rstrip("/")
+    if not named:
+        named = sc.getCheckpointDir() or f"{spark.conf.get(WAREHOUSE_DIR).rstrip('/')}/_shared"
     if sc.getCheckpointDir() is None:
-        if not sc.master.startswith("local"):
-            raise ValueError(f"{CHECKPOINT_DIR} must name a shared folder on a cluster")
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="devicepulse-"))
-    return sc.getCheckpointDir().rstrip("/")
+        sc.setCheckpointDir(named)
+    return named.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder."""
-    return f"{shared_folder(spark)}/devicepulse/{uuid.uuid4().hex}/{name}"
+    """A fresh path under the shared folder. All that a session puts there is removed when its process
+    ends."""
+    folder = f"{shared_folder(spark)}/devicepulse/{spark.sparkContext.applicationId}"
+    if folder not in _CLEANED:
+        _CLEANED.add(folder)
+        atexit.register(remove, spark, folder)
+    return f"{folder}/{uuid.uuid4().hex}/{name}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared store, if it is there and the session's JVM still is."""
+    try:
+        jvm = spark.sparkContext._jvm
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(place, True)
+    except (Py4JError, AttributeError, OSError):
+        pass
 
 
 def pin(df: DataFrame) -> DataFrame:

@@ -16,8 +16,6 @@ from devicepulse.workload.views import FEATURES, SPEC
 _KEY = "user_id, device_model, date"
 _BUCKET = "((user_id % 1000003) * 7919 + cycle_seq * 104729) % 1000"
 _SPLIT = f"CASE WHEN {_BUCKET} < 800 THEN 'train' WHEN {_BUCKET} < 900 THEN 'val' ELSE 'test' END"
-# Fewer rounds than the default: the queries check that the stages work together.
-ROUNDS = 5
 
 
 @query(f"WITH {views.CYCLES_SQL} SELECT {_KEY}, cycle_seq, {_SPLIT} AS split FROM cyc")
@@ -175,7 +173,7 @@ FROM training WHERE {_SPLIT} = 'train'"""
 def mod1_fit_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which trees are fitted is not SQL's to say: they must beat the larger class as a guess."""
     vectors = _vectors(spark, sf_dir)
-    fitted = model.fit_classifier(vectors.train, SPEC, maxIter=ROUNDS)
+    fitted = model.fit_classifier(vectors.train, SPEC)
     predicted = model.predict(fitted, vectors.train)
     right = F.count_if(F.col("prediction") == F.col("failure"))
     larger = F.greatest(F.count_if(F.col("failure") == 1), F.count_if(F.col("failure") == 0))
@@ -189,7 +187,7 @@ SELECT {_SPLIT} AS split, failure, count(*) AS rows, count(*) AS predicted FROM
 def mod2_predict_each_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every row of each set gets one prediction, 0 or 1."""
     vectors = _vectors(spark, sf_dir)
-    fitted = model.fit_classifier(vectors.train, SPEC, maxIter=ROUNDS)
+    fitted = model.fit_classifier(vectors.train, SPEC)
     predicted = vectors.map(lambda part: model.predict(fitted, part))
     tagged = [
         part.select(F.lit(name).alias("split"), SPEC.target_col, "prediction")
@@ -255,7 +253,7 @@ _JOB2_SQL = (
 job_clean AS (
   SELECT {_KEY}, failure, reading, hour,
          CASE WHEN k_text NOT IN ('NA', 'na', 'NaN', 'nan', 'Infinity')
-              THEN CAST(TRY_CAST(k_text AS INTEGER) AS DOUBLE) END AS k_text,
+              THEN TRY_CAST(k_text AS BIGINT) END AS k_text,
          CASE WHEN NOT isnan(ratio) AND NOT isinf(ratio) THEN ratio END AS ratio, partial
   FROM job_days),
 job_gaps AS (
@@ -319,7 +317,7 @@ SELECT 'f1' AS "metricName", count(*) FILTER (WHERE split = 'train') > 0 AS trai
 )
 def job4_train(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The score record of the fitted model: a share for every set that has rows."""
-    scores = jobs.train_job(spark, _trained(spark, sf_dir), SPEC, maxIter=ROUNDS)
+    scores = jobs.train_job(spark, _trained(spark, sf_dir), SPEC)
     return scores.select(
         "metricName",
         *[
@@ -341,7 +339,7 @@ WHERE {" AND ".join(f"{c} IS NOT NULL" for c in [*_TRAINED, *_TRAINED_LAGS])}"""
 def mod4_scored_device_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which device-days of the raw readings get a prediction, by the saved artefacts."""
     layout = _trained(spark, sf_dir)
-    jobs.train_job(spark, layout, SPEC, maxIter=ROUNDS)
+    jobs.train_job(spark, layout, SPEC)
     kit = jobs.ScoringKit.load(spark, layout, SPEC)
     new_rows = views.readings(spark, sf_dir).drop("event_id")
     scored = jobs.score_rows(new_rows, kit, SPEC)
@@ -352,6 +350,6 @@ def mod4_scored_device_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 def job5_inference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predictions for the cleaned table, as written."""
     layout = _trained(spark, sf_dir)
-    jobs.train_job(spark, layout, SPEC, maxIter=ROUNDS)
+    jobs.train_job(spark, layout, SPEC)
     predictions = jobs.inference_job(spark, layout, SPEC)
     return predictions.select(*SPEC.day_key, F.col("prediction").isin(0.0, 1.0).alias("scored"))

@@ -245,7 +245,7 @@ SELECT l_partkey, l_suppkey, l_shipdate, l_orderkey, l_linenumber, l_quantity, l
 WHERE place = 1
 """)
 def ded1_mostly_unique_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Few repeats: all other rows pass without a shuffle."""
+    """Few repeats: only their rows are compared."""
     key = ["l_partkey", "l_suppkey", "l_shipdate"]
     payload = ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice"]
     lines = views.table(spark, sf_dir, "lineitem").select(*key, *payload)

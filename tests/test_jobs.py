@@ -62,7 +62,7 @@ def test_training_table(spark, run):
     training = run["training"]
     assert "smart_199_raw" not in training.columns, "half null"
     assert "smart_1_normalized" not in training.columns, "constant"
-    assert dict(training.dtypes)["smart_5_raw"] == "double"
+    assert dict(training.dtypes)["smart_5_raw"] == "bigint"
     assert "smart_5_raw_lag_3" in training.columns and "cycle_id" in training.columns
     assert training.count() == training.na.drop("any").count() > 0
     in_memory = run["layout"].read(spark, "cleaned").drop("smart_1_normalized")
@@ -102,7 +102,7 @@ def test_saved_artefacts_score_as_in_memory(spark, run):
     ]
     rows = run["layout"].read(spark, "cleaned")
     lagged = cycles.lag_features(cycles.with_cycles(rows.drop("failure"), SPEC), SPEC).na.drop("any")
-    scaled = scaling.scale_features(lagged, kit.scaler, kit.num_features.names, SPEC.day_key)
+    scaled = scaling.scale_by_factors(lagged, kit.factors, SPEC.day_key)
     want = model.predict(kit.classifier, scaling.assemble(scaled, kit.features.names, SPEC.day_key))
     columns = [*SPEC.day_key, "prediction"]
     assert bag(run["predictions"].select(*columns)) == bag(want.select(*columns))
@@ -137,8 +137,8 @@ def test_exact_scaling_is_near_the_sketched(spark, run, tmp_path):
     exact = jobs.feature_job(spark, other, run["spec"], exact=True)
     assert exact.train.columns == run["splits"].train.columns
     assert exact.train.count() == run["splits"].train.count()
-    factors = spark.read.parquet(other.artefact("factors"))
-    assert factors.count() == load_manifest(spark, other.manifest("num_feature")).names.__len__()
+    _, factors = jobs.load_factors(spark, other)
+    assert list(factors) == load_manifest(spark, other.manifest("num_feature")).names
 
 
 # From here on the predictions are overwritten.

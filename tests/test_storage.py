@@ -68,6 +68,8 @@ def test_manifest(spark, df, tmp_path):
 
 
 class _Context:
+    applicationId, _jvm = "app", None
+
     def __init__(self, master, current=None):
         self.master, self.current = master, current
 
@@ -88,9 +90,20 @@ def test_the_named_shared_folder_is_used():
     session = _Session("spark://cluster", {workspace.CHECKPOINT_DIR: "s3a://shared/points/"})
     assert shared_folder(session) == "s3a://shared/points"
     assert session.sparkContext.current == "s3a://shared/points/"
-    assert scratch_path(session, "t").startswith("s3a://shared/points/devicepulse/")
+    assert scratch_path(session, "t").startswith("s3a://shared/points/devicepulse/app/")
+
 
+@pytest.mark.parametrize("master", ["local[8]", "spark://cluster"])
+def test_without_one_it_is_beside_the_warehouse_on_every_master(master):
+    session = _Session(master, {workspace.WAREHOUSE_DIR: "hdfs://store/warehouse"})
+    assert shared_folder(session) == "hdfs://store/warehouse/_shared" == session.sparkContext.current
 
-def test_a_cluster_without_a_shared_folder_is_an_error():
-    with pytest.raises(ValueError, match="shared folder"):
-        shared_folder(_Session("spark://cluster", {}))
+
+def test_what_a_session_stored_can_be_removed(spark, df):
+    path = scratch_path(spark, "t")
+    write_table(df, path)
+    folder = path.rsplit("/", 1)[0]
+    workspace.remove(spark, folder)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        read_table(spark, path)
+    workspace.remove(spark, folder)
