@@ -362,7 +362,11 @@ def inference_job(
     if source is None:
         rows = layout.read(spark, "cleaned")
     elif fmt == "csv" and schema is None:
-        rows = spark.read.option("header", True).csv(source)
+        types = {f.name: f.dataType for f in load_manifest(spark, layout.manifest("cleaned"))}
+        texts = spark.read.option("header", True).csv(source)
+        rows = texts.select(
+            *[F.col(f"`{c}`").try_cast(types[c]).alias(c) if c in types else F.col(f"`{c}`") for c in texts.columns]
+        )
     else:
         rows = read_table(spark, source, fmt, schema)
     if source is not None:

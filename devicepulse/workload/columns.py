@@ -27,25 +27,34 @@ def _keyed(df: DataFrame, *columns: str) -> DataFrame:
     return df.select("event_id", *SPEC.ids, "date", "failure", *columns)
 
 
-@query(_READINGS + f"SELECT {_KEYS}, reading, {_TEXT} AS k_text, {_FINITE} AS ratio FROM readings")
+_OTHERS = "reading, hour, sparse, partial, fleet, firmware"
+
+
+@query(_READINGS + f"SELECT {_KEYS}, {_OTHERS}, {_TEXT} AS k_text, {_FINITE} AS ratio FROM readings")
 def prj1_null_sentinels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _keyed(_parsed(spark, sf_dir), "reading", "k_text", "ratio")
+    return _parsed(spark, sf_dir)
 
 
-@query(_READINGS + f"SELECT {_KEYS}, CASE WHEN k_text = 'NA' THEN NULL ELSE k_text END AS k_text FROM readings")
+@query(
+    _READINGS
+    + f"""SELECT {_KEYS}, {_OTHERS}, CASE WHEN k_text = 'NA' THEN NULL ELSE k_text END AS k_text,
+          {views.RATIO_SQL} FROM readings"""
+)
 def prj2_null_one_sentinel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _keyed(cleaning.parse_sentinels(views.readings(spark, sf_dir), ["NA"]), "k_text")
+    return views.told_ratio(cleaning.parse_sentinels(views.readings(spark, sf_dir), ["NA"]))
 
 
 @query(
     _READINGS
-    + f"""SELECT {_KEYS}, CASE WHEN k_text IN ('NA', 'na', 'NaN', 'nan') THEN NULL ELSE k_text END AS k_text,
-          FALSE AS nan_left FROM readings"""
+    + f"""SELECT * REPLACE (nullif(ratio_is, 'nan') AS ratio_is) FROM (
+          SELECT {_KEYS}, {_OTHERS},
+            CASE WHEN k_text IN ('NA', 'na', 'NaN', 'nan') THEN NULL ELSE k_text END AS k_text,
+            {views.RATIO_SQL} FROM readings)"""
 )
 def prj3_null_four_sentinels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Without an infinity in the list, infinities stay."""
     four = cleaning.parse_sentinels(views.readings(spark, sf_dir), ["NA", "na", "NaN", "nan"])
-    return _keyed(four, "k_text", F.coalesce(F.isnan("ratio"), F.lit(False)).alias("nan_left"))
+    return views.told_ratio(four)
 
 
 @query(_READINGS + f"SELECT {_KEYS}, TRY_CAST({_TEXT} AS DOUBLE) AS k_text FROM readings")
@@ -223,7 +232,7 @@ def scl8_array_element(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """SELECT l_orderkey, l_linenumber, CAST(len(list_value(l_quantity, l_tax)) AS INTEGER) AS width,
-       l_quantity AS quantity FROM lineitem"""
+       l_quantity AS quantity, l_tax AS tax FROM lineitem"""
 )
 def scl9_vector_to_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = views.table(spark, sf_dir, "lineitem")
@@ -234,6 +243,7 @@ def scl9_vector_to_array(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_linenumber",
         F.size("values").alias("width"),
         F.col("values").getItem(0).alias("quantity"),
+        F.col("values").getItem(1).alias("tax"),
     )
 
 

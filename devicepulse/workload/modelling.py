@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from devicepulse.functions import SENTINELS
 from devicepulse.operators import cleaning, model, ranking, scaling, splitting
 from devicepulse.plans import jobs
 from devicepulse.sources import read_table, scratch_path, write_table
@@ -125,6 +126,24 @@ def fea3_scale_for_training(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scaled.withColumns({c: F.round(c, 6) for c in FEATURES})
 
 
+@query(
+    f"WITH {views.DAYS_SQL} SELECT {_KEY}, TRUE AS reading_is_scaled, TRUE AS hour_is_scaled FROM days"
+)
+def fea3_scale_by_fitted_scaler(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pipeline's own scaling: every value times one over its fitted range."""
+    rows = views.slim_days(spark, sf_dir)
+    scaler = scaling.fit_scaler(rows, FEATURES)
+    scaled = scaling.scale_features(rows, scaler, FEATURES, SPEC.day_key)
+    raw = rows.select(*SPEC.day_key, *[F.col(c).alias(f"raw_{c}") for c in FEATURES])
+    both = scaled.join(raw, SPEC.day_key)
+    ranges = dict(zip(FEATURES, map(float, scaler.stages[1].range), strict=True))
+    near = [
+        (F.abs(F.col(c) * ranges[c] - F.col(f"raw_{c}")) <= 1e-9 * F.abs(f"raw_{c}")).alias(f"{c}_is_scaled")
+        for c in FEATURES
+    ]
+    return both.select(*SPEC.day_key, *near)
+
+
 @query(
     f"""WITH {views.CYCLES_SQL},
 scaled AS (SELECT failure, CAST(reading AS DOUBLE) AS reading, {_SPLIT} AS split FROM cyc)
@@ -146,14 +165,17 @@ def fea4_clean_scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tagged[0].unionByName(tagged[1]).unionByName(tagged[2])
 
 
+_MODEL_FEATURES = [*FEATURES, *[f"{c}_lag_{k}" for c in FEATURES for k in (1, 2, 3)]]
+
+
 @query(
-    f"""WITH {views.LAGS_SQL} SELECT failure, CAST(reading AS DOUBLE) AS reading,
-  CAST(reading_lag_3 AS DOUBLE) AS reading_lag_3 FROM training"""
+    f"WITH {views.LAGS_SQL} SELECT failure, "
+    + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _MODEL_FEATURES)
+    + " FROM training"
 )
 def fea5_assemble_for_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = ["reading", "reading_lag_3"]
-    vectors = scaling.assemble(views.training(spark, sf_dir), names, [SPEC.target_col])
-    return cleaning.unpack_vector(vectors, "features", names, [SPEC.target_col])
+    vectors = scaling.assemble(views.training(spark, sf_dir), _MODEL_FEATURES, [SPEC.target_col])
+    return cleaning.unpack_vector(vectors, "features", _MODEL_FEATURES, [SPEC.target_col])
 
 
 def _vectors(spark: SparkSession, sf_dir: str) -> splitting.Splits:
@@ -205,6 +227,23 @@ def mod3_weighted_f1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model.weighted_f1(counts, by=["split"]).withColumn("f1", F.round("f1", 9))
 
 
+_METRICS_SQL = GUESS_SQL + """
+SELECT split, round(sum(2 * hits / (actual + guessed) * actual) / sum(actual), 9) AS f1,
+       round(sum(hits) / sum(actual), 9) AS accuracy,
+       round(sum(CASE WHEN guessed > 0 THEN hits / guessed ELSE 0 END * actual) / sum(actual), 9)
+         AS "weightedPrecision",
+       round(sum(CASE WHEN actual > 0 THEN hits / actual ELSE 0 END * actual) / sum(actual), 9)
+         AS "weightedRecall"
+FROM classes GROUP BY split"""
+
+
+@query(_METRICS_SQL)
+def mod3_weighted_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = model.confusion(guesses(spark, sf_dir), SPEC.target_col, by=["split"])
+    made = model.weighted_metrics(counts, by=["split"])
+    return made.select("split", *[F.round(m, 9).alias(m) for m in model.METRICS])
+
+
 def _stored_readings(spark: SparkSession, sf_dir: str) -> tuple[str, jobs.Layout, DataFrame]:
     """The raw readings as a CSV folder, and a place for a run."""
     source = scratch_path(spark, "readings")
@@ -239,10 +278,12 @@ job_days AS (SELECT {_KEY}, failure, {_VALUES} FROM job_placed WHERE place = 1)"
 )
 
 
-@query(f"WITH {_JOB1_SQL} SELECT {_KEY}, failure, reading, hour, k_text, sparse, partial, fleet, firmware FROM job_days")
+@query(
+    f"""WITH {_JOB1_SQL} SELECT {_KEY}, failure, reading, hour, k_text, sparse, partial, fleet, firmware,
+  {views.RATIO_SQL} FROM job_days"""
+)
 def job1_drop_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    layout = _deduplicated(spark, sf_dir)
-    return layout.read(spark, "deduplicated").drop("ratio")
+    return views.told_ratio(_deduplicated(spark, sf_dir).read(spark, "deduplicated"))
 
 
 _TRAINED = ["reading", "hour", "k_text", "ratio", "partial"]
@@ -252,7 +293,7 @@ _JOB2_SQL = (
     + f""",
 job_clean AS (
   SELECT {_KEY}, failure, reading, hour,
-         CASE WHEN k_text NOT IN ('NA', 'na', 'NaN', 'nan', 'Infinity')
+         CASE WHEN k_text NOT IN {SENTINELS}
               THEN TRY_CAST(k_text AS BIGINT) END AS k_text,
          CASE WHEN NOT isnan(ratio) AND NOT isinf(ratio) THEN ratio END AS ratio, partial
   FROM job_days),
@@ -346,6 +387,24 @@ def mod4_scored_device_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(*SPEC.day_key, F.col("prediction").isin(0.0, 1.0).alias("scored"))
 
 
+@query(_SCORED_SQL.replace("TRUE AS scored", "TRUE AS saved_as_in_memory"))
+def job5_exact_saved_as_in_memory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trained on exact factors: predictions by the saved artefacts, and by exact factors computed anew and
+    the model at hand, which must agree on every device-day."""
+    layout = _trained(spark, sf_dir, exact=True)
+    jobs.train_job(spark, layout, SPEC)
+    saved = jobs.inference_job(spark, layout, SPEC)
+    kit = jobs.ScoringKit.load(spark, layout, SPEC)
+    named = splitting.with_split(layout.read(spark, "training"), SPEC, bucket=bucket())
+    anew = scaling.exact_factors(named.where("split = 'train'"), kit.num_features.names)
+    complete = cleaning.drop_incomplete(jobs.scoring_rows(layout.read(spark, "cleaned"), kit, SPEC, True))
+    scaled = scaling.scale_by_factors(complete, anew, SPEC.day_key)
+    at_hand = model.predict(kit.classifier, scaling.assemble(scaled, kit.features.names, SPEC.day_key))
+    other = at_hand.select(*SPEC.day_key, F.col("prediction").alias("_other"))
+    both = saved.join(other, SPEC.day_key)
+    return both.select(*SPEC.day_key, (F.col("prediction") == F.col("_other")).alias("saved_as_in_memory"))
+
+
 @query(_SCORED_SQL)
 def job5_inference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predictions for the cleaned table, as written."""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from devicepulse.functions import SENTINELS
 from devicepulse.operators import cleaning, cycles, dedup, profiling, ranking
 from devicepulse.workload import views
 from devicepulse.workload.registry import query
@@ -22,7 +23,7 @@ _MISSING = {
     "event_id": "event_id IS NULL",
     "reading": "reading IS NULL",
     "hour": "hour IS NULL",
-    "k_text": "k_text IN ('NA', 'na', 'NaN', 'nan', 'Infinity')",
+    "k_text": f"k_text IN {SENTINELS}",
     "ratio": "isnan(ratio) OR isinf(ratio)",
     "sparse": "sparse IS NULL",
     "partial": "partial IS NULL",
@@ -54,8 +55,8 @@ def agg2_null_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _COUNTED = [
-    "user_id", "device_model", "date", "failure", "event_id", "reading", "hour", "k_text", "sparse",
-    "partial", "fleet", "firmware",
+    "user_id", "device_model", "date", "failure", "event_id", "reading", "hour", "k_text", "ratio",
+    "sparse", "partial", "fleet", "firmware",
 ]
 
 

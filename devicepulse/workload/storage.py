@@ -21,8 +21,12 @@ from devicepulse.workload import views
 from devicepulse.workload.registry import query
 from devicepulse.workload.views import SPEC
 
-COLUMNS = ["user_id", "device_model", "date", "failure", "event_id", "reading", "k_text", "sparse"]
-ROWS_SQL = f"WITH {views.READINGS_SQL} SELECT {', '.join(COLUMNS)} FROM readings"
+COLUMNS = [
+    "user_id", "device_model", "date", "failure", "event_id", "reading", "hour", "k_text", "ratio",
+    "sparse", "partial", "fleet", "firmware",
+]
+ROWS_SQL = f"""WITH {views.READINGS_SQL} SELECT {', '.join(c for c in COLUMNS if c != 'ratio')}, {views.RATIO_SQL}
+FROM readings"""
 DAY_COLUMNS = [*SPEC.day_key, "failure", "reading", "hour"]
 DAY_ROWS_SQL = f"WITH {views.DAYS_SQL} SELECT {', '.join(DAY_COLUMNS)} FROM days"
 
@@ -38,7 +42,7 @@ def src1_csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _rows(spark, sf_dir)
     write_table(rows, path, "csv")
     inferred = read_table(spark, path, "csv")
-    return inferred.select(*[F.col(f.name).cast(f.dataType) for f in rows.schema.fields])
+    return views.told_ratio(inferred.select(*[F.col(f.name).cast(f.dataType) for f in rows.schema.fields]))
 
 
 @query(ROWS_SQL)
@@ -47,7 +51,7 @@ def src2_csv_parts_with_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "readings")
     rows = _rows(spark, sf_dir)
     write_table(rows, path, "csv")
-    return read_table(spark, path, "csv", schema=rows.schema)
+    return views.told_ratio(read_table(spark, path, "csv", schema=rows.schema))
 
 
 @query("SELECT user_id, event_type, value FROM events")
@@ -74,17 +78,17 @@ def snk1_csv_fail_if_present(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "readings")
     rows = _rows(spark, sf_dir)
     write_table(rows, path, "csv", mode="errorifexists")
-    return read_table(spark, path, "csv", schema=rows.schema)
+    return views.told_ratio(read_table(spark, path, "csv", schema=rows.schema))
 
 
 @query(ROWS_SQL)
 def snk2_csv_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Written twice to one place: the second write replaces the first."""
+    """Written twice to one place: the second write replaces the first, which had other rows."""
     path = scratch_path(spark, "readings")
     rows = _rows(spark, sf_dir)
+    write_table(rows.withColumn("failure", 1 - F.col("failure")).union(rows), path, "csv", mode="overwrite")
     write_table(rows, path, "csv", mode="overwrite")
-    write_table(rows, path, "csv", mode="overwrite")
-    return read_table(spark, path, "csv", schema=rows.schema)
+    return views.told_ratio(read_table(spark, path, "csv", schema=rows.schema))
 
 
 @query(DAY_ROWS_SQL)

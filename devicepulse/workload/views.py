@@ -77,6 +77,19 @@ readings AS (
   FROM events)"""
 
 
+# NaN and infinities do not compare alike everywhere: the finite value, and next to it what else it is.
+RATIO_SQL = """CASE WHEN NOT isnan(ratio) AND NOT isinf(ratio) THEN ratio END AS ratio,
+  CASE WHEN isnan(ratio) THEN 'nan' WHEN isinf(ratio) AND ratio > 0 THEN 'inf'
+       WHEN isinf(ratio) THEN '-inf' END AS ratio_is"""
+
+
+def told_ratio(df: DataFrame) -> DataFrame:
+    """`ratio` as its finite value, with `ratio_is` beside it."""
+    nan, endless = F.isnan("ratio"), F.abs("ratio") == float("inf")
+    kind = F.when(nan, "nan").when(endless & (F.col("ratio") > 0), "inf").when(endless, "-inf")
+    return df.withColumn("ratio_is", kind).withColumn("ratio", F.when(~nan & ~endless, F.col("ratio")))
+
+
 def day_order() -> list:
     """Which row of a device-day stays: a failing one first, then the earliest."""
     return [F.col("failure").desc(), F.col("event_id")]
