@@ -47,13 +47,25 @@ def dense_number(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
     return running_total(df, order, F.lit(1), name)
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
+# Of the sketch that brackets a quantile: its ranks are off by at most one in so many.
+BRACKET_ACCURACY = 10_000
+
+
+def exact_quantiles(
+    df: DataFrame,
+    columns: Sequence[str],
+    probabilities: Sequence[float],
+    accuracy: int = BRACKET_ACCURACY,
+) -> DataFrame:
     """Exact interpolated quantiles: `(column_name, probability, quantile)`.
 
-    No task holds all values of a column: the values are counted (before the shuffle, so a value
-    held by most rows is one row per task), put in order by ranges, and the two values around
-    each wanted position are picked by their running counts. Nulls are ignored.
+    A first pass keeps a mergeable sketch per column, which gives each wanted quantile a bracket that holds
+    it for sure. A second one counts what lies below the bracket, and takes out only the values inside, some
+    thousandths of the cells, counted before their shuffle; the values around the wanted place are
+    picked by running counts. Nothing is stored. A quantile outside its bracket fails the query. Columns
+    of few cells are taken whole. Nulls are ignored.
     """
+    margin = 4.0 / accuracy
     # Columns go by position up to the end: a number is cheaper than a name to group and sort by.
     cells = df.select(
         F.inline(
@@ -65,31 +77,50 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequen
             )
         )
     ).where(F.col("reading").isNotNull())
-    counted = cells.groupBy("at", "reading").agg(F.count("*").alias("n"))
-    ranked = running_total(counted, ["reading"], F.col("n"), "through", within=["at"])
-    totals = ranked.groupBy("at").agg(F.max("through").alias("total"))
+    edges = [edge for p in probabilities for edge in (max(0.0, p - margin), min(1.0, p + margin))]
+    sketched = cells.groupBy("at").agg(
+        F.count("*").alias("total"), F.percentile_approx("reading", edges, accuracy).alias("edges")
+    )
+    few = F.col("total") * margin < 2
+    wanted = [
+        F.struct(
+            F.lit(float(p)).alias("probability"),
+            ((F.col("total") - 1) * float(p)).alias("position"),
+            F.when(~few & (p - margin > 0), F.col("edges")[2 * i]).alias("least"),
+            F.when(~few & (p + margin < 1), F.col("edges")[2 * i + 1]).alias("most"),
+        )
+        for i, p in enumerate(probabilities)
+    ]
     # One row per column and probability: bounded by the arguments.
-    wanted = totals.select(
-        "at",
-        "total",
-        F.explode(F.array(*[F.lit(float(p)) for p in probabilities])).alias("probability"),
-    ).withColumn("position", (F.col("total") - 1) * F.col("probability"))
+    brackets = F.broadcast(sketched.select("at", F.inline(F.array(*wanted))))
+    met = cells.join(brackets, "at")
+    below = F.coalesce(F.col("reading") < F.col("least"), F.lit(False))
+    inside = ~below & F.coalesce(F.col("reading") <= F.col("most"), F.lit(True))
+    # What lies below is one row per bracket and task.
+    counted = (
+        met.where(below | inside)
+        .groupBy("at", "probability", "position", F.when(inside, F.col("reading")).alias("reading"), inside.alias("inside"))
+        .agg(F.count("*").alias("n"))
+    )
+    in_order = Window.partitionBy("at", "probability").orderBy("inside", "reading")
+    through = F.sum("n").over(in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranked = counted.withColumn("through", through)
     low, high = F.floor("position"), F.ceil("position")
     first = F.col("through") - F.col("n")
     holds_low = (first <= low) & (low < F.col("through"))
     holds_high = (first <= high) & (high < F.col("through"))
-    around = (
-        ranked.join(F.broadcast(wanted), "at")
-        .where(holds_low | holds_high)
-        .groupBy("at", "probability", "position")
-        .agg(F.min("reading").alias("below"), F.max("reading").alias("above"))
+    around = ranked.groupBy("at", "probability", "position").agg(
+        F.min(F.when(holds_low & F.col("inside"), F.col("reading"))).alias("below"),
+        F.min(F.when(holds_high & F.col("inside"), F.col("reading"))).alias("above"),
     )
     part = F.col("position") - F.floor("position")
     names = F.array(*[F.lit(c) for c in columns])
+    found = F.col("below") + (F.col("above") - F.col("below")) * part
+    missed = F.raise_error(F.lit("a quantile lies outside its bracket")).cast("double")
     return around.select(
         names[F.col("at")].alias("column_name"),
         "probability",
-        (F.col("below") + (F.col("above") - F.col("below")) * part).alias("quantile"),
+        F.when(F.col("below").isNull() | F.col("above").isNull(), missed).otherwise(found).alias("quantile"),
     )
 
 
