@@ -407,8 +407,8 @@ def _grouped(docs: DataFrame, join: Join, doc_id: str, text: str) -> DataFrame:
     centre = F.min(F.struct(F.xxhash64("key").alias("draw"), "key")).over(by_token)
     star = shared.withColumn("a", centre["key"]).where("key <> a").groupBy("a", F.col("key").alias("b"))
     star = with_sizes(star.agg(F.count("*").alias("met")))
-    # Half of the prefix, about; less is left to the pairs.
-    near = star.where(200 * F.col("met") >= (100 - join.share) * F.least("n_a", "n_b"))
+    # A fifth of the prefix, about; less is left to the pairs.
+    near = star.where(500 * F.col("met") >= (100 - join.share) * F.least("n_a", "n_b"))
     near = near.withColumn("_place", F.row_number().over(best)).where(F.col("_place") <= join.star_edges)
     families = _components(stored(near.select("a", "b"), "star"))
     found = corpus.compare_families(families)
@@ -416,18 +416,22 @@ def _grouped(docs: DataFrame, join: Join, doc_id: str, text: str) -> DataFrame:
     rows = shared.join(families, "key", "left").withColumn("label", F.coalesce("label", "key"))
     several = F.min("label").over(by_token) != F.max("label").over(by_token)
     rows = rows.withColumn("_several", several).where("_several")
-    mixed = stored(rows.join(n, "key").select("token", "key", "label", "n"), "mixed")
-    left = mixed.select("token", F.col("key").alias("a"), F.col("label").alias("l_a"), F.col("n").alias("n_a"))
-    right = mixed.select("token", F.col("key").alias("b"), F.col("label").alias("l_b"), F.col("n").alias("n_b"))
-    met = (
+    # How many n-grams a set can meet others on at all bounds how often it meets any one of them.
+    most = F.count(F.lit(1)).over(Window.partitionBy("key"))
+    mixed = stored(rows.join(n, "key").select("token", "key", "label", "n", most.alias("most")), "mixed")
+    left = mixed.select("token", F.col("key").alias("a"), F.col("label").alias("l_a"), F.col("n").alias("n_a"), F.col("most").alias("m_a"))
+    right = mixed.select("token", F.col("key").alias("b"), F.col("label").alias("l_b"), F.col("n").alias("n_b"), F.col("most").alias("m_b"))
+    # Past the prefix that ends first, the overlap is at most what is left of that set.
+    rest = F.greatest(*[F.ceil(F.col(c) * join.share / 100) - 1 for c in ("n_a", "n_b")])
+    needed = _needed(join, F.col("n_a"), F.col("n_b"))
+    different = (F.col("a") < F.col("b")) & (F.col("l_a") != F.col("l_b")) & fit(F.col("n_a"), F.col("n_b"))
+    open_ = (
         left.join(right, "token")
-        .where((F.col("a") < F.col("b")) & (F.col("l_a") != F.col("l_b")) & fit(F.col("n_a"), F.col("n_b")))
+        .where(different & (F.least("m_a", "m_b") + rest >= needed))
         .groupBy("a", "b")
         .agg(F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b"), F.count("*").alias("met"))
+        .where(F.col("met") + rest >= needed)
     )
-    # Past the prefix that ends first, the overlap is at most what is left of that set.
-    rest = F.greatest(*[F.ceil(F.col(c) * join.share / 100) - 1 for c in ("n_a", "n_b")])
-    open_ = met.where(F.col("met") + rest >= _needed(join, F.col("n_a"), F.col("n_b")))
     pairs = corpus.compare(open_)
     labels = _components(found.where("b IS NOT NULL").select("a", "b").union(pairs))
     counts = pairs.select(F.explode(F.array("a", "b")).alias("key"), F.lit(1).cast("bigint").alias("n"))
