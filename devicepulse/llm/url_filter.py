@@ -149,9 +149,7 @@ def _threshold(scored: DataFrame) -> float:
     return best[0]["at"] * STEP if best else float("-inf")
 
 
-def judge(
-    pages: DataFrame, rules: Sequence[DomainRule] = RULES, url: str = "url"
-) -> DataFrame:
+def judge(pages: DataFrame, rules: Sequence[DomainRule] = RULES, url: str = "url") -> DataFrame:
     """Add host, path, rule, verdict (`allow` or `block`) and score to every row.
 
     A rule decides where one fits; its rows have no score. Other URLs are blocked if their score is below
@@ -160,9 +158,10 @@ def judge(
     everything else is allowed. Columns of the added names are replaced.
     """
     added = ("host", "path", "rule", "verdict", "score")
-    kept = [F.col(f"`{c}`") for c in pages.columns if c not in added]
+    kept = [c for c in pages.columns if c not in added]
+    row = F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_row")
     text = F.col(f"`{url}`")
-    cut = pages.select(*kept, host_of(text).alias("host"), path_of(text).alias("path"), _letters(text).alias("_letters"))
+    cut = pages.select(row, host_of(text).alias("host"), path_of(text).alias("path"), _letters(text).alias("_letters"))
     ruled = cut.withColumn("_rule", rule_of(F.col("host"), F.col("path"), rules))
     held = F.pmod(F.xxhash64("_letters"), F.lit(HELD_OUT)) == 0
     known = ruled.groupBy("_letters", F.col("_rule.verdict").alias("verdict")).agg(F.count("*").alias("n"))
@@ -182,10 +181,9 @@ def judge(
     open_urls = known.where(F.col("verdict").isNull()).select("_letters")
     scores = _scores(open_urls, ratios)
     model = F.when(F.col("score") < F.lit(bar), "block").otherwise("allow")
-    return ruled.join(
-        scores.withColumn("_open", F.lit(True)), (ruled["_letters"] == scores["_letters"]) & F.col("_rule").isNull(), "left"
-    ).select(
-        *kept,
+    open_to_it = (ruled["_letters"] == scores["_letters"]) & F.col("_rule").isNull()
+    return ruled.join(scores, open_to_it, "left").select(
+        *[F.col(f"_row.`{c}`") for c in kept],
         "host",
         "path",
         F.col("_rule.rule").alias("rule"),

@@ -49,8 +49,10 @@ def ruled(host, path):
 
 
 def test_hosts_paths_and_rules(spark):
-    pages = spark.createDataFrame([(i, x, 0.5) for i, x in enumerate(URLS)], "page_id int, url string, score double")
+    schema = "page_id int, url string, score double, _letters string, _rule int"
+    pages = spark.createDataFrame([(i, x, 0.5, "a", 1) for i, x in enumerate(URLS)], schema)
     rows = u.judge(pages).collect()
+    assert all(r._letters == "a" and r._rule == 1 for r in rows)
     assert len(rows) == len(URLS)
     for r in rows:
         host, path = split(URLS[r.page_id])
