@@ -71,6 +71,12 @@ def test_apply_keeps_columns_that_clash(spark):
     assert kept.schema == docs.schema and kept.collect() == docs.collect()
 
 
+def test_a_filter_evaluates_each_text_once(spark):
+    docs = spark.createDataFrame([(1, "a b " * 5000)], "doc_id int, text string")
+    plan = q.apply(docs)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("split(") == 2 and "Generate" in plan
+
+
 def test_empty(spark):
     none = spark.createDataFrame([], "doc_id int, text string")
     assert q.ledger(none).collect() == [] and q.apply(none).collect() == []
