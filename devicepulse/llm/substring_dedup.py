@@ -141,13 +141,18 @@ def _passages(df: DataFrame, chunking: Chunking, doc_id: str, text: str) -> Data
     made = stored(chunks(df, chunking, doc_id, text), "chunks")
     seen = made.groupBy("digest").agg(F.min("doc").alias("first_doc"), F.max("doc").alias("_last"))
     again = made.join(seen.where("first_doc <> _last").drop("_last"), "digest")
-    in_text = Window.partitionBy("doc", "mark").orderBy("place")
-    # Repeated rows have every place several times; a run goes on where the place does.
-    run = F.col("place") - F.dense_rank().over(in_text)
-    runs = again.withColumn("first", F.col("doc") == F.col("first_doc")).withColumn("_run", run)
-    return (
+    # Repeated rows have every place several times; a run goes on where the place does. A passage is a run of
+    # repeated chunks; its parts are the runs within it that are first here, and those that are not.
+    in_text, of_kind = Window.partitionBy("doc", "mark"), Window.partitionBy("doc", "mark", "first")
+    place = F.col("place")
+    runs = (
+        again.withColumn("first", F.col("doc") == F.col("first_doc"))
+        .withColumn("_run", place - F.dense_rank().over(in_text.orderBy("place")))
+        .withColumn("_part", place - F.dense_rank().over(of_kind.orderBy("place")))
+    )
+    parts = (
         runs.dropDuplicates(["doc", "mark", "place"])
-        .groupBy("doc", "mark", "_run", "first")
+        .groupBy("doc", "mark", "_run", "first", "_part")
         .agg(
             F.min("begin").alias("begin"),
             F.max(F.col("begin") + F.col("size")).alias("end"),
@@ -155,6 +160,8 @@ def _passages(df: DataFrame, chunking: Chunking, doc_id: str, text: str) -> Data
             F.min("first_doc").alias("first_doc"),
         )
     )
+    whole = Window.partitionBy("doc", "mark", "_run")
+    return parts.withColumn("_words", F.sum("n_words").over(whole)).where(F.col("_words") >= chunking.words)
 
 
 def repeated_passages(
@@ -164,11 +171,12 @@ def repeated_passages(
     documents hold too, in bytes of the UTF-8 text. Documents without one have no row.
 
     is_first says that this document has the smallest id of all that hold it, so a passage is kept once;
-    first_doc is that id (of the first chunk's, where chunks differ). Rows with the same id and text are one
+    first_doc is that id (the smallest, where chunks differ). A passage that is first here in parts alone has a
+    row for each part, and has enough words if all its parts together have. Rows with the same id and text are one
     document. A null id is counted as a document of its own by its text, and is null here. Passages within
     one document alone are none.
     """
-    found = _passages(df, chunking, doc_id, text).where(F.col("n_words") >= chunking.words)
+    found = _passages(df, chunking, doc_id, text)
     return found.select(
         F.when(F.col("doc") != F.col("mark"), F.col("doc")).alias("doc_id"),
         "begin",
@@ -183,7 +191,7 @@ def without_repeats(
     df: DataFrame, chunking: Chunking = Chunking(), doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """The same rows and columns, with each passage cut out of all documents but its first."""
-    found = _passages(df, chunking, doc_id, text).where((F.col("n_words") >= chunking.words) & ~F.col("first"))
+    found = _passages(df, chunking, doc_id, text).where(~F.col("first"))
     spans = found.groupBy("doc", "mark").agg(F.array_sort(F.collect_list(F.struct("begin", "end"))).alias("__spans"))
     mark = F.xxhash64(F.col(f"`{text}`"))
     held = df.select(

@@ -1,6 +1,7 @@
 """Planted passages, cuts against their definition, and what is left of the texts."""
 
 import random
+from collections import Counter
 
 import numpy as np
 
@@ -87,6 +88,33 @@ def test_copies_repeats_nulls_and_long_texts(spark):
     assert len(texts[7, None]) < 200
 
 
+def test_near_copies_keep_every_passage_once(spark):
+    rnd = random.Random(5)
+    head, old, new, tail = (prose(rnd, n) for n in (150, 40, 40, 150))
+    family = {1: f"{head} {old} {tail}", 2: f"{head} {new} {tail}", 3: f"{head} {new} {tail}"}
+    docs = spark.createDataFrame([(i, t, None) for i, t in family.items()], SCHEMA)
+    at = len(head.encode()) + 1, len(f"{head} {new}".encode())
+    middle = sum(at) // 2
+    rows = d.repeated_passages(docs).collect()
+    # The sentence is first in 2, on its own; what is around it is not, in two parts.
+    first = [r for r in rows if r.doc_id == 2 and r.is_first]
+    assert len(first) == 1 and first[0].begin <= middle < first[0].end and first[0].first_doc == 2
+    others = [r for r in rows if r.doc_id == 2 and not r.is_first]
+    assert len(others) == 2 and not any(r.begin <= middle < r.end for r in others)
+    left = [r.text for r in d.without_repeats(docs).collect()]
+    held = Counter()
+    for text in family.values():
+        raw = text.encode()
+        ends = d.cuts(np.frombuffer(raw, np.uint8), Chunking()).tolist()
+        held.update({raw[a:b].decode() for a, b in zip([0, *ends], ends) if b < len(raw)})
+    # A text's last chunk may be a few letters, which stand elsewhere too; a chunk next to the edit may be part
+    # of a longer one of another text.
+    for chunk, n in held.items():
+        kept = sum(chunk in text for text in left)
+        assert kept == 1 if n == 3 else kept >= 1
+    assert sum(new[60:180] in text for text in left) == 1 == sum(old[60:180] in text for text in left)
+
+
 def test_no_rows(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert d.repeated_passages(none).collect() == [] == d.without_repeats(none).collect()
