@@ -1,10 +1,12 @@
 """Passages that repeat across documents, by content-defined chunks.
 
-A gear hash rolls over the bytes of a text: it depends on the last 32 bytes alone. A chunk ends where the hash
+A gear hash rolls over the bytes of a text: it depends on the last few bytes alone. A chunk ends where the hash
 is the smallest within a reach to both sides. So a passage is cut alike wherever it stands, but for the
 chunk at each of its ends, and an insertion moves no cut beyond its own surroundings; chunks are neither
-tiny nor, in ordinary text, much longer than a few reaches. They are matched by a 128-bit digest. Runs of
-neighbouring chunks that other documents hold too, with enough words, are passages.
+tiny nor, in ordinary text, much longer than a few reaches. Where a text repeats itself within a reach no hash is
+the smallest alone; there every few of the equal smallest ones cut, and the chunks between are alike too.
+They are matched by a 128-bit digest. Runs of neighbouring chunks that other documents hold too, with
+enough words, are passages.
 
 Digests are counted with partial sums, so a chunk that is in most documents is a row per task, and the join
 that follows is one that Spark splits where a digest is hot. No two documents are ever paired.
@@ -24,12 +26,13 @@ from pyspark.sql import functions as F
 from devicepulse.llm.common import sized, stored
 
 BATCH_BYTES = 2 << 20
-REACH = 32  # bytes that the hash depends on, the bits of a 32-bit number
+BITS = 32  # of a hash
 
 
 @dataclass(frozen=True)
 class Chunking:
-    """Chunks of about twice `reach` bytes; one is cut at `longest` bytes where no cut comes.
+    """Chunks of about twice `reach` bytes, by a hash of `window` bytes, a power of two up to 32; one is cut at
+    `longest` bytes where no cut comes.
 
     A passage is reported if its repeated chunks hold at least `words` words in a row. A copied passage
     loses what surrounds its ends, so that is far less than the shortest passage to be found.
@@ -39,20 +42,25 @@ class Chunking:
     longest: int = 1024
     words: int = 8
     seed: int = 29
+    window: int = BITS
+
+
+# What short words need: with 51 words of two letters there are still several whole chunks in a passage.
+FINE = Chunking(reach=16, window=8)
 
 
 def _gears(seed: int) -> np.ndarray:
     return np.random.default_rng(seed).integers(1, 1 << 32, 256, dtype=np.uint32)
 
 
-def rolling(data: np.ndarray, gears: np.ndarray) -> np.ndarray:
-    """The gear hash at every byte: each byte's number, shifted by its distance, summed over the last 32.
+def rolling(data: np.ndarray, gears: np.ndarray, window: int = BITS) -> np.ndarray:
+    """The gear hash at every byte: each byte's number, shifted by its distance, summed over the last `window`.
 
-    Sums over 1, 2, 4 … bytes are put together, so there are five steps over the whole array."""
+    Sums over 1, 2, 4 … bytes are put together, so there are few steps over the whole array."""
     h = gears[data]
-    span = 1
-    while span < REACH:
-        h[span:] = h[span:] + (h[:-span] << np.uint32(span))
+    span, shift = 1, BITS // window
+    while span < window:
+        h[span:] = h[span:] + (h[:-span] << np.uint32(span * shift))
         span *= 2
     return h
 
@@ -67,17 +75,35 @@ def _least(h: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+def _apart(found: np.ndarray, equal: np.ndarray, least: int) -> list[int]:
+    """Of the equal places, those that come at least so far after the last place found or taken.
+
+    Within a period all steps are alike, so they cut the same bytes wherever the repetition begins."""
+    taken, last, i = [], 0, 0
+    while i < len(equal):
+        k = int(np.searchsorted(found, equal[i]))
+        last = max(last, int(found[k - 1]) if k else 0)
+        if equal[i] - last >= least:
+            last = int(equal[i])
+            taken.append(last)
+        i = int(np.searchsorted(equal, last + least))
+    return taken
+
+
 def cuts(data: np.ndarray, chunking: Chunking) -> np.ndarray:
     """Where chunks end, the end of the data included; never within a character."""
     size, reach = len(data), chunking.reach
     if not size:
         return np.empty(0, np.int64)
-    h = rolling(data, _gears(chunking.seed))
+    h = rolling(data, _gears(chunking.seed), chunking.window)
     padded = np.concatenate([np.full(reach, 0xFFFFFFFF, np.uint32), h, np.full(reach, 0xFFFFFFFF, np.uint32)])
     least = _least(padded, reach)
     # Smaller than all before it in reach, and no larger than any after.
-    found = np.flatnonzero((h < least[:size]) & (h <= least[reach + 1 : reach + 1 + size])) + 1
-    ends = np.unique(np.concatenate([found, [size]]))
+    before, after = least[:size], least[reach + 1 : reach + 1 + size]
+    found = np.flatnonzero((h < before) & (h <= after)) + 1
+    # As small as the smallest in reach: one in each period of what repeats within a reach.
+    equal = np.flatnonzero((h == before) & (h <= after)) + 1
+    ends = np.unique(np.concatenate([found, np.array(_apart(found, equal, 2 * reach), np.int64), [size]]))
     begins = np.concatenate([[0], ends[:-1]])
     long = np.flatnonzero(ends - begins > chunking.longest)
     extra = [np.arange(begins[i] + chunking.longest, ends[i], chunking.longest) for i in long]
@@ -161,18 +187,20 @@ def _passages(df: DataFrame, chunking: Chunking, doc_id: str, text: str) -> Data
         )
     )
     whole = Window.partitionBy("doc", "mark", "_run")
-    return parts.withColumn("_words", F.sum("n_words").over(whole)).where(F.col("_words") >= chunking.words)
+    # What is first here in a few words alone is kept, and no row of its own.
+    enough = F.when(F.col("first"), F.col("n_words")).otherwise(F.sum("n_words").over(whole)) >= chunking.words
+    return parts.withColumn("_enough", enough).where("_enough")
 
 
 def repeated_passages(
-    df: DataFrame, chunking: Chunking = Chunking(), doc_id: str = "doc_id", text: str = "text"
+    df: DataFrame, chunking: Chunking = FINE, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """(doc_id, begin, end, n_words, is_first, first_doc): the passages of each document that other
     documents hold too, in bytes of the UTF-8 text. Documents without one have no row.
 
     is_first says that this document has the smallest id of all that hold it, so a passage is kept once;
     first_doc is that id (the smallest, where chunks differ). A passage that is first here in parts alone has a
-    row for each part, and has enough words if all its parts together have. Rows with the same id and text are one
+    row for each part; those that are not first are rows, and cut, if all parts together have enough words. Rows with the same id and text are one
     document. A null id is counted as a document of its own by its text, and is null here. Passages within
     one document alone are none.
     """
@@ -188,7 +216,7 @@ def repeated_passages(
 
 
 def without_repeats(
-    df: DataFrame, chunking: Chunking = Chunking(), doc_id: str = "doc_id", text: str = "text"
+    df: DataFrame, chunking: Chunking = FINE, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """The same rows and columns, with each passage cut out of all documents but its first."""
     found = _passages(df, chunking, doc_id, text).where(~F.col("first"))

@@ -105,7 +105,7 @@ def test_near_copies_keep_every_passage_once(spark):
     held = Counter()
     for text in family.values():
         raw = text.encode()
-        ends = d.cuts(np.frombuffer(raw, np.uint8), Chunking()).tolist()
+        ends = d.cuts(np.frombuffer(raw, np.uint8), d.FINE).tolist()
         held.update({raw[a:b].decode() for a, b in zip([0, *ends], ends) if b < len(raw)})
     # A text's last chunk may be a few letters, which stand elsewhere too; a chunk next to the edit may be part
     # of a longer one of another text.
@@ -115,6 +115,45 @@ def test_near_copies_keep_every_passage_once(spark):
     assert sum(new[60:180] in text for text in left) == 1 == sum(old[60:180] in text for text in left)
 
 
+def common_words(one, other, chunking):
+    """The most words in a row of `other` whose chunks are chunks of `one`."""
+    pieces = []
+    for t in (one, other):
+        data = np.frombuffer(t.encode(), np.uint8)
+        ends = d.cuts(data, chunking)
+        n_words = d._word_starts(data, ends).tolist()
+        pieces.append([(t.encode()[a:b], n) for a, b, n in zip([0, *ends.tolist()], ends.tolist(), n_words)])
+    held, best, run = {c for c, _ in pieces[0]}, 0, 0
+    for c, n in pieces[1]:
+        run = run + n if c in held else 0
+        best = max(best, run)
+    return best
+
+
+def short_words(rnd, n, letters="etaoinshrdlu", longest=3):
+    return " ".join("".join(rnd.choices(letters, k=rnd.randint(1, longest))) for _ in range(n))
+
+
+def test_passages_of_short_words_are_found():
+    rnd, c = random.Random(6), d.FINE
+    for letters, least in (("etaoinshrdlu", 298), ("0123456789", 298)):
+        found = 0
+        for _ in range(300):
+            passage = short_words(rnd, 51, letters)
+            one, other = (f"{short_words(rnd, 40, letters)} {passage} {short_words(rnd, 40, letters)}" for _ in range(2))
+            found += common_words(one, other, c) >= c.words
+        assert found >= least
+
+
+def test_what_repeats_within_a_reach_is_cut_alike_anywhere():
+    rnd = random.Random(8)
+    for period in ("a ", "ab cd ", "0 1 2 3 4 5 ", "é ü "):
+        passage = period * 60
+        for _ in range(20):
+            one, other = (f"{prose(rnd, rnd.randint(5, 40))} {passage} {prose(rnd, 20)}" for _ in range(2))
+            assert common_words(one, other, d.FINE) >= 8
+
+
 def test_no_rows(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert d.repeated_passages(none).collect() == [] == d.without_repeats(none).collect()
