@@ -6,7 +6,7 @@ chunk at each of its ends, and an insertion moves no cut beyond its own surround
 tiny nor, in ordinary text, much longer than a few reaches. Where a text repeats itself within a reach no hash is
 the smallest alone; there every few of the equal smallest ones cut, and the chunks between are alike too.
 They are matched by a 128-bit digest. Runs of neighbouring chunks that other documents hold too, with
-enough words, are passages.
+enough words or bytes, are passages.
 
 Digests are counted with partial sums, so a chunk that is in most documents is a row per task, and the join
 that follows is one that Spark splits where a digest is hot. No two documents are ever paired.
@@ -34,7 +34,8 @@ class Chunking:
     """Chunks of about twice `reach` bytes, by a hash of `window` bytes, a power of two up to 32; one is cut at
     `longest` bytes where no cut comes.
 
-    A passage is reported if its repeated chunks hold at least `words` words in a row. A copied passage
+    A passage is reported if its repeated chunks hold at least `words` words in a row, or `size` bytes, which
+    stand for words in scripts without spaces. A copied passage
     loses what surrounds its ends, so that is far less than the shortest passage to be found.
     """
 
@@ -43,6 +44,7 @@ class Chunking:
     words: int = 8
     seed: int = 29
     window: int = BITS
+    size: int = 128
 
 
 # What short words need: with 51 words of two letters there are still several whole chunks in a passage.
@@ -183,12 +185,14 @@ def _passages(df: DataFrame, chunking: Chunking, doc_id: str, text: str) -> Data
             F.min("begin").alias("begin"),
             F.max(F.col("begin") + F.col("size")).alias("end"),
             F.sum("n_words").alias("n_words"),
+            F.sum("size").alias("_size"),
             F.min("first_doc").alias("first_doc"),
         )
     )
     whole = Window.partitionBy("doc", "mark", "_run")
     # What is first here in a few words alone is kept, and no row of its own.
-    enough = F.when(F.col("first"), F.col("n_words")).otherwise(F.sum("n_words").over(whole)) >= chunking.words
+    held = lambda name: F.when(F.col("first"), F.col(name)).otherwise(F.sum(name).over(whole))
+    enough = (held("n_words") >= chunking.words) | (held("_size") >= chunking.size)
     return parts.withColumn("_enough", enough).where("_enough")
 
 
@@ -200,7 +204,7 @@ def repeated_passages(
 
     is_first says that this document has the smallest id of all that hold it, so a passage is kept once;
     first_doc is that id (the smallest, where chunks differ). A passage that is first here in parts alone has a
-    row for each part; those that are not first are rows, and cut, if all parts together have enough words. Rows with the same id and text are one
+    row for each part; those that are not first are rows, and cut, if all parts together have enough. Rows with the same id and text are one
     document. A null id is counted as a document of its own by its text, and is null here. Passages within
     one document alone are none.
     """

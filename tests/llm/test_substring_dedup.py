@@ -154,6 +154,21 @@ def test_what_repeats_within_a_reach_is_cut_alike_anywhere():
             assert common_words(one, other, d.FINE) >= 8
 
 
+def test_long_repeats_without_spaces_are_found(spark):
+    rnd = random.Random(9)
+    token = lambda letters, n: "".join(rnd.choices(letters, k=n))
+    han, code = "".join(map(chr, range(0x4E00, 0x4F00))), "abcdefgh0123(){};,.=+"
+    rows = []
+    for letters, n in ((han, 150), (code, 450)):
+        passage = token(letters, n)
+        rows += [(len(rows) + k, token(letters, n) + passage + token(letters, n), None) for k in range(2)]
+        rows += [(len(rows), token(letters, n), None)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    assert {(r.doc_id, r.is_first) for r in d.repeated_passages(docs).collect()} == {(0, True), (1, False), (3, True), (4, False)}
+    texts = {r.doc_id: r.text for r in d.without_repeats(docs).collect()}
+    assert all((len(texts[i]) < len(t) * 0.8) == (i in (1, 4)) for i, t, _ in rows)
+
+
 def test_no_rows(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert d.repeated_passages(none).collect() == [] == d.without_repeats(none).collect()
