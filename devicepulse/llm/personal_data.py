@@ -253,6 +253,28 @@ class Tagger:
             path.append(step[np.arange(len(path[-1])), path[-1]])
         return np.stack(path[::-1])
 
+    def best_path(self, blocks: Iterator[np.ndarray]) -> np.ndarray:
+        """The best tags (T) for scores (T, tags) that come in blocks; a byte per character and tag is held."""
+        moves, back, best = self.moves(), [], None
+        for block in blocks:
+            steps = np.zeros(block.shape, np.int8)
+            for t, row in enumerate(block):
+                if best is None:
+                    best = START + row
+                    continue
+                through = best[:, None] + moves
+                steps[t] = through.argmax(0)
+                best = through.max(0) + row
+            back.append(steps)
+        tag, path = int(best.argmax()), []
+        for steps in reversed(back):
+            part = np.empty(len(steps), np.int8)
+            for t in range(len(steps) - 1, -1, -1):
+                part[t] = tag
+                tag = steps[t, tag]
+            path.append(part)
+        return np.concatenate(path[::-1])
+
 
 def _logsum(x: np.ndarray, axis: int) -> np.ndarray:
     top = x.max(axis)
@@ -376,16 +398,19 @@ def stretches(text: str) -> list[tuple[int, int]]:
 def model_spans(texts: list[str], model: Tagger, most_windows: int = 2048) -> list[list[Span]]:
     """Spans of the model in each text, before they are held against the patterns.
 
-    Stretches of like length are read together. A stretch longer than `most_windows` windows is cut into
-    parts of that size, which lie over each other by a stride at every cut.
+    Stretches of like length are read together. A stretch longer than `most_windows` windows is read by so
+    many at a time, and decoded as one.
     """
-    part = most_windows * STRIDE
     jobs = []
+    out: list[list[Span]] = [[] for _ in texts]
     for i, text in enumerate(texts):
         for a, b in stretches(text):
-            jobs += [(i, at, min(b, at + part + STRIDE)) for at in range(a, b, part)]
+            if b - a > most_windows * STRIDE + STRIDE:
+                path = model.best_path(_score_blocks(char_ids(text[a:b]), model, most_windows))
+                out[i] += _tagged(path, a)
+            else:
+                jobs.append((i, a, b))
     jobs.sort(key=lambda j: j[2] - j[1])
-    out: list[list[Span]] = [[] for _ in texts]
     held, windows = [], 0
     for job in jobs:
         n = max(1, -(-(job[2] - job[1] - WINDOW) // STRIDE) + 1)
@@ -424,16 +449,44 @@ def _read(jobs, texts, model: Tagger, out) -> None:
     total[weight == 0, 1:] = _BARRED
     paths = model.best_paths(total)
     for k, (i, a, b) in enumerate(jobs):
-        tags, t = paths[: b - a, k], 0
-        while t < len(tags):
-            if tags[t] and TAGS[tags[t]][0] == "B":
-                end = t + 1
-                while end < len(tags) and tags[end] == tags[t] + 1:
-                    end += 1
-                out[i].append((TAGS[tags[t]][2:], a + t, a + end))
-                t = end
-            else:
-                t += 1
+        out[i] += _tagged(paths[: b - a, k], a)
+
+
+def _score_blocks(ids: np.ndarray, model: Tagger, most_windows: int) -> Iterator[np.ndarray]:
+    """The scores of a stretch, block by block; characters that the next windows read too are held back."""
+    starts = range(0, max(1, len(ids) - WINDOW + STRIDE), STRIDE)
+    total, weight, begin = np.zeros((0, len(TAGS))), np.zeros(0), 0
+    for k in range(0, len(starts), most_windows):
+        some = starts[k : k + most_windows]
+        rows = np.zeros((WINDOW, len(some)), np.int64)
+        for w, at in enumerate(some):
+            cut = ids[at : at + WINDOW]
+            rows[: len(cut), w] = cut
+        scores = model.emissions(rows)
+        more = min(len(ids), some[-1] + WINDOW) - begin - len(total)
+        total, weight = np.concatenate([total, np.zeros((more, len(TAGS)))]), np.concatenate([weight, np.zeros(more)])
+        for w, at in enumerate(some):
+            n = min(WINDOW, len(ids) - at)
+            total[at - begin : at - begin + n] += scores[:n, w] * _TRUST[:n, None]
+            weight[at - begin : at - begin + n] += _TRUST[:n]
+        done = len(total) if some[-1] == starts[-1] else some[-1] + STRIDE - begin
+        yield total[:done] / weight[:done, None]
+        total, weight, begin = total[done:], weight[done:], begin + done
+
+
+def _tagged(tags: np.ndarray, begin: int) -> list[Span]:
+    """The spans that a path of tags marks."""
+    found, t = [], 0
+    while t < len(tags):
+        if tags[t] and TAGS[tags[t]][0] == "B":
+            end = t + 1
+            while end < len(tags) and tags[end] == tags[t] + 1:
+                end += 1
+            found.append((TAGS[tags[t]][2:], begin + t, begin + end))
+            t = end
+        else:
+            t += 1
+    return found
 
 
 _SECRET = re.compile(r"[A-Za-z0-9_\-]{16,}")

@@ -107,6 +107,15 @@ def test_parts_of_a_long_stretch():
     assert len(secrets) == 60 and len(secrets & {(a, b) for k, a, b in cut if k == "secret"}) >= 45
 
 
+def test_a_stretch_read_in_parts_is_decoded_as_one():
+    model, secret = p.train(), "9b0b3c6a43eb78aa99cbd7049c572391524f37a8"
+    text = " ".join(f'er token = "{secret}" th {i % 10}.0' for i in range(60))
+    whole = p.model_spans([text], model)[0]
+    assert sum(k == "secret" for k, _, _ in whole) == 60
+    for most in (1, 2, 3, 4, 7, 50):
+        assert p.model_spans([text], model, most_windows=most)[0] == whole
+
+
 def test_rows(spark):
     rows = [(1, "mail a@b.cc", "x"), (1, "mail a@b.cc", "x"), (None, None, None), (2, "", "y"), (3, "x " * 50_000 + "1.2.3.4", "z")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, spans string").repartition(3)
