@@ -5,7 +5,7 @@ is the smallest within a reach to both sides. So a passage is cut alike wherever
 chunk at each of its ends, and an insertion moves no cut beyond its own surroundings; chunks are neither
 tiny nor, in ordinary text, much longer than a few reaches. Where a text repeats itself within a reach no hash is
 the smallest alone; there every few of the equal smallest ones cut, and the chunks between are alike too.
-They are matched by a 128-bit digest. Runs of neighbouring chunks that other documents hold too, with
+They are matched by a 96-bit digest. Runs of neighbouring chunks that other documents hold too, with
 enough words or bytes, are passages.
 
 Digests are counted with partial sums, so a chunk that is in most documents is a row per task, and the join
@@ -146,7 +146,7 @@ def chunks(df: DataFrame, chunking: Chunking, doc_id: str = "doc_id", text: str
                 ends = cuts(data, chunking)
                 begins = np.concatenate([[0], ends[:-1]])
                 spans = zip(begins.tolist(), ends.tolist(), strict=True)
-                digests += [blake2b(raw[a:b], digest_size=16).digest() for a, b in spans]
+                digests += [blake2b(raw[a:b], digest_size=12).digest() for a, b in spans]
                 rows += [i] * len(ends)
                 parts.append(np.stack([np.arange(len(ends)), begins, ends - begins, _word_starts(data, ends)]))
             take, numbers = pa.array(rows, pa.int32()), np.concatenate(parts, 1)
@@ -168,7 +168,19 @@ def chunks(df: DataFrame, chunking: Chunking, doc_id: str = "doc_id", text: str
 def _passages(df: DataFrame, chunking: Chunking, doc_id: str, text: str) -> DataFrame:
     made = stored(chunks(df, chunking, doc_id, text), "chunks")
     seen = made.groupBy("digest").agg(F.min("doc").alias("first_doc"), F.max("doc").alias("_last"))
-    again = made.join(seen.where("first_doc <> _last").drop("_last"), "digest")
+    # Four numbers in two columns, as the shuffle of all chunks is what takes most disk.
+    pair = lambda a, b: F.shiftleft(F.col(a).cast("bigint"), 32).bitwiseOR(F.col(b).cast("bigint"))
+    slim = made.select("digest", "doc", "mark", pair("place", "begin").alias("_at"), pair("size", "n_words").alias("_has"))
+    low = lambda c: F.col(c).bitwiseAND(F.lit((1 << 32) - 1)).cast("int")
+    again = slim.join(seen.where("first_doc <> _last").drop("_last"), "digest").select(
+        "doc",
+        "mark",
+        "first_doc",
+        F.shiftright("_at", 32).cast("int").alias("place"),
+        low("_at").alias("begin"),
+        F.shiftright("_has", 32).cast("int").alias("size"),
+        low("_has").alias("n_words"),
+    )
     # Repeated rows have every place several times; a run goes on where the place does. A passage is a run of
     # repeated chunks; its parts are the runs within it that are first here, and those that are not.
     in_text, of_kind = Window.partitionBy("doc", "mark"), Window.partitionBy("doc", "mark", "first")
