@@ -5,15 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from devicepulse.llm import bpe, jaccard_join, mixing, personal_data, quality_model, quality_rules, substring_dedup
+from devicepulse.llm import (
+    alignment,
+    bpe,
+    jaccard_join,
+    mixing,
+    packing,
+    personal_data,
+    quality_model,
+    quality_rules,
+    substring_dedup,
+)
+from devicepulse.llm.coders import ByteLevel, Coder, Pieces
 from devicepulse.llm.common import stored, table
 from devicepulse.llm.registry import query
 
 
-def vocabulary_path() -> str:
+def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def bpe_digests(docs: DataFrame, vocabulary) -> DataFrame:
@@ -125,3 +136,24 @@ def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return jaccard_join.link_documents(docs, jaccard_join.Join(width=4, share=85))
+
+
+@query()
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    bytes_, pieces = Coder(spark, vocabulary_path(), ByteLevel), Coder(spark, vocabulary_path("piece_bpe_32k.model"), Pieces)
+    # The groups are only wanted as digests, which are much shorter to store.
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")
+    index = alignment.index(docs, bytes_, pieces).withColumn("groups", digest)
+    found = alignment.scored_documents(stored(index, "alignment"))
+    counts = [*alignment.COUNTS, "n_best", "count_sum"]
+    return found.select("doc.doc_id", *counts, F.col("groups").alias("groups_sha256"))
+
+
+@query()
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    pieces = packing.cut(docs, Coder(spark, vocabulary_path(), ByteLevel))
+    # Tokens are not moved: the packing needs lengths only.
+    slim = pieces.select("doc_id", "piece", "start", "length", F.crc32("tokens").alias("ids_crc32"))
+    return packing.pack(slim)
