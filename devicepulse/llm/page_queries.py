@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from devicepulse.llm import url_filter, vector_search, warc
+from devicepulse.llm import url_filter, vector_search, warc, whitening
 from devicepulse.llm.common import table
 from devicepulse.llm.registry import query
 
@@ -51,3 +52,20 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10"""
 def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return vector_search.top_k(vectors, vectors.where("vec_id % 100 = 0"))
+
+
+@query()
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    model = whitening.fit(vectors)
+    made = whitening.transform(vectors, model)
+    explained = F.array(*[F.lit(float(x)) for x in model.explained]).cast("array<double>")
+    return made.select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened")).select(
+        "vec_id",
+        (F.col("at") + 1).alias("component"),
+        F.lit(model.n).cast("bigint").alias("n"),
+        "deviation",
+        "whitened",
+        F.get(explained, "at").alias("explained"),
+        F.lit(model.identity_error).alias("identity_error"),
+    )

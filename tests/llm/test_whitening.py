@@ -1,0 +1,149 @@
+"""The solver against numpy's, the transform against plain arithmetic."""
+
+import math
+import random
+
+import numpy as np
+import pytest
+
+from devicepulse.llm import whitening as w
+
+SCHEMA = "vec_id bigint, embedding array<double>"
+
+
+def matrices():
+    rnd = np.random.default_rng(0)
+    yield "plain", rnd.normal(size=(500, 24))
+    yield "wide", rnd.normal(size=(6, 24))
+    yield "one column", rnd.normal(size=(50, 1))
+    yield "two columns", rnd.normal(size=(50, 2))
+    yield "low rank", rnd.normal(size=(100, 4)) @ rnd.normal(size=(4, 20))
+    yield "graded", rnd.normal(size=(300, 40)) * 10.0 ** -np.arange(40).clip(0, 10)
+    yield "constant columns", rnd.normal(size=(80, 12)) * (np.arange(12) % 2)
+    yield "equal values", np.vstack([np.eye(9), -np.eye(9)] * 2)
+    yield "equal pairs", np.vstack([np.diag([3.0, 3, 2, 2, 1]), -np.diag([3.0, 3, 2, 2, 1])])
+    yield "large", rnd.normal(size=(60, 10)) * 1e150
+    yield "small", rnd.normal(size=(60, 10)) * 1e-150
+
+
+@pytest.mark.parametrize("name,x", list(matrices()))
+def test_solver(name, x):
+    c = x - x.mean(0)
+    r = w.reduced(c[i : i + 17] for i in range(0, len(c), 17))
+    values, vectors = w.principal(r, 16)
+    single = np.linalg.svd(c, compute_uv=False)
+    rank = int((single > 1e-12 * single[0]).sum())
+    assert len(values) == min(16, rank)
+    assert np.allclose(np.sqrt(values), single[: len(values)], rtol=1e-12, atol=1e-14 * single[0])
+    assert np.allclose(vectors.T @ vectors, np.eye(len(values)), atol=1e-13)
+    # Relative to each value's own size, so that small directions count as much as large ones.
+    made = c @ vectors / np.sqrt(values)
+    assert np.allclose(made.T @ made, np.eye(len(values)), atol=1e-4 if name == "graded" else 1e-11)
+
+
+def test_bidiagonal_keeps_the_singular_values():
+    x = np.random.default_rng(1).normal(size=(30, 12))
+    a, b, p = w.bidiagonal(np.linalg.qr(x, mode="r"))
+    full = np.diag(a) + np.diag(b, 1)
+    assert np.allclose(p.T @ p, np.eye(12), atol=1e-14)
+    assert np.allclose(full.T @ full, p.T @ x.T @ x @ p, atol=1e-12)
+
+
+def test_dqds_is_accurate_for_small_values():
+    """A graded bidiagonal, whose small singular values are known to high relative accuracy."""
+    diagonal, upper = 10.0 ** -np.arange(8), 0.5 * 10.0 ** -np.arange(7)
+    got = w.squared_singular_values(diagonal, upper)
+    # The product of all values is that of the diagonal, which a loss in any of them would show.
+    assert np.isclose(got.prod(), (diagonal**2).prod(), rtol=1e-12)
+    assert (np.diff(got) < 0).all()
+
+
+def plain(rows, most=16):
+    kept = [(i, [math.floor(64 * c) + 1_000_000 for c in v]) for i, v in rows if v and all(c is not None and math.isfinite(c) for c in v)]
+    if not kept:
+        return {}
+    each = np.array(sorted({tuple(x) for _, x in kept}), np.int64)
+    n, sums = len(each), each.sum(0)
+    c = (n * each - sums) / n
+    values, vectors = np.linalg.eigh(c.T @ c / n)
+    values, vectors = values[::-1], vectors[:, ::-1]
+    good = [k for k in range(min(most, len(values))) if values[k] > 1e-20 * max(values[0], 1e-300) and values[0] > 1e-9]
+    out = {}
+    for i, x in kept:
+        away = n * np.array(x) - sums
+        for k in good:
+            white = float(away / n @ vectors[:, k] / math.sqrt(values[k]))
+            out[i, k + 1] = (n, int((away**2).sum()), abs(white), values[k] / values.sum())
+    return out
+
+
+def made(spark, rows, schema=SCHEMA, parts=5):
+    df = spark.createDataFrame(rows, schema).repartition(parts)
+    model = w.fit(df)
+    out = {}
+    signs = {}
+    for r in w.transform(df, model).collect():
+        for k, x in enumerate(r.whitened):
+            out[r.vec_id, k + 1] = (model.n, r.deviation, abs(x), model.explained[k])
+            signs.setdefault(k, []).append(x)
+    return out, model
+
+
+@pytest.mark.parametrize("fan_in", [32, 2])
+def test_equals_plain_arithmetic(spark, monkeypatch, fan_in):
+    monkeypatch.setattr(w, "FAN_IN", fan_in)
+    rnd = random.Random(7)
+    scale = [rnd.uniform(0.2, 3) for _ in range(20)]
+    rows = [(i, [rnd.gauss(0, s) for s in scale]) for i in range(400)]
+    # A third of the rows share a vector, some are not usable.
+    rows += [(400 + i, rows[3][1]) for i in range(200)]
+    rows += [(900, None), (901, []), (902, [None] * 20), (903, [math.nan] * 20), (904, [1.0] * 19 + [math.inf])]
+    want, (got, model) = plain(rows), made(spark, rows)
+    assert got.keys() == want.keys() and len(got) == 600 * 16
+    for key, (n, deviation, white, explained) in want.items():
+        assert got[key][:2] == (n, deviation)
+        assert got[key][2] == pytest.approx(white, abs=1e-9)
+        assert got[key][3] == pytest.approx(explained, rel=1e-9)
+    assert model.identity_error < 1e-10
+
+
+@pytest.mark.parametrize("rows", [[], [(1, None)], [(1, [0.5, 1.0])], [(1, [0.5, 1.0]), (2, [0.5, 1.0])]])
+def test_without_differences_there_is_no_component(spark, rows):
+    got, model = made(spark, rows)
+    assert got == {} and len(model.values) == 0
+
+
+def test_fewer_components_than_asked(spark):
+    rows = [(i, [float(i), 2.0 * i, 5.0]) for i in range(10)]
+    got, model = made(spark, rows)
+    assert len(model.values) == 1 and len(got) == 10 and model.explained[0] == pytest.approx(1)
+
+
+def test_other_columns_stay(spark):
+    rows = [(i, [float(i), float(i * i)], "a", "b", "c") for i in range(6)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, x string, given string, whitened string")
+    out = w.transform(df, w.fit(df))
+    assert out.columns == ["vec_id", "x", "given", "deviation", "whitened"]
+    assert {(r.vec_id, r.x, r.given) for r in out.collect()} == {(i, "a", "b") for i in range(6)}
+
+
+def test_unlike_lengths_raise(spark):
+    with pytest.raises(ValueError, match="as many entries"):
+        w.fit(spark.createDataFrame([(1, [1.0]), (2, [1.0, 2.0])], SCHEMA))
+
+
+def test_registered_query(spark):
+    import pyarrow.parquet as pq
+
+    from devicepulse.llm.catalog import QUERIES
+
+    folder = "/root/testdata/sf0.001"
+    rows = [(r["vec_id"], r["embedding"]) for r in pq.read_table(f"{folder}/embeddings.parquet").to_pylist()]
+    want = plain(rows)
+    got = QUERIES["op13_whitening"](spark, folder)
+    assert got.columns == ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"]
+    held = {(r.vec_id, r.component): (r.n, r.deviation, abs(r.whitened), r.explained) for r in got.collect()}
+    assert held.keys() == want.keys()
+    for key, value in want.items():
+        assert held[key][:2] == value[:2]
+        assert held[key][2:] == pytest.approx(value[2:], rel=1e-6, abs=1e-9)
