@@ -84,6 +84,26 @@ def win4_numbered_cycle_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.dense_number(starts, SPEC.day_key, "cycle_id")
 
 
+@query(
+    _READINGS
+    + """SELECT event_id, date, sparse AS known,
+  last_value(sparse IGNORE NULLS) OVER w AS sparse, last_value(firmware IGNORE NULLS) OVER w AS firmware,
+  last_value(CASE WHEN event_id % 997 = 5 THEN reading END IGNORE NULLS) OVER w AS rare
+FROM readings WINDOW w AS (ORDER BY date, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
+)
+def win5_fill_over_the_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """In one order over all devices; `rare` is known so seldom that whole ranges lack it."""
+    rows = views.readings(spark, sf_dir).select(
+        "event_id",
+        "date",
+        F.col("sparse").alias("known"),
+        "sparse",
+        "firmware",
+        F.when(F.col("event_id") % 997 == 5, F.col("reading")).alias("rare"),
+    )
+    return ranking.carry_forward(rows, ["date", "event_id"], ["sparse", "firmware", "rare"])
+
+
 @query(
     _CYCLES
     + f"""SELECT {_ROW}, {", ".join(

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter
+from contextlib import contextmanager
 from datetime import date, timedelta
 
 from devicepulse.spec import TelemetrySpec
@@ -31,3 +33,20 @@ def bag(df) -> Counter:
 
 def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
+
+
+@contextmanager
+def shuffled_rows(spark):
+    """The rows that each stage run inside wrote to a shuffle, whatever queries started it."""
+    sc, group, written = spark.sparkContext, uuid.uuid4().hex, []
+    sc.setJobGroup(group, group)
+    try:
+        yield written
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        tracker, store = sc.statusTracker(), sc._jsc.sc().statusStore()
+        stages = {s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds}
+        for stage in sorted(stages):
+            data = store.lastStageAttempt(stage)
+            if data.status().toString() == "COMPLETE":
+                written.append(data.shuffleWriteRecords())
