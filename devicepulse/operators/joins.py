@@ -13,13 +13,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from devicepulse.spec import TelemetrySpec
+from devicepulse.spec import DEVICE_HASH, TelemetrySpec
 
 
 def _same(df: DataFrame, other: DataFrame, key: Sequence[str], how: str) -> DataFrame:
     """Equi-join on columns of the same names, null-safe; the key stands once, as by a join on names."""
     renamed = other.withColumnsRenamed({k: f"_right_{k}" for k in key})
-    same = [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in key]
+    # The hash of the device is never null. A plain comparison keeps the layout of tables that are laid out by it.
+    same = [
+        F.col(k) == F.col(f"_right_{k}") if k == DEVICE_HASH else F.col(k).eqNullSafe(F.col(f"_right_{k}"))
+        for k in key
+    ]
     joined = df.join(renamed, same, how).drop(*[f"_right_{k}" for k in key])
     return joined.select(*key, *[c for c in joined.columns if c not in key])
 

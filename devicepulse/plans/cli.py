@@ -31,6 +31,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--fmt", default="csv", help="format of the source")
     parser.add_argument("--schema", help="manifest of the source; types are inferred without one")
     parser.add_argument("--table-fmt", default="parquet", help="format of the stage tables")
+    parser.add_argument("--buckets", type=int, help="lay stage tables out by device in so many parts")
     parser.add_argument("--ids", default=",".join(defaults.id_cols))
     parser.add_argument("--date", default=defaults.date_col)
     parser.add_argument("--target", default=defaults.target_col)
@@ -57,7 +58,7 @@ def main(argv: list[str] | None = None) -> None:
         holdout_fraction=args.holdout,
         seed=args.seed,
     )
-    layout = jobs.Layout(args.root, args.table_fmt)
+    layout = jobs.Layout(args.root, args.table_fmt, args.buckets)
     schema = load_manifest(spark, args.schema) if args.schema else None
     mode = {"mode": args.mode} if args.mode else {}
     if args.job == "drop-duplicates":

@@ -19,24 +19,33 @@ from pyspark.sql import types as T
 from devicepulse.functions import null_sentinels
 from devicepulse.operators import cleaning, cycles, dedup, joins, model, ranking, scaling, splitting
 from devicepulse.sources import (
+    Buckets,
+    commit_table,
+    current_version,
     load_classifier,
     load_manifest,
+    read_current,
     read_table,
     save_artefact,
     save_manifest,
     without_target,
     write_scores,
-    write_table,
 )
-from devicepulse.spec import TelemetrySpec
+from devicepulse.spec import DEVICE_HASH, TelemetrySpec
 
 
 @dataclass(frozen=True)
 class Layout:
-    """Where a run keeps its tables and artefacts."""
+    """Where a run keeps its tables and artefacts.
+
+    Tables are versions (see `sources.versions`): a job that stops halfway leaves each table as it was, with its
+    types. With `buckets`, stage tables that have the device's hash are laid out by it in so many parts, and the
+    joins and windows of later jobs need no shuffle. Give as many as a shuffle would have partitions.
+    """
 
     root: str
     fmt: str = "parquet"
+    buckets: int | None = None
 
     def table(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/tables/{name}"
@@ -47,14 +56,33 @@ class Layout:
     def manifest(self, name: str) -> str:
         return self.artefact(f"{name}_columns")
 
-    def read(self, spark: SparkSession, name: str) -> DataFrame:
-        """A stage table; its types come from its manifest where the format has none of its own."""
-        schema = load_manifest(spark, self.manifest(name)) if self.fmt == "csv" else None
-        return read_table(spark, self.table(name), self.fmt, schema)
-
-    def write(self, df: DataFrame, name: str, mode: str, partition_by: Sequence[str] = ()) -> None:
-        write_table(df, self.table(name), self.fmt, mode, partition_by)
-        save_manifest(df, self.manifest(name))
+    def schema(self, spark: SparkSession, name: str) -> T.StructType:
+        """The types of a stage table, without the column that it is laid out by."""
+        version = current_version(spark, self.table(name))
+        if version is None:
+            raise FileNotFoundError(f"no table {name} in {self.root}")
+        return T.StructType([f for f in version.schema.fields if f.name != DEVICE_HASH])
+
+    def read(self, spark: SparkSession, name: str, laid_out: bool = False) -> DataFrame:
+        """A stage table; with `laid_out` including the column that it may be laid out by."""
+        rows = read_current(spark, self.table(name))
+        return rows if laid_out else rows.drop(DEVICE_HASH)
+
+    def write(
+        self,
+        df: DataFrame,
+        name: str,
+        mode: str,
+        partition_by: Sequence[str] = (),
+        spec: TelemetrySpec | None = None,
+        placed: bool = False,
+    ) -> None:
+        """Commit a version. Tables with the device's hash are laid out by it where `buckets` is given, ordered
+        by the day key of `spec`; `placed` says that they come from such tables."""
+        buckets = None
+        if self.buckets and spec and DEVICE_HASH in df.columns:
+            buckets = Buckets((DEVICE_HASH,), self.buckets, tuple(spec.hashed().day_key))
+        commit_table(df, self.table(name), self.fmt, mode, partition_by, buckets, placed)
 
 
 def report_counts(layout: Layout, name: str, counts: dict[str, int]) -> None:
@@ -116,8 +144,9 @@ def drop_duplicates_job(
     mode: str = "errorifexists",
 ) -> DataFrame:
     """One row per device-day. `mostly_unique` spares a wide table with few repeats its shuffle."""
-    rows = read_table(spark, source, fmt, schema)
-    layout.write(dedup.one_row_per_day(rows, spec, order, mostly_unique), "deduplicated", mode)
+    rows = dedup.one_row_per_day(read_table(spark, source, fmt, schema), spec, order, mostly_unique)
+    rows = spec.with_device_hash(rows) if layout.buckets else rows
+    layout.write(rows, "deduplicated", mode, spec=spec)
     return layout.read(spark, "deduplicated")
 
 
@@ -132,9 +161,13 @@ def preprocess_job(
 
     Cycles are found on the key columns alone. Failed cycles hold few of all rows, so the wide
     table is not shuffled to find them: it is joined with their device-days, and only what is left
-    is laid out by device for the lags.
+    is laid out by device for the lags. Where stage tables are laid out by device, nothing is shuffled but
+    profiles and, if asked for, the numbers of cycles.
     """
-    raw = clean_readings(layout.read(spark, "deduplicated"), spec)
+    deduplicated, plain = layout.read(spark, "deduplicated", laid_out=True), spec
+    spec = spec.hashed() if DEVICE_HASH in deduplicated.columns else spec
+    by_device = {"spec": plain, "placed": True}
+    raw = clean_readings(deduplicated, spec)
     # A text column that holds only numbers is one whose file also held markers. Any other stays text: it is
     # no feature, and what kept it from being one is reported.
     texts = [
@@ -148,25 +181,26 @@ def preprocess_job(
         raw = cleaning.restore_numbers(raw, [c for c, k in types.items() if k == kind], kind)
     numbers = clean_readings(raw, spec)
     sparse = cleaning.sparse_columns(numbers, spec)
-    layout.write(cleaning.drop_columns(numbers, sparse), "cleaned", mode)
-    cleaned = layout.read(spark, "cleaned")
+    layout.write(cleaning.drop_columns(numbers, sparse), "cleaned", mode, **by_device)
+    cleaned = layout.read(spark, "cleaned", laid_out=True)
 
     keyed = cleaned.select(*spec.day_key, spec.target_col)
     flagged = cycles.with_failed_flag(cycles.with_cycles(keyed, spec), spec).drop(spec.target_col)
-    layout.write(flagged, "cycle_rows", mode)
-    cycle_rows = layout.read(spark, "cycle_rows")
+    layout.write(flagged, "cycle_rows", mode, **by_device)
+    cycle_rows = layout.read(spark, "cycle_rows", laid_out=True)
     if number_cycles:
-        layout.write(cycles.number_cycles(cycle_rows, spec), "cycle", mode)
-        cycle_rows = layout.read(spark, "cycle")
-    layout.write(cycle_rows.where("cycle_failed").drop("cycle_failed"), "failed_cycle", mode)
-
-    failed = joins.with_cycle_columns(cleaned, layout.read(spark, "failed_cycle"), spec)
-    layout.write(failed, "failed_rows", mode)
-    failed = layout.read(spark, "failed_rows")
+        # Numbers follow the device columns, not their hash, and come by a join on those.
+        layout.write(cycles.number_cycles(cycle_rows, plain), "cycle", mode, spec=plain)
+        cycle_rows = layout.read(spark, "cycle", laid_out=True)
+    layout.write(cycle_rows.where("cycle_failed").drop("cycle_failed"), "failed_cycle", mode, **by_device)
+
+    failed = joins.with_cycle_columns(cleaned, layout.read(spark, "failed_cycle", laid_out=True), spec)
+    layout.write(failed, "failed_rows", mode, **by_device)
+    failed = layout.read(spark, "failed_rows", laid_out=True)
     constant = cleaning.constant_columns(failed, spec)
     varied = cleaning.drop_columns(failed, constant)
     lagged = cycles.lag_features(varied, spec, no_lag_cols=[*spec.reserved, *_texts(varied)])
-    layout.write(cleaning.drop_incomplete(lagged), "training", mode)
+    layout.write(cleaning.drop_incomplete(lagged).drop(DEVICE_HASH), "training", mode)
     training = layout.read(spark, "training")
     report_rows(layout, "training_rows", failed.count(), training.count())
     return training
@@ -233,12 +267,12 @@ def save_factors(spark: SparkSession, layout: Layout, factors: dict[str, float],
         for i, (c, x) in enumerate(factors.items())
     ]
     table = spark.range(1).coalesce(1).select(F.inline(F.array(*lines)))
-    write_table(table, layout.artefact("factors"), mode=mode)
+    commit_table(table, layout.artefact("factors"), mode=mode)
 
 
 def load_factors(spark: SparkSession, layout: Layout) -> tuple[str, dict[str, float]]:
     """The number of the fit, and the factors. One row per feature reaches the driver."""
-    rows = read_table(spark, layout.artefact("factors")).orderBy("position").collect()
+    rows = read_current(spark, layout.artefact("factors")).orderBy("position").collect()
     return rows[0].fit, {r.column_name: r.factor for r in rows}
 
 
@@ -277,6 +311,9 @@ class ScoringKit:
 
     @classmethod
     def load(cls, spark: SparkSession, layout: Layout, spec: TelemetrySpec) -> ScoringKit:
+        def stage(name: str) -> T.StructType:
+            return without_target(layout.schema(spark, name), spec.target_col)
+
         def columns(name: str) -> T.StructType:
             return without_target(load_manifest(spark, layout.manifest(name)), spec.target_col)
 
@@ -285,8 +322,8 @@ class ScoringKit:
         if fit != trained_with:
             raise ValueError("the model was trained with other scaling factors: run the train job again")
         return cls(
-            columns("cleaned"),
-            columns("training"),
+            stage("cleaned"),
+            stage("training"),
             columns("num_feature"),
             columns("feature"),
             factors,
@@ -362,7 +399,7 @@ def inference_job(
     if source is None:
         rows = layout.read(spark, "cleaned")
     elif fmt == "csv" and schema is None:
-        types = {f.name: f.dataType for f in load_manifest(spark, layout.manifest("cleaned"))}
+        types = {f.name: f.dataType for f in layout.schema(spark, "cleaned")}
         texts = spark.read.option("header", True).csv(source)
         rows = texts.select(
             *[F.col(f"`{c}`").try_cast(types[c]).alias(c) if c in types else F.col(f"`{c}`") for c in texts.columns]
@@ -376,8 +413,8 @@ def inference_job(
     days, lagged = Observation("days"), Observation("lagged")
     predictions = _scored(rows, ScoringKit.load(spark, layout, spec), spec, True, days, lagged)
     # Vectors have no CSV form, so predictions are Parquet whatever the other tables are.
-    write_table(predictions, layout.table("predictions"), mode=mode)
-    written = read_table(spark, layout.table("predictions"))
+    commit_table(predictions, layout.table("predictions"), mode=mode)
+    written = read_current(spark, layout.table("predictions"))
     n, full, kept = days.get["rows"], lagged.get["rows"], written.count()
     counts = {"rows": n, "kept": kept, "dropped": n - kept, "without_lags": n - full, "after_scaling": full - kept}
     report_counts(layout, "scored_rows", counts)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import uuid
+import warnings
 
 from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
@@ -37,13 +38,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def remove(spark: SparkSession, path: str) -> None:
-    """Delete a folder of the shared store, if it is there and the session's JVM still is."""
+    """Delete a folder of the shared store, if it is there and the session's JVM still is. What could not be
+    deleted is told."""
+    context = spark.sparkContext
+    if getattr(context, "_jsc", None) is None:
+        return
     try:
-        jvm = spark.sparkContext._jvm
-        place = jvm.org.apache.hadoop.fs.Path(path)
-        place.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(place, True)
-    except (Py4JError, AttributeError, OSError):
-        pass
+        place = context._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
+    except (Py4JError, AttributeError, OSError) as error:
+        warnings.warn(f"{path} is left behind: {error}", stacklevel=2)
 
 
 def pin(df: DataFrame) -> DataFrame:

@@ -5,8 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The column of stage tables that they are laid out by. It is never null, whatever the device columns hold.
+DEVICE_HASH = "_device"
+
 
 @dataclass(frozen=True)
 class TelemetrySpec:
@@ -68,6 +72,15 @@ class TelemetrySpec:
     def with_(self, **changes) -> TelemetrySpec:
         return replace(self, **changes)
 
+    def hashed(self) -> TelemetrySpec:
+        """The same for tables that have `DEVICE_HASH`: it comes before the device columns in every key, so that
+        windows and joins of tables laid out by it need no shuffle."""
+        return self if DEVICE_HASH in self.id_cols else replace(self, id_cols=(DEVICE_HASH, *self.id_cols))
+
+    def with_device_hash(self, df: DataFrame) -> DataFrame:
+        ids = [c for c in self.id_cols if c != DEVICE_HASH]
+        return df.withColumn(DEVICE_HASH, F.xxhash64(*ids))
+
 
 def numeric_cols(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]

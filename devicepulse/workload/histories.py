@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from devicepulse.operators import cycles, dedup, joins, profiling, ranking, splitting
-from devicepulse.sources import pin
+from devicepulse.sources import Buckets, commit_table, pin, read_current, scratch_path
+from devicepulse.spec import DEVICE_HASH
 from devicepulse.workload import views
 from devicepulse.workload.registry import query
 from devicepulse.workload.storage import bucket
@@ -188,6 +189,38 @@ def jon5_telemetry_with_failed_cycles(spark: SparkSession, sf_dir: str) -> DataF
     return joins.with_cycle_columns(views.slim_days(spark, sf_dir), failed, SPEC, "left")
 
 
+def _staged(rows: DataFrame, parts: int = 8, placed: bool = False) -> DataFrame:
+    """Rows as a stage table that is laid out by device."""
+    hashed = SPEC.hashed()
+    folder = scratch_path(rows.sparkSession, "stage")
+    commit_table(rows, folder, buckets=Buckets((DEVICE_HASH,), parts, tuple(hashed.day_key)), placed=placed)
+    return read_current(rows.sparkSession, folder)
+
+
+@query(
+    _CYCLES
+    + f"""SELECT {_KEY}, failure, reading, hour,
+  CASE WHEN cycle_failed THEN cycle_seq END AS cycle_seq,
+  CASE WHEN cycle_failed THEN cycle_start END AS cycle_start FROM flagged"""
+)
+def jon5_over_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both sides are stage tables laid out by device, so the joins shuffle nothing."""
+    hashed = SPEC.hashed()
+    days = _staged(SPEC.with_device_hash(views.slim_days(spark, sf_dir)))
+    cycle_rows = _staged(cycles.cycle_rows(days.select(*hashed.day_key), hashed, unique_days=True), placed=True)
+    failed = joins.rows_of_failed_cycles(cycle_rows, days, hashed)
+    return joins.with_cycle_columns(days, failed, hashed, "left").drop(DEVICE_HASH)
+
+
+@query(_LAGS + f"SELECT {_ROW}, {_LAG_COLS} FROM training")
+def win_training_rows_over_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cycles, failed cycles and lags over a stage table laid out by device: no shuffle."""
+    hashed = SPEC.hashed()
+    rows = cycles.with_cycles(_staged(SPEC.with_device_hash(views.slim_days(spark, sf_dir))), hashed)
+    failed = cycles.keep_failed_cycles(rows, hashed)
+    return cycles.lag_features(failed, hashed).na.drop("any").drop(DEVICE_HASH)
+
+
 @query(
     _CYCLES
     + f"""SELECT {_ROW}, CASE WHEN bucket < 800 THEN 'train' WHEN bucket < 900 THEN 'val' ELSE 'test' END AS split

@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import contextlib
+
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from devicepulse.operators import cleaning, model, profiling, ranking, scaling, splitting
 from devicepulse.sources import (
+    commit_table,
+    current_version,
     load_manifest,
     load_scaler,
+    read_current,
     read_table,
     save_artefact,
     save_manifest,
@@ -91,6 +97,19 @@ def snk2_csv_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.told_ratio(read_table(spark, path, "csv", schema=rows.schema))
 
 
+@query(DAY_ROWS_SQL.replace("SELECT user_id", "SELECT 2 AS version, user_id"))
+def snk2_overwrite_by_version(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table that is overwritten, then once more by a write that stops halfway: readers stay at the second."""
+    folder = scratch_path(spark, "days")
+    rows = views.days(spark, sf_dir).select(*DAY_COLUMNS)
+    commit_table(rows.where("hour < 12"), folder)
+    commit_table(rows, folder, mode="overwrite")
+    stops = F.when(F.col("user_id") < 0, 0).otherwise(F.raise_error(F.lit("the write stops here")))
+    with contextlib.suppress(PySparkException):
+        commit_table(rows.withColumn("reading", stops), folder, mode="overwrite")
+    return read_current(spark, folder).withColumn("version", F.lit(current_version(spark, folder).number))
+
+
 @query(DAY_ROWS_SQL)
 def snk3_sorted_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table in key order, in parts that executors write."""

@@ -30,13 +30,13 @@ def _raw(spark):
     return wide.union(wide.where(F.col("failure") == 1).withColumn("failure", F.lit(0)))
 
 
-@pytest.fixture(scope="module", params=["parquet", "csv"])
+@pytest.fixture(scope="module", params=["parquet", "csv", "buckets"])
 def run(request, spark, tmp_path_factory):
     folder = tmp_path_factory.mktemp(f"run_{request.param}")
     source, root = str(folder / "source"), str(folder / "root")
     raw = _raw(spark)
     write_table(raw, source, "csv")
-    layout = jobs.Layout(root, request.param)
+    layout = jobs.Layout(root, buckets=4) if request.param == "buckets" else jobs.Layout(root, request.param)
     spec = TelemetrySpec()
     out = {"layout": layout, "raw": raw, "source": source, "spec": spec}
     out["deduplicated"] = jobs.drop_duplicates_job(spark, source, layout, spec, schema=raw.schema)

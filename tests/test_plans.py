@@ -43,6 +43,14 @@ def test_shuffles(spark, name, shuffles):
     assert len(re.findall(r"Exchange (?:hash|range|Single)", plan)) == shuffles
 
 
+@pytest.mark.parametrize("name", ["jon5_over_stages", "win_training_rows_over_stages"])
+def test_stage_tables_are_not_shuffled(spark, settings, name):
+    settings("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plan = plan_of(QUERIES[name](spark, SF_DIR))
+    assert "Exchange" not in plan and "SelectedBucketsCount: 8 out of 8" in plan
+    assert ("SortMergeJoin" in plan) == name.startswith("jon")
+
+
 def test_duplicates_are_cut_inside_the_map_tasks(spark):
     plan = plan_of(QUERIES["ded1_one_row_per_device_day"](spark, SF_DIR))
     assert plan.count("WindowGroupLimit") == 2
