@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from devicepulse.operators.ranking import exact_quantiles
+from devicepulse.operators.ranking import exact_quantiles, top_by_count
 from devicepulse.spec import TelemetrySpec, numeric_cols
 
 
@@ -104,6 +104,18 @@ def _lane(field: T.StructField) -> tuple[str, Column]:
     return "text", column.cast("string")
 
 
+def cells_by_lane(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """A short row per cell: the `keep` columns, `column_name`, and the value as `whole`, `real` or `text`. Columns
+    named in `keep` are cells too."""
+    empty = {"whole": "bigint", "real": "double", "text": "string"}
+    lines = []
+    for field in df.schema.fields:
+        lane, value = _lane(field)
+        parts = [(value if e == lane else F.lit(None).cast(t)).alias(e) for e, t in empty.items()]
+        lines.append(F.struct(F.lit(field.name).alias("column_name"), *parts))
+    return df.select(*[_c(k) for k in keep], F.inline(F.array(*lines)))
+
+
 def distinct_profile(df: DataFrame, approximate: bool = False, rsd: float = 0.02) -> DataFrame:
     """Distinct values of every column, exact or by a sketch per column.
 
@@ -197,6 +209,45 @@ def gap_variety(gaps: DataFrame, spec: TelemetrySpec, gap_col: str = "gap_days")
     return present.groupBy(*spec.ids).agg(F.count_distinct(gap_col).alias("gap_lengths"))
 
 
+# Buckets of keys whose rows are counted together, to bound the counts of the keys in them.
+COUNT_BUCKETS = 1 << 16
+
+
+def top_counts(df: DataFrame, columns: Sequence[str], n: int, buckets: int = COUNT_BUCKETS) -> DataFrame:
+    """The `n` most frequent values with their `rows`, most first, ties in key order: the first of `value_counts`.
+
+    Rows are first counted per bucket of a hash of the key, which moves a number per bucket and task. No key
+    has more rows than its bucket. The keys of the largest buckets are counted exactly, and the n-th of those
+    counts bars every bucket that has fewer rows; only keys of the others, ties included, are counted and moved.
+    Where counts are so even that half of the rows are left, all keys are counted. The bar is found when this
+    is called; a number per bucket reaches the driver.
+    """
+    bucket = F.pmod(F.xxhash64(*[_c(c) for c in columns]), F.lit(buckets)).cast("int")
+    keys = df.select(*[_c(c) for c in columns], bucket.alias("_bucket"))
+    held = keys.groupBy("_bucket").agg(F.count("*").alias("rows")).collect()
+    sizes = sorted(((row["rows"], row["_bucket"]) for row in held), reverse=True)
+
+    def counted(numbers: Sequence[int]) -> DataFrame:
+        rows = _in_buckets(keys, numbers)
+        return value_counts(rows.drop("_bucket"), columns)
+
+    first = counted([b for _, b in sizes[: 4 * n]])
+    best = [row["rows"] for row in top_by_count(first, "rows", columns, n).select("rows").collect()]
+    bar = best[n - 1] if len(best) == n else 0
+    left = [(rows, b) for rows, b in sizes if rows >= bar]
+    if 2 * sum(rows for rows, _ in left) >= sum(rows for rows, _ in sizes):
+        return top_by_count(value_counts(df, columns), "rows", columns, n)
+    return top_by_count(counted([b for _, b in left]), "rows", columns, n)
+
+
+def _in_buckets(keys: DataFrame, numbers: Sequence[int]) -> DataFrame:
+    chosen = keys.sparkSession.range(1).coalesce(1).select(
+        F.explode(F.from_json(F.lit(str(list(numbers))), "array<int>")).alias("_bucket")
+    )
+    # At most a number per bucket.
+    return keys.join(F.broadcast(chosen), "_bucket", "left_semi")
+
+
 def class_means(df: DataFrame, spec: TelemetrySpec, columns: Sequence[str] | None = None) -> DataFrame:
     columns = columns or spec.numeric_feature_cols(df)
     return df.groupBy(spec.target_col).agg(*[F.mean(_c(c)).alias(c) for c in columns])

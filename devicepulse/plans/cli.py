@@ -5,6 +5,7 @@
     spark-submit devicepulse/plans/cli.py features        --root R
     spark-submit devicepulse/plans/cli.py train           --root R
     spark-submit devicepulse/plans/cli.py inference       --root R [--source S] [--nrows N]
+    spark-submit devicepulse/plans/cli.py new-days        --root R --source S --part P
 
 Memory and other session settings are spark-submit's to give.
 """
@@ -16,7 +17,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from devicepulse.plans import jobs
-from devicepulse.sources import load_manifest
+from devicepulse.sources import load_manifest, read_table
 from devicepulse.spec import TelemetrySpec
 
 
@@ -24,10 +25,11 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     defaults = TelemetrySpec()
     parser = argparse.ArgumentParser(description="Device telemetry jobs")
     parser.add_argument(
-        "job", choices=["drop-duplicates", "preprocess", "features", "train", "inference"]
+        "job", choices=["drop-duplicates", "preprocess", "features", "train", "inference", "new-days"]
     )
     parser.add_argument("--root", required=True, help="folder for tables and artefacts")
-    parser.add_argument("--source", help="input of drop-duplicates and inference")
+    parser.add_argument("--source", help="input of drop-duplicates, inference and new-days")
+    parser.add_argument("--part", help="new-days: name of the part that the new days are")
     parser.add_argument("--fmt", default="csv", help="format of the source")
     parser.add_argument("--schema", help="manifest of the source; types are inferred without one")
     parser.add_argument("--table-fmt", default="parquet", help="format of the stage tables")
@@ -73,6 +75,11 @@ def main(argv: list[str] | None = None) -> None:
         jobs.feature_job(spark, layout, spec, **mode)
     elif args.job == "train":
         jobs.train_job(spark, layout, spec)
+    elif args.job == "new-days":
+        if not args.source or not args.part:
+            raise SystemExit("new-days needs --source and --part")
+        rows = read_table(spark, args.source, args.fmt, schema)
+        jobs.new_days_job(spark, layout, spec, rows, args.part, **mode)
     else:
         jobs.inference_job(
             spark, layout, spec, args.source, args.fmt, schema, nrows=args.nrows, **mode

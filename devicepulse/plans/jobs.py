@@ -17,15 +17,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from devicepulse.functions import null_sentinels
-from devicepulse.operators import cleaning, cycles, dedup, joins, model, ranking, scaling, splitting
+from devicepulse.operators import cleaning, cycles, dedup, joins, model, ranking, scaling, splitting, tails
 from devicepulse.sources import (
     Buckets,
     commit_table,
     current_version,
     load_classifier,
     load_manifest,
+    pin,
     read_current,
     read_table,
+    read_version,
     save_artefact,
     save_manifest,
     without_target,
@@ -339,14 +341,21 @@ def scoring_rows(
     Cycles are added in place, so that cycles and lags share one shuffle by device. `unique_days`
     says that device-days are unique already, which saves the other one.
     """
-    one = rows if unique_days else dedup.one_row_per_day(rows, spec)
-    typed = cleaning.select_as(clean_readings(one, spec), kit.preprocessed)
-    aligned = clean_readings(typed, spec)
+    aligned = _aligned(rows, kit, spec, unique_days)
     lagged = cycles.lag_features(
         cycles.with_cycles(aligned, spec), spec, no_lag_cols=[*spec.reserved, *_texts(aligned)]
     )
-    names = [c for c in kit.lagged.names if c not in spec.cycle_cols]
-    return lagged.select(*names)
+    return lagged.select(*_lagged_names(kit, spec))
+
+
+def _aligned(rows: DataFrame, kit: ScoringKit, spec: TelemetrySpec, unique_days: bool) -> DataFrame:
+    """Cleaned rows with the columns and types of training, one per device-day."""
+    one = rows if unique_days else dedup.one_row_per_day(rows, spec)
+    return clean_readings(cleaning.select_as(clean_readings(one, spec), kit.preprocessed), spec)
+
+
+def _lagged_names(kit: ScoringKit, spec: TelemetrySpec) -> list[str]:
+    return [c for c in kit.lagged.names if c not in spec.cycle_cols]
 
 
 def score_rows(
@@ -356,6 +365,10 @@ def score_rows(
     return _scored(rows, kit, spec, unique_days, None, None)
 
 
+def _counted(df: DataFrame, by: Observation | None) -> DataFrame:
+    return df if by is None else df.observe(by, F.count(F.lit(1)).alias("rows"))
+
+
 def _scored(
     rows: DataFrame,
     kit: ScoringKit,
@@ -365,14 +378,15 @@ def _scored(
     lagged: Observation | None,
 ) -> DataFrame:
     """Score, and count device-days and rows with all lags on the way where asked to."""
+    return _predicted(_counted(scoring_rows(rows, kit, spec, unique_days), days), kit, spec, lagged)
 
-    def counted(df: DataFrame, by: Observation | None) -> DataFrame:
-        return df if by is None else df.observe(by, F.count(F.lit(1)).alias("rows"))
 
-    complete = cleaning.drop_incomplete(counted(scoring_rows(rows, kit, spec, unique_days), days))
+def _predicted(rows: DataFrame, kit: ScoringKit, spec: TelemetrySpec, lagged: Observation | None = None) -> DataFrame:
+    """Predictions for rows laid out as the training table."""
+    complete = cleaning.drop_incomplete(rows)
     keep = spec.day_key
     factors = {c: kit.factors[c] for c in kit.num_features.names}
-    scaled = scaling.scale_by_factors(counted(complete, lagged), factors, keep)
+    scaled = scaling.scale_by_factors(_counted(complete, lagged), factors, keep)
     usable = cleaning.drop_incomplete(
         clean_readings(cleaning.select_as(scaled, [*keep, *kit.features.names]), spec), kit.features.names
     )
@@ -420,3 +434,29 @@ def inference_job(
     report_counts(layout, "scored_rows", counts)
     return written
 
+
+
+def new_days_job(
+    spark: SparkSession,
+    layout: Layout,
+    spec: TelemetrySpec,
+    rows: DataFrame,
+    part: str,
+    mode: str = "errorifexists",
+) -> DataFrame:
+    """Score the newest days of known and new devices by what is stored of each device's last days.
+
+    `rows` are days after all that were scored so before, and `part` names them. Their cycles and lags are the
+    ones that the whole history would give. Predictions are committed before the tails, so a job that
+    stops in between is run once more for the same part with `mode="overwrite"`.
+    """
+    kit = ScoringKit.load(spark, layout, spec)
+    version = current_version(spark, layout.table("tails"))
+    aligned = _aligned(rows, kit, spec, False)
+    tail = read_version(spark, version) if version else None
+    found = pin(tails.continued(tail, aligned, spec))
+    lagged = tails.new_rows_with_lags(found, spec, [*spec.reserved, *_texts(aligned)])
+    predictions = _predicted(lagged.select(*_lagged_names(kit, spec)), kit, spec)
+    commit_table(predictions, layout.table(f"new_predictions/{part}"), mode=mode)
+    commit_table(tails.latest(found, spec), layout.table("tails"), mode="overwrite")
+    return read_current(spark, layout.table(f"new_predictions/{part}"))

@@ -281,3 +281,21 @@ ORDER BY rows DESC, user_id, device_model LIMIT 10"""
 def lim3_top_devices(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = profiling.rows_per_device(views.readings(spark, sf_dir), SPEC)
     return ranking.top_by_count(counts, "rows", SPEC.ids, 10)
+
+
+@query(
+    """SELECT l_partkey, l_suppkey, count(*) AS rows FROM lineitem GROUP BY ALL
+ORDER BY rows DESC, l_partkey, l_suppkey LIMIT 10"""
+)
+def lim3_top_pairs_by_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Many values: most of them cannot be among the first, as bounds of their counts tell."""
+    return profiling.top_counts(views.table(spark, sf_dir, "lineitem"), ["l_partkey", "l_suppkey"], 10)
+
+
+@query(
+    _READINGS
+    + """SELECT user_id, device_model, count(*) AS rows FROM readings GROUP BY ALL
+ORDER BY rows DESC, user_id, device_model LIMIT 10"""
+)
+def lim3_top_devices_by_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profiling.top_counts(views.readings(spark, sf_dir), SPEC.ids, 10)

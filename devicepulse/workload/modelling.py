@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -412,3 +414,24 @@ def job5_inference(spark: SparkSession, sf_dir: str) -> DataFrame:
     jobs.train_job(spark, layout, SPEC)
     predictions = jobs.inference_job(spark, layout, SPEC)
     return predictions.select(*SPEC.day_key, F.col("prediction").isin(0.0, 1.0).alias("scored"))
+
+
+@query(_SCORED_SQL.replace("TRUE AS scored", "TRUE AS same_as_at_once"))
+def mod4_scored_by_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw readings in three parts, one after the other, each with the stored tails of the days before: the
+    same device-days get the same predictions as all readings at once give."""
+    layout = _trained(spark, sf_dir)
+    jobs.train_job(spark, layout, SPEC)
+    rows = views.readings(spark, sf_dir).drop("event_id")
+    first, last = rows.agg(F.min("date"), F.max("date")).first()
+    step = (last - first) // 3
+    edges = [first, first + step, first + 2 * step, last + timedelta(days=1)]
+    found = None
+    for i, (low, high) in enumerate(zip(edges, edges[1:], strict=False)):
+        part = jobs.new_days_job(spark, layout, SPEC, rows.where(F.col("date").between(low, high - timedelta(days=1))), str(i))
+        found = part if found is None else found.unionByName(part)
+    at_once = jobs.score_rows(rows, jobs.ScoringKit.load(spark, layout, SPEC), SPEC)
+    other = at_once.select(*SPEC.day_key, F.col("prediction").alias("_other"))
+    both = found.join(other, SPEC.day_key, "full")
+    same = F.coalesce(F.col("prediction") == F.col("_other"), F.lit(False))
+    return both.select(*SPEC.day_key, same.alias("same_as_at_once"))

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from devicepulse.functions import SENTINELS
-from devicepulse.operators import cleaning, cycles, dedup, profiling, ranking
+from devicepulse.operators import cleaning, cycles, dedup, profiling, ranking, states
+from devicepulse.sources import scratch_path
 from devicepulse.workload import views
 from devicepulse.workload.registry import query
 from devicepulse.workload.views import SPEC
@@ -80,6 +81,28 @@ def agg4_constant_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profiling.constant_profile(views.readings(spark, sf_dir).select(*_COUNTED))
 
 
+_STATE_SQL = _READINGS + " UNION ALL ".join(
+    f"""SELECT '{c}' AS column_name, count(*) AS rows, count(*) - count({c}) AS null_count,
+  round((count(*) - count({c})) / CAST(count(*) AS DOUBLE), 9) AS null_fraction,
+  count(DISTINCT {c}) < 2 AS is_constant, count(DISTINCT {c}) AS distinct_count FROM readings"""
+    for c in _COUNTED
+)
+
+
+@query(_STATE_SQL)
+def agg2_profile_of_merged_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nulls, constants and distinct values from stored states of days, delivered in two parts, the second of
+    which brings a day of the first once more."""
+    rows = views.readings(spark, sf_dir).select(*_COUNTED)
+    counts, values = scratch_path(spark, "states"), scratch_path(spark, "values")
+    parts = F.pmod(F.datediff("date", F.lit("2024-01-01")), F.lit(4))
+    for part in (parts < 3, parts >= 2):
+        states.save_days(states.day_states(rows.where(part), "date"), counts, "date")
+        states.save_days(states.day_values(rows.where(part), "date"), values, "date")
+    profile = states.merged_profile(spark.read.parquet(counts), spark.read.parquet(values))
+    return profile.withColumn("null_fraction", F.round("null_fraction", 9))
+
+
 @query(_READINGS + "SELECT min(date) AS first_date, max(date) AS last_date FROM readings")
 def agg5_date_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profiling.date_range(views.readings(spark, sf_dir), SPEC)
