@@ -295,7 +295,9 @@ def mixed_documents(
     texts = texts.groupBy("__key").agg(F.first("__row").alias("__row"))
     whole = F.coalesce(F.col(f"__row.`{text}`"), F.lit(""))
     found = F.regexp_extract_all(whole, F.lit(f"[{SPACES}]*[^{SPACES}]+(?:[{SPACES}]+$)?"), F.lit(0))
-    joined = copies.join(texts, "__key").select("__row", "__spans", found.alias("__words"))
+    # A generator stands between the words and what is made of them, else the optimizer would cut the text into
+    # words anew for each span.
+    joined = copies.join(texts, "__key").select("__row", "__spans", F.explode(F.array(found)).alias("__words"))
     cut = F.array_join(
         F.flatten(
             F.transform(

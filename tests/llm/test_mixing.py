@@ -1,6 +1,7 @@
 """Targets against the rule written out, and what a mix must hold."""
 
 import random
+import time
 
 from devicepulse.llm import mixing
 from devicepulse.llm.mixing import Mix
@@ -122,3 +123,17 @@ def test_permutation_takes_every_block_once(spark):
         j = spark.range(3 * n).select(F.col("id").alias("j"), F.lit(n).cast("bigint").alias("n_blocks"), F.lit(1).alias("source_no"))
         counts = j.select(mixing._permuted(Mix()).alias("b")).groupBy("b").count().collect()
         assert sorted((r.b, r["count"]) for r in counts) == [(b, 3) for b in range(n)]
+
+
+def test_a_text_is_cut_into_words_once(spark):
+    """Not once for each of its spans: a text of 200,000 words has thousands of them."""
+    rows = [(1, " ".join(f"w{i}" for i in range(200_000)), "a"), (2, "b c", "b")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    made = mixing.mixed_documents(docs)
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    words = [line for line in plan.split("\n") if "regexp_extract_all" in line]
+    assert words and not any("lambdafunction" in line and "regexp_extract_all" in line.split("lambdafunction", 1)[1] for line in words)
+    began = time.monotonic()
+    sizes = {r.doc_id: len(r.text.split()) for r in made.collect()}
+    assert time.monotonic() - began < 60
+    assert sizes
