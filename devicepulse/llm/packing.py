@@ -17,7 +17,6 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -220,15 +219,21 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, length: str = "length") ->
     span = int(counts.sum()) + 1
     keys = lengths * span + firsts
 
-    @F.pandas_udf("sequence_id bigint, offset bigint")
-    def place(size: pd.Series, rank: pd.Series) -> pd.DataFrame:
-        at = np.searchsorted(keys, size.to_numpy() * span + rank.to_numpy(), side="right") - 1
-        return pd.DataFrame({"sequence_id": sequences[at] + rank.to_numpy() - firsts[at], "offset": offsets[at]})
+    schema = T.StructType(
+        [rows.schema["given"], T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())]
+    )
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rank = batch.column(2).to_numpy()
+            at = np.searchsorted(keys, batch.column(1).to_numpy() * span + rank, side="right") - 1
+            made = [pa.array(sequences[at] + rank - firsts[at]), pa.array(offsets[at])]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *made], schema.names)
 
     # Groups of this window are parts of one partition; the next one runs over partitions, not rows.
     inside = F.row_number().over(Window.partitionBy("size", "part").orderBy("at")).cast("bigint") - 1
     earlier = Window.partitionBy("size").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     before = per_part.select("size", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
     ranked = rows.withColumn("inside", inside).join(before, ["size", "part"])
-    placed = ranked.select("given", place("size", F.col("before") + F.col("inside")).alias("placed"))
-    return placed.select("given.*", "placed.*")
+    placed = ranked.select("given", "size", (F.col("before") + F.col("inside")).alias("rank")).mapInArrow(place, schema)
+    return placed.select("given.*", "sequence_id", "offset")
