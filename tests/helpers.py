@@ -7,6 +7,8 @@ from collections import Counter
 from contextlib import contextmanager
 from datetime import date, timedelta
 
+from py4j.protocol import Py4JJavaError
+
 from devicepulse.spec import TelemetrySpec
 
 SPEC = TelemetrySpec()
@@ -44,9 +46,14 @@ def shuffled_rows(spark):
         yield written
     finally:
         sc.setLocalProperty("spark.jobGroup.id", None)
+        # What the stages did is told by events, which come after the results.
+        sc._jsc.sc().listenerBus().waitUntilEmpty()
         tracker, store = sc.statusTracker(), sc._jsc.sc().statusStore()
         stages = {s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds}
         for stage in sorted(stages):
-            data = store.lastStageAttempt(stage)
+            try:
+                data = store.lastStageAttempt(stage)
+            except Py4JJavaError:
+                continue  # a stage that never ran, as its output was there
             if data.status().toString() == "COMPLETE":
                 written.append(data.shuffleWriteRecords())
