@@ -5,9 +5,12 @@ is the smallest within a reach to both sides. So a passage is cut alike wherever
 chunk at each of its ends, and an insertion moves no cut beyond its own surroundings; chunks are neither
 tiny nor, in ordinary text, much longer than a few reaches. Where a text repeats itself within a reach no hash is
 the smallest alone; there every few of the equal smallest ones cut, and the chunks between are alike too.
-They are matched by a 96-bit digest. Runs of neighbouring chunks that other documents hold too, with
-enough words or bytes, are passages.
+They are matched by a 96-bit digest. Runs of neighbouring chunks that other documents hold too are passages, if
+they may be long enough: what a passage loses at its ends lies in the chunks around its run, so the words there
+count as well, and no passage of the length asked for is lost by it.
 
+Most chunks stand in one place only. Their hashes are counted first, eight bytes a chunk, and the repeated ones
+are marked in a Bloom filter; only chunks that it lets through are moved, and compared by their digests.
 Digests are counted with partial sums, so a chunk that is in most documents is a row per task, and the join
 that follows is one that Spark splits where a digest is hot. No two documents are ever paired.
 """
@@ -20,7 +23,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from devicepulse.llm.common import sized, stored
@@ -34,17 +37,25 @@ class Chunking:
     """Chunks of about twice `reach` bytes, by a hash of `window` bytes, a power of two up to 32; one is cut at
     `longest` bytes where no cut comes.
 
-    A passage is reported if its repeated chunks hold at least `words` words in a row, or `size` bytes, which
-    stand for words in scripts without spaces. A copied passage
-    loses what surrounds its ends, so that is far less than the shortest passage to be found.
+    A passage is reported if its repeated chunks, with what the cuts at its ends may have lost, hold at least
+    `words` words in a row. In scripts without spaces, where a word takes more than `word_bytes` bytes on
+    average, `size` bytes of repeated chunks do as well. The filter of repeated chunks has `filter_bits` bits, a
+    power of two up to 2^32, whatever the table; an eighth as many bytes reach the driver and every task. With more
+    than half as many repeated chunks as bits most others pass too, which costs disk and changes no result.
     """
 
     reach: int = 32
     longest: int = 1024
-    words: int = 8
+    words: int = 50
     seed: int = 29
     window: int = BITS
     size: int = 128
+    word_bytes: int = 24
+    filter_bits: int = 1 << 27
+
+    def __post_init__(self):
+        if self.longest >= 1 << 14:
+            raise ValueError("numbers of a chunk are packed in 16 bits each")
 
 
 # What short words need: with 51 words of two letters there are still several whole chunks in a passage.
@@ -118,15 +129,36 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 
-def _word_starts(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """How many words begin in each chunk."""
+def _words_before(data: np.ndarray) -> np.ndarray:
+    """How many words begin before each place, the end of the data included."""
     space = _SPACE[data]
     begins = ~space & np.concatenate([[True], space[:-1]])
-    return np.diff(np.concatenate([[0], np.cumsum(begins)[ends - 1]]))
+    return np.concatenate([[0], np.cumsum(begins)])
+
+
+def words_of_chunks(data: np.ndarray, ends: np.ndarray, chunking: Chunking) -> np.ndarray:
+    """Three rows: how many words begin in each chunk, and how many of a passage may begin before and after it
+    if the passage's first or last whole chunk is this one.
+
+    A cut is alike in all copies if `window` and `reach` bytes before it and `reach` bytes after it belong to
+    the passage. So a passage begins less than that before the chunk in front of its first whole one, and
+    ends less than that after the chunk behind its last one; 3 bytes more, as cuts move to the next character.
+    """
+    counts, begins = _words_before(data), np.concatenate([[0], ends[:-1]])
+    front = np.concatenate([[0], begins[:-1]])
+    behind = np.concatenate([ends[1:], ends[-1:]])
+    before = counts[begins] - counts[np.maximum(front - chunking.reach - chunking.window - 3, 0)]
+    after = counts[np.minimum(behind + chunking.reach + 3, len(data))] - counts[ends]
+    return np.stack([counts[ends] - counts[begins], before, after])
+
+
+# What a chunk has, each less than 2^15.
+_SIZES = ("size", "n_words", "before", "after")
 
 
 def chunks(df: DataFrame, chunking: Chunking, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc, mark, digest, place, begin, size, n_words): the chunks of every text, in bytes, place from 0.
+    """(doc, mark, digest, place, begin, size, n_words, before, after): the chunks of every text, in bytes, place
+    from 0, with the words of `words_of_chunks`.
 
     `doc` is the id, or the text's hash where it is null; `mark` is that hash. Blank texts have no chunks.
     """
@@ -137,7 +169,7 @@ def chunks(df: DataFrame, chunking: Chunking, doc_id: str = "doc_id", text: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sized(batches, 2, BATCH_BYTES):
-            rows, digests, parts = [], [], [np.empty((4, 0), np.int64)]
+            rows, digests, parts = [], [], [np.empty((6, 0), np.int64)]
             for i, text in enumerate(batch.column(2).to_pylist()):
                 if not text:
                     continue
@@ -148,7 +180,8 @@ def chunks(df: DataFrame, chunking: Chunking, doc_id: str = "doc_id", text: str
                 spans = zip(begins.tolist(), ends.tolist(), strict=True)
                 digests += [blake2b(raw[a:b], digest_size=12).digest() for a, b in spans]
                 rows += [i] * len(ends)
-                parts.append(np.stack([np.arange(len(ends)), begins, ends - begins, _word_starts(data, ends)]))
+                words = words_of_chunks(data, ends, chunking)
+                parts.append(np.stack([np.arange(len(ends)), begins, ends - begins, *words]))
             take, numbers = pa.array(rows, pa.int32()), np.concatenate(parts, 1)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -157,29 +190,74 @@ def chunks(df: DataFrame, chunking: Chunking, doc_id: str = "doc_id", text: str
                     pa.array(digests, pa.binary()),
                     *[pa.array(row.astype(np.int32)) for row in numbers],
                 ],
-                ["doc", "mark", "digest", "place", "begin", "size", "n_words"],
+                ["doc", "mark", "digest", "place", "begin", *_SIZES],
             )
 
     return slim.mapInArrow(
-        run, "doc bigint, mark bigint, digest binary, place int, begin int, size int, n_words int"
+        run,
+        "doc bigint, mark bigint, digest binary, place int, begin int, " + ", ".join(f"{c} int" for c in _SIZES),
     )
 
 
+PROBES = 3  # bits that stand for a hash in the filter
+
+
+def _marks(h: Column, bits: int) -> list[Column]:
+    """The bits of a hash: its lower half, and that plus multiples of its upper half."""
+    low, high = h.bitwiseAND(F.lit((1 << 32) - 1)), F.shiftrightunsigned(h, 32).bitwiseOR(F.lit(1))
+    return [(low + high * i).bitwiseAND(F.lit(bits - 1)) for i in range(PROBES)]
+
+
+def _marked(hashes: np.ndarray, words: np.ndarray, bits: int) -> np.ndarray:
+    """Whether all bits of each hash are set."""
+    h = hashes.view(np.uint64)
+    low, high, found = h & np.uint64((1 << 32) - 1), h >> np.uint64(32) | np.uint64(1), np.ones(len(h), bool)
+    for i in range(PROBES):
+        at = low + high * np.uint64(i) & np.uint64(bits - 1)
+        found &= (words[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
+    return found
+
+
+def _repeated_only(rows: DataFrame, bits: int) -> DataFrame:
+    """The rows whose digest stands in several rows, and a few others; all others are left out."""
+    h = F.xxhash64("digest")
+    repeated = rows.groupBy(h.alias("h")).agg(F.count("*").alias("n")).where("n > 1")
+    bit = repeated.select(F.explode(F.array(*_marks(F.col("h"), bits))).alias("bit"))
+    mark = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("bit").bitwiseAND(F.lit(63)).cast("int"))
+    # At most a row for each 64 bits of the filter.
+    found = bit.groupBy(F.shiftright("bit", 6).alias("word")).agg(F.bit_or(mark).alias("mark")).toArrow()
+    words = np.zeros(-(-bits // 64), np.uint64)
+    words[found.column("word").to_numpy()] = found.column("mark").to_numpy().view(np.uint64)
+    shared = rows.sparkSession.sparkContext.broadcast(words.tobytes())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = np.frombuffer(shared.value, np.uint64)
+        for batch in batches:
+            passed = pa.array(_marked(batch.column("_h").to_numpy(), known, bits))
+            yield batch.drop_columns(["_h"]).filter(passed)
+
+    return rows.withColumn("_h", h).mapInArrow(run, rows.schema)
+
+
 def _passages(df: DataFrame, chunking: Chunking, doc_id: str, text: str) -> DataFrame:
     made = stored(chunks(df, chunking, doc_id, text), "chunks")
-    seen = made.groupBy("digest").agg(F.min("doc").alias("first_doc"), F.max("doc").alias("_last"))
-    # Four numbers in two columns, as the shuffle of all chunks is what takes most disk.
-    pair = lambda a, b: F.shiftleft(F.col(a).cast("bigint"), 32).bitwiseOR(F.col(b).cast("bigint"))
-    slim = made.select("digest", "doc", "mark", pair("place", "begin").alias("_at"), pair("size", "n_words").alias("_has"))
-    low = lambda c: F.col(c).bitwiseAND(F.lit((1 << 32) - 1)).cast("int")
+    # Six numbers in two columns, as the shuffle of these chunks takes disk.
+    big = lambda c: F.col(c).cast("bigint")
+    has = big(_SIZES[0])
+    for c in _SIZES[1:]:
+        has = F.shiftleft(has, 16).bitwiseOR(big(c))
+    at = F.shiftleft(big("place"), 32).bitwiseOR(big("begin"))
+    slim = made.select("digest", "doc", "mark", at.alias("_at"), has.alias("_has"))
+    slim = stored(_repeated_only(slim, chunking.filter_bits), "candidates")
+    seen = slim.groupBy("digest").agg(F.min("doc").alias("first_doc"), F.max("doc").alias("_last"))
+    part = lambda c, shift, bits: F.shiftright(c, shift).bitwiseAND(F.lit((1 << bits) - 1)).cast("int")
     again = slim.join(seen.where("first_doc <> _last").drop("_last"), "digest").select(
         "doc",
         "mark",
         "first_doc",
-        F.shiftright("_at", 32).cast("int").alias("place"),
-        low("_at").alias("begin"),
-        F.shiftright("_has", 32).cast("int").alias("size"),
-        low("_has").alias("n_words"),
+        part("_at", 32, 31).alias("place"),
+        part("_at", 0, 32).alias("begin"),
+        *[part("_has", 48 - 16 * i, 16).alias(c) for i, c in enumerate(_SIZES)],
     )
     # Repeated rows have every place several times; a run goes on where the place does. A passage is a run of
     # repeated chunks; its parts are the runs within it that are first here, and those that are not.
@@ -199,20 +277,25 @@ def _passages(df: DataFrame, chunking: Chunking, doc_id: str, text: str) -> Data
             F.sum("n_words").alias("n_words"),
             F.sum("size").alias("_size"),
             F.min("first_doc").alias("first_doc"),
+            F.min_by("before", "place").alias("_before"),
+            F.max_by("after", "place").alias("_after"),
         )
     )
     whole = Window.partitionBy("doc", "mark", "_run")
     # What is first here in a few words alone is kept, and no row of its own.
     held = lambda name: F.when(F.col("first"), F.col(name)).otherwise(F.sum(name).over(whole))
-    enough = (held("n_words") >= chunking.words) | (held("_size") >= chunking.size)
-    return parts.withColumn("_enough", enough).where("_enough")
+    edge = lambda by, name: F.when(F.col("first"), F.col(name)).otherwise(by(name, "begin").over(whole))
+    around = edge(F.min_by, "_before") + edge(F.max_by, "_after")
+    wide = (held("_size") >= chunking.size) & (held("_size") > chunking.word_bytes * held("n_words"))
+    return parts.withColumn("_enough", (held("n_words") + around >= chunking.words) | wide).where("_enough")
 
 
 def repeated_passages(
     df: DataFrame, chunking: Chunking = FINE, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """(doc_id, begin, end, n_words, is_first, first_doc): the passages of each document that other
-    documents hold too, in bytes of the UTF-8 text. Documents without one have no row.
+    documents hold too, in bytes of the UTF-8 text. Documents without one have no row. begin, end and n_words are
+    those of the repeated chunks, so they are some 40 bytes short of the passage at each end.
 
     is_first says that this document has the smallest id of all that hold it, so a passage is kept once;
     first_doc is that id (the smallest, where chunks differ). A passage that is first here in parts alone has a

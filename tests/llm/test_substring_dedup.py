@@ -32,7 +32,11 @@ def test_the_hash_and_the_cuts_are_as_defined():
         starts = {len(text[:k].encode()) for k in range(len(text) + 1)}
         assert set(found) <= starts
         assert {min(s for s in starts if s >= e) for e in ends} <= set(found)
-        assert d._word_starts(data, np.array(found)).sum() == len(text.split())
+        words, before, after = d.words_of_chunks(data, np.array(found), c)
+        assert words.sum() == len(text.split())
+        # Around a chunk, no more than there is before and after it.
+        assert before[0] == 0 == after[-1] and (before <= np.cumsum(words) - words).all()
+        assert (after <= words.sum() - np.cumsum(words)).all()
 
 
 def test_an_insertion_moves_only_cuts_nearby():
@@ -64,7 +68,7 @@ def test_planted_passages_are_found_and_clean_texts_left(spark):
     assert sum(r.is_first for r in got) == 12
     for r in got:
         part = rows[r.doc_id][1].encode()[r.begin : r.end].decode()
-        assert part in rows[r.first_doc][1] and r.n_words >= 8
+        assert part in rows[r.first_doc][1] and r.n_words >= 25
     texts = {r.doc_id: r.text for r in d.without_repeats(docs).collect()}
     for r in got:
         whole = rows[r.doc_id][1]
@@ -116,17 +120,17 @@ def test_near_copies_keep_every_passage_once(spark):
 
 
 def common_words(one, other, chunking):
-    """The most words in a row of `other` whose chunks are chunks of `one`."""
+    """The most words in a row of `other` whose chunks are chunks of `one`, with those around the run."""
     pieces = []
     for t in (one, other):
         data = np.frombuffer(t.encode(), np.uint8)
         ends = d.cuts(data, chunking)
-        n_words = d._word_starts(data, ends).tolist()
-        pieces.append([(t.encode()[a:b], n) for a, b, n in zip([0, *ends.tolist()], ends.tolist(), n_words)])
-    held, best, run = {c for c, _ in pieces[0]}, 0, 0
-    for c, n in pieces[1]:
-        run = run + n if c in held else 0
-        best = max(best, run)
+        words = d.words_of_chunks(data, ends, chunking).T.tolist()
+        pieces.append([(t.encode()[a:b], n) for a, b, n in zip([0, *ends.tolist()], ends.tolist(), words)])
+    held, best, run, lead = {c for c, _ in pieces[0]}, 0, 0, 0
+    for c, (n, before, after) in pieces[1]:
+        run, lead = (run + n, lead if run else before) if c in held else (0, 0)
+        best = max(best, lead + run + after if run else 0)
     return best
 
 
@@ -169,6 +173,73 @@ def test_long_repeats_without_spaces_are_found(spark):
     assert all((len(texts[i]) < len(t) * 0.8) == (i in (1, 4)) for i, t, _ in rows)
 
 
+def test_short_passages_are_left_and_those_asked_for_are_never_lost(spark):
+    rnd, rows = random.Random(10), []
+    lengths = (8, 15, 20, 50, 51, 60) * 10
+    for n in lengths:
+        passage = prose(rnd, n)
+        rows += [(len(rows) + k, f"{prose(rnd, 80)} {passage} {prose(rnd, 80)}", None) for k in range(2)]
+    got = {r.doc_id for r in d.repeated_passages(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {i for i, _, _ in rows if lengths[i // 2] >= 50}
+
+
+def brute_passages(texts, c):
+    """Maximal runs of chunks that another text holds, with enough words around: {(text, begin, end)}."""
+    cut = {}
+    for i, t in texts.items():
+        data = np.frombuffer(t.encode(), np.uint8)
+        ends = d.cuts(data, c)
+        spans = list(zip([0, *ends.tolist()], ends.tolist()))
+        cut[i] = [(t.encode()[a:b], a, b, *w) for (a, b), w in zip(spans, d.words_of_chunks(data, ends, c).T.tolist())]
+    holders = {}
+    for i, parts in cut.items():
+        for part in parts:
+            holders.setdefault(part[0], set()).add(i)
+    found = set()
+    for i, parts in cut.items():
+        run = []
+        for part in [*parts, None]:
+            if part and len(holders[part[0]]) > 1:
+                run.append(part)
+                continue
+            if run:
+                kinds = [min(holders[p[0]]) == i for p in run]
+                groups, at = [], 0
+                for k in range(1, len(run) + 1):
+                    if k == len(run) or kinds[k] != kinds[at]:
+                        groups.append((kinds[at], run[at:k]))
+                        at = k
+                for first, group in groups:
+                    whole = group if first else [p for f, g in groups if not f for p in g]
+                    words, size = sum(p[3] for p in whole), sum(p[2] - p[1] for p in whole)
+                    around = whole[0][4] + whole[-1][5]
+                    if words + around >= c.words or (size >= c.size and size > c.word_bytes * words):
+                        found.add((i, group[0][1], group[-1][2], first))
+            run = []
+    return found
+
+
+def test_passages_against_a_plain_program(spark):
+    rnd, texts = random.Random(11), {}
+    shared = [prose(rnd, rnd.choice((10, 25, 60, 120))) for _ in range(8)]
+    for i in range(40):
+        parts = [rnd.choice(shared) if rnd.random() < 0.4 else prose(rnd, rnd.randint(1, 60)) for _ in range(6)]
+        texts[i] = " ".join(parts)
+    docs = spark.createDataFrame([(i, t, None) for i, t in texts.items()], SCHEMA)
+    # A filter of one word lets nearly all through, a larger one hardly any; the passages are the same.
+    for bits in (64, 1 << 16):
+        c = d.Chunking(reach=16, window=8, filter_bits=bits)
+        got = {(r.doc_id, r.begin, r.end, r.is_first) for r in d.repeated_passages(docs, c).collect()}
+        assert got == brute_passages(texts, c) and len(got) > 20
+
+
+def test_the_filter_holds_back_chunks_of_one_place(spark):
+    rows = [(i, str(i).encode()) for i in range(5000)] + [(i, str(i).encode()) for i in range(100)]
+    kept = d._repeated_only(spark.createDataFrame(rows, "doc bigint, digest binary").repartition(3), 1 << 16)
+    counts = Counter(r.doc for r in kept.collect())
+    assert all(counts[i] == 2 for i in range(100)) and len(counts) < 110
+
+
 def test_no_rows(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert d.repeated_passages(none).collect() == [] == d.without_repeats(none).collect()
