@@ -159,14 +159,25 @@ def _prefixes(shingler: _Shingler, batch: pa.RecordBatch, state: dict) -> Iterat
 
 
 def _sets(shingler: _Shingler, batch: pa.RecordBatch, state: dict) -> Iterator[pa.RecordBatch]:
-    """(key, n, end, tokens): whole sets, as big-endian numbers, whose byte order is their order."""
-    sets = [shingler(t) for t in batch.column(2).to_pylist()]
+    """(key, tokens, ...): whole sets, as big-endian numbers, whose byte order is their order; what follows the text
+    is handed on. Repeated rows in a task come out once, as far as it remembers."""
+    seen = state.setdefault("seen", set())
+    rows, keys, tokens = [], [], []
+    for i, text in enumerate(batch.column(2).to_pylist()):
+        made = shingler(text)
+        key = _key(made)
+        if key in seen:
+            continue
+        if len(seen) >= 200_000:
+            seen.clear()
+        seen.add(key)
+        rows.append(i)
+        keys.append(key)
+        tokens.append(made.astype(">u8").tobytes())
+    take, names = pa.array(rows, pa.int32()), batch.schema.names[3:]
     yield pa.RecordBatch.from_arrays(
-        [
-            pa.array([_key(s) for s in sets], pa.binary()),
-            pa.array([s.astype(">u8").tobytes() for s in sets], pa.binary()),
-        ],
-        ["key", "tokens"],
+        [pa.array(keys, pa.binary()), pa.array(tokens, pa.binary()), *[batch.column(c).take(take) for c in names]],
+        ["key", "tokens", *names],
     )
 
 
@@ -219,13 +230,13 @@ def walk_tree(rows: list[tuple[bytes, bytes]], probe: bytes, join: Join) -> Iter
 
 def _compare(blocks: DataFrame, join: Join) -> DataFrame:
     """Blocks (block, probe, key, tokens) to links (a, b). Rows of a block lie together, the probe first, and
-    a block holds a bounded number of sets."""
+    a block holds a bounded number of sets; a key that comes twice is one."""
 
-    def links(held: list[tuple[bytes, bytes]], probe) -> list[tuple[bytes, bytes]]:
-        return [(probe[0], key) for key in walk_tree(held, probe[1], join)] if probe and held else []
+    def links(held: dict[bytes, bytes], probe) -> list[tuple[bytes, bytes]]:
+        return [(probe[0], key) for key in walk_tree(list(held.items()), probe[1], join)] if probe and held else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, probe, held = None, None, []
+        now, probe, held = None, None, {}
 
         def made(found):
             return pa.RecordBatch.from_arrays(
@@ -237,11 +248,11 @@ def _compare(blocks: DataFrame, join: Join) -> DataFrame:
             for block, first, key, tokens in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if block != now:
                     found += links(held, probe)
-                    now, probe, held = block, None, []
+                    now, probe, held = block, None, {}
                 if first:
                     probe = key, tokens
                 else:
-                    held.append((key, tokens))
+                    held[key] = tokens
             yield made(found)
         yield made(links(held, probe))
 
@@ -251,9 +262,11 @@ def _compare(blocks: DataFrame, join: Join) -> DataFrame:
 
 def _compare_parts(blocks: DataFrame, join: Join) -> DataFrame:
     """Blocks (block, second, key, tokens), of two parts or of one, to rows (a, b, n): the links that join
-    groups within a block, with n null, and the number of links n of each set a, with b null."""
+    groups within a block, with n null, and the number of links n of each set a, with b null. A key that comes
+    twice is one."""
 
-    def links(first: list[tuple[bytes, bytes]], second: list[tuple[bytes, bytes]]):
+    def links(*parts: dict[bytes, bytes]):
+        first, second = (list(p.items()) for p in parts)
         group: dict[bytes, bytes] = {}
 
         def top(key: bytes) -> bytes:
@@ -274,7 +287,7 @@ def _compare_parts(blocks: DataFrame, join: Join) -> DataFrame:
         return joined + [(k, None, n) for k, n in counts.items()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, parts = None, ([], [])
+        now, parts = None, ({}, {})
         kinds = (pa.binary(), pa.binary(), pa.int64())
 
         def made(rows):
@@ -286,8 +299,8 @@ def _compare_parts(blocks: DataFrame, join: Join) -> DataFrame:
             for block, second, key, tokens in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if block != now:
                     found += links(*parts)
-                    now, parts = block, ([], [])
-                parts[second].append((key, tokens))
+                    now, parts = block, ({}, {})
+                parts[second][key] = tokens
             yield made(found)
         yield made(links(*parts))
 
@@ -322,19 +335,24 @@ class _Corpus:
         several = one.withColumn("_other", F.max("key").over(by_token) != F.min("key").over(by_token))
         return stored(several.where("_other").select("token", "key"), "prefixes")
 
-    def sets(self, keys: DataFrame) -> DataFrame:
-        """(key, tokens) of some nodes, from one document of each; stored."""
+    def sets(self, keys: DataFrame, order: tuple[str, ...] = ()) -> DataFrame:
+        """(key, tokens, ...) of some nodes, from one document of each, with the other columns of `keys`; stored in
+        an order. Repeated rows of a document may give a set once for each task."""
+        extra = [c for c in keys.columns if c != "key"]
         chosen = (
-            self.nodes.join(keys, "key", "left_semi")
-            .groupBy("key")
+            self.nodes.join(keys, "key")
+            .groupBy("key", *extra)
             .agg(F.min(F.struct("id", "mark")).alias("_doc"))
-            .select(F.col("_doc.id").alias("_id"), F.col("_doc.mark").alias("_mark"))
+            .select(F.col("_doc.id").alias("_id"), F.col("_doc.mark").alias("_mark"), *extra)
         )
+        # Stored first, so that its size is known when the join is planned: a few rows need no shuffle of texts.
+        chosen = stored(chosen, "chosen")
         same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark"))
-        texts = self.docs.join(chosen, same, "left_semi")
-        made = _pass(texts, self.join, self.frequent, _sets, "key binary, tokens binary")
-        # Repeated rows of one document give a set twice.
-        return stored(made.dropDuplicates(["key"]), "sets")
+        texts = self.docs.join(chosen, same).select("id", "mark", "text", *extra)
+        types = dict(keys.dtypes)
+        schema = ", ".join(["key binary", "tokens binary", *[f"{c} {types[c]}" for c in extra]])
+        made = _pass(texts, self.join, self.frequent, _sets, schema)
+        return stored(made.sortWithinPartitions(*order) if order else made, "sets")
 
     def compare(self, pairs: DataFrame) -> DataFrame:
         """The links (a, b) among candidate pairs (a, b)."""
@@ -350,9 +368,11 @@ class _Corpus:
 
     def compare_families(self, families: DataFrame) -> DataFrame:
         """Families (key, label) to rows (a, b, n) as of `_compare_parts`, over all pairs of a family."""
-        sets = self.sets(families.select("key")).join(families, "key")
         parts = families.groupBy("label").agg(F.ceil(F.count("*") / self.join.block_sets).alias("_parts"))
-        placed = sets.join(parts, "label").withColumn("_part", F.pmod(F.xxhash64("key"), F.col("_parts")))
+        part = F.pmod(F.xxhash64("key"), F.col("_parts"))
+        # Sets are moved once, straight to their blocks. Like sets lie together for that, so that compression
+        # folds what near copies share.
+        placed = self.sets(families.join(parts, "label").withColumn("_part", part), ("label", "tokens"))
         both = placed.withColumn("_with", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_parts") - 1)))
         low, high = F.least("_part", "_with"), F.greatest("_part", "_with")
         # Of two parts the second is the higher one; a part with itself has no second.

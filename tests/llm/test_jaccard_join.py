@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from devicepulse.llm import jaccard_join as j
 from devicepulse.llm.jaccard_join import Join
@@ -134,3 +135,30 @@ def test_no_rows_long_text_and_extra_columns(spark):
     long = " ".join(f"x{i}" for i in range(60_000))
     docs = spark.createDataFrame([(1, long, "a", 1), (2, long + " y", "b", 2)], "doc_id bigint, text string, key string, n int")
     assert {(r.doc_id, r.component_id) for r in j.link_documents(docs).collect()} == {(1, 1), (2, 1)}
+
+
+def test_repeated_rows_in_many_tasks_are_one_set(spark):
+    rnd = random.Random(21)
+    words = [f"w{rnd.randrange(10**6)}" for _ in range(120)]
+    texts = [" ".join(words[:i] + ["changed"] + words[i + 1 :]) for i in (2, 3, 118)]
+    rows = [(i, t) for i, t in enumerate(texts) for _ in range(40)] + [(None, texts[0])] * 9
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(8)
+    got = j.link_documents(docs, Join()).collect()
+    assert len(got) == len(rows) and {r.component_id for r in got} == {0}
+    assert {r.n_links for r in got} == {2}
+
+
+def test_sets_of_a_family_move_once_for_each_part(spark):
+    rnd = random.Random(22)
+    words = [f"w{rnd.randrange(10**6)}" for _ in range(200)]
+    rows = [(i, " ".join(words[:i] + [f"x{i}"] + words[i + 1 :])) for i in range(150)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    join = Join(block_sets=20)
+    got = j.link_documents(docs, join).collect()
+    assert {r.component_id for r in got} == {0} and {r.n_links for r in got} == {149}
+    corpus = j._Corpus(docs, join, "doc_id", "text")
+    keys = corpus.nodes.select("key", F.lit(b"f").alias("label"))
+    sets = corpus.sets(keys, ("label", "tokens"))
+    assert sets.count() == 150 and sets.columns == ["key", "tokens", "label"]
+    found = corpus.compare_families(keys).where("b IS NULL").agg(F.sum("n")).first()[0]
+    assert found == 150 * 149
