@@ -68,32 +68,53 @@ def _windows(found: Column) -> Column:
     return F.transform(at, lambda i: F.xxhash64(F.get(found, i), F.get(found, i + 1), F.get(found, i + 2)))
 
 
+def _bind(value: Column, then) -> Column:
+    """A column bound as the element of a one-element array, which evaluates it once."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def _repeated_places(hashes: Column) -> Column:
+    """Places of the hashes that occur at least twice, sorted by whole hashes."""
+    pairs = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("hash"), i.cast("bigint").alias("at"))))
+
+    def found(sorted_pairs: Column) -> Column:
+        hash_at = lambda j: F.get(sorted_pairs, j)["hash"]
+        hit = lambda p, j: (
+            F.coalesce(hash_at(j - 1) == p["hash"], F.lit(False)) | F.coalesce(hash_at(j + 1) == p["hash"], F.lit(False))
+        )
+        return F.sort_array(F.transform(F.filter(sorted_pairs, hit), lambda p: p["at"]))
+
+    return _bind(pairs, found)
+
+
 def _covered(hashes: Column) -> Column:
     """Words in windows whose hash occurs at least twice.
 
     The hashes are sorted with their place packed into the low bits, so that equal ones are neighbours:
     n log n on a primitive array, for texts of any length. Neighbours are compared by their whole
-    hashes. Each repeated window covers three words, less those that the next one covers too.
+    hashes. Where two unlike hashes share the bits that are left, equal ones need not be neighbours; such
+    a text is sorted anew by whole hash and place. Each repeated window covers three words, less those
+    that the next one covers too.
     """
 
-    # Binding a column as the element of a one-element array evaluates it once.
-    def bind(value: Column, then) -> Column:
-        return F.get(F.transform(F.array(value), then), F.lit(0))
-
     def places(sizes: Column) -> Column:
         low = F.call_function("shiftleft", F.lit(1).cast("bigint"), sizes) - 1
 
+        low_free = F.bitwise_not(low)
+
         def repeated(packed: Column) -> Column:
             whole = lambda j: F.get(hashes, F.get(packed, j).bitwiseAND(low).cast("int"))
+            high = lambda j: F.get(packed, j).bitwiseAND(low_free)
             hit = lambda p, j: (
                 F.coalesce(whole(j) == whole(j - 1), F.lit(False))
                 | F.coalesce(whole(j) == whole(j + 1), F.lit(False))
             )
-            return F.sort_array(F.transform(F.filter(packed, hit), lambda p: p.bitwiseAND(low)))
+            clash = lambda p, j: (high(j) == high(j + 1)) & (whole(j) != whole(j + 1))
+            found = F.sort_array(F.transform(F.filter(packed, hit), lambda p: p.bitwiseAND(low)))
+            return F.when(F.size(F.filter(packed, clash)) > 0, _repeated_places(hashes)).otherwise(found)
 
-        low_free = F.bitwise_not(low)
         packed = F.sort_array(F.transform(hashes, lambda h, i: h.bitwiseAND(low_free).bitwiseOR(i)))
-        return bind(packed, repeated)
+        return _bind(packed, repeated)
 
     def total(starts: Column) -> Column:
         steps = F.transform(
@@ -102,7 +123,7 @@ def _covered(hashes: Column) -> Column:
         return F.aggregate(steps, F.lit(0).cast("bigint"), lambda a, x: a + x)
 
     bits = F.length(F.bin(F.size(hashes)))
-    found = bind(bind(bits, places), total)
+    found = _bind(_bind(bits, places), total)
     return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), F.lit(0).cast("bigint")).otherwise(found)
 
 

@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from devicepulse.llm import quality_rules as q
 
@@ -93,3 +94,14 @@ def test_too_many_rules(spark):
     docs = spark.createDataFrame([(1, "a")], "doc_id int, text string")
     with pytest.raises(ValueError, match="63"):
         q.ledger(docs, rules=[q.Rule(f"r{i}", "false") for i in range(64)])
+
+
+def test_hashes_that_share_their_high_bits(spark):
+    rnd = random.Random(12)
+    rows = [(i, [16 * rnd.randrange(3) + rnd.randrange(4) for _ in range(rnd.randint(1, 15))]) for i in range(200)]
+    rows += [(200, [17, 18, 17, 18, 17]), (201, [-1, -2, -1, -2, 5]), (202, [1 << 62, (1 << 62) + 1] * 3000)]
+    found = spark.createDataFrame(rows, "id int, h array<bigint>").select("id", q._covered(F.col("h")).alias("n"))
+    got = {r.id: r.n for r in found.collect()}
+    for i, h in rows:
+        counts = Counter(h)
+        assert got[i] == len({j + k for j, x in enumerate(h) if counts[x] > 1 for k in range(3)}), h
