@@ -4,7 +4,7 @@ Two variable-order Markov models of characters, one of accepted and one of rejec
 all URLs that rules decide. The probability of a character after a context is smoothed towards that
 after the shorter contexts by how many different characters were seen to follow (Witten-Bell). A URL's
 score is the difference of its two log-likelihoods over its length; it is rejected below a
-threshold that is calibrated on a fifth of the decided URLs that the counts leave out.
+threshold that is calibrated on all decided URLs, each fifth of them scored by the counts of the others.
 
 URLs are counted and scored as grams of `ORDER` + 1 characters over a small alphabet, so the model has a
 bounded number of rows whatever the number of URLs.
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from devicepulse.llm.common import stored
 
 ORDER = 3  # characters of context
-HELD_OUT = 5  # one in so many decided URLs is left out of the counts, to calibrate on
+FOLDS = 5  # parts of the decided URLs, each left out of the counts once, to calibrate on
 STEP = 0.01  # of the threshold
 
 
@@ -87,9 +87,10 @@ def _grams(letters: Column) -> Column:
     return F.explode(F.transform(at, lambda i: F.substr(letters, i, F.lit(ORDER + 1))))
 
 
-def _probabilities(counts: DataFrame) -> DataFrame:
+def _probabilities(counts: DataFrame, models: Sequence[str] = ()) -> DataFrame:
     """(gram, kept, dropped) counts to (gram, ratio): log P(last letter | context) under the model of
-    accepted URLs less that under the model of rejected ones, for every gram in `counts`."""
+    accepted URLs less that under the model of rejected ones, for every gram in `counts`. Columns named
+    in `models` tell apart counts that make models of their own."""
     classes = ("kept", "dropped")
     alphabet = 26 + 10 + 1 + 1 + 1
     table = counts
@@ -100,28 +101,47 @@ def _probabilities(counts: DataFrame) -> DataFrame:
         tail = F.substring("gram", ORDER + 1 - order, order + 1)
         context = F.substring("gram", ORDER + 1 - order, order)
         table = table.withColumn("_tail", tail).withColumn("_context", context)
-        sums = table.groupBy("_tail", "_context").agg(*[F.sum(c).alias(f"n_{c}") for c in classes])
+        sums = table.groupBy(*models, "_tail", "_context").agg(*[F.sum(c).alias(f"n_{c}") for c in classes])
         # At most a row per letter of the alphabet in each context.
-        beside = Window.partitionBy("_context")
+        beside = Window.partitionBy(*models, "_context")
         made = sums
         for c in classes:
             made = made.withColumn(f"all_{c}", F.sum(f"n_{c}").over(beside)).withColumn(
                 f"kinds_{c}", F.sum((F.col(f"n_{c}") > 0).cast("int")).over(beside)
             )
-        table = table.join(made.drop("_context"), "_tail")
+        table = table.join(made.drop("_context"), [*models, "_tail"])
         for c in classes:
             seen = F.col(f"all_{c}") + F.col(f"kinds_{c}")
             mixed = (F.col(f"n_{c}") + F.col(f"kinds_{c}") * F.col(f"p_{c}")) / seen
             table = table.withColumn(f"p_{c}", F.when(seen > 0, mixed).otherwise(F.col(f"p_{c}")))
         extra = [f"{x}_{c}" for c in classes for x in ("n", "all", "kinds")]
         table = table.drop("_tail", "_context", *extra)
-    return table.select("gram", (F.log("p_kept") - F.log("p_dropped")).alias("ratio"))
+    return table.select(*models, "gram", (F.log("p_kept") - F.log("p_dropped")).alias("ratio"))
+
+
+def _model_counts(known: DataFrame) -> DataFrame:
+    """(_letters, verdict, n) to (model, gram, kept, dropped): model f counts the decided URLs outside fold f,
+    model FOLDS all of them. Every gram of any URL has a row in each model."""
+    grams = known.select(_grams(F.col("_letters")).alias("gram"), _fold(F.col("_letters")).alias("fold"), "verdict", "n")
+    parts = grams.groupBy("gram", "fold").agg(
+        *[
+            F.sum(F.when(F.col("verdict") == v, F.col("n")).otherwise(0)).alias(c)
+            for c, v in (("kept", "allow"), ("dropped", "block"))
+        ]
+    )
+    apart = lambda c, m: F.sum(F.when(F.col("fold") == m, 0).otherwise(F.col(c))).alias(c)
+    sums = [F.struct(F.lit(m).alias("model"), apart("kept", m), apart("dropped", m)) for m in range(FOLDS + 1)]
+    return parts.groupBy("gram").agg(F.array(*sums).alias("_models")).select("gram", F.inline("_models"))
+
+
+def _fold(letters: Column) -> Column:
+    return F.pmod(F.xxhash64(letters), F.lit(FOLDS)).cast("int")
 
 
 def _scores(urls: DataFrame, ratios: DataFrame) -> DataFrame:
-    """(_letters) to (_letters, score), one row per distinct URL."""
-    grams = urls.select("_letters", _grams(F.col("_letters")).alias("gram"))
-    return grams.join(ratios, "gram").groupBy("_letters").agg(F.avg("ratio").alias("score"))
+    """(_letters, model) to (_letters, score), one row per distinct URL."""
+    grams = urls.select("_letters", "model", _grams(F.col("_letters")).alias("gram"))
+    return grams.join(ratios, ["model", "gram"]).groupBy("_letters").agg(F.avg("ratio").alias("score"))
 
 
 def _threshold(scored: DataFrame) -> float:
@@ -153,7 +173,7 @@ def judge(pages: DataFrame, rules: Sequence[DomainRule] = RULES, url: str = "url
     """Add host, path, rule, verdict (`allow` or `block`) and score to every row.
 
     A rule decides where one fits; its rows have no score. Other URLs are blocked if their score is below
-    the threshold. A null URL, or one without `://`, has an empty host and path and is judged by the model
+    the threshold, by the counts of all decided URLs. A null URL, or one without `://`, has an empty host and path and is judged by the model
     as the text it has. Repeated URLs are scored once. Where rules decide no URL, or all alike,
     everything else is allowed. Columns of the added names are replaced.
     """
@@ -163,23 +183,14 @@ def judge(pages: DataFrame, rules: Sequence[DomainRule] = RULES, url: str = "url
     text = F.col(f"`{url}`")
     cut = pages.select(row, host_of(text).alias("host"), path_of(text).alias("path"), _letters(text).alias("_letters"))
     ruled = cut.withColumn("_rule", rule_of(F.col("host"), F.col("path"), rules))
-    held = F.pmod(F.xxhash64("_letters"), F.lit(HELD_OUT)) == 0
-    known = ruled.groupBy("_letters", F.col("_rule.verdict").alias("verdict")).agg(F.count("*").alias("n"))
-    counted = F.when(held, 0).otherwise(F.col("n"))
-    counts = (
-        known.select(
-            _grams(F.col("_letters")).alias("gram"),
-            F.when(F.col("verdict") == "allow", counted).otherwise(0).alias("kept"),
-            F.when(F.col("verdict") == "block", counted).otherwise(0).alias("dropped"),
-        )
-        .groupBy("gram")
-        .agg(F.sum("kept").alias("kept"), F.sum("dropped").alias("dropped"))
+    known = stored(
+        ruled.groupBy("_letters", F.col("_rule.verdict").alias("verdict")).agg(F.count("*").alias("n")), "known"
     )
-    ratios = stored(_probabilities(stored(counts, "grams")), "ratios")
-    check = known.where(F.col("verdict").isNotNull() & held)
-    bar = _threshold(check.join(_scores(check.select("_letters").distinct(), ratios), "_letters"))
-    open_urls = known.where(F.col("verdict").isNull()).select("_letters")
-    scores = _scores(open_urls, ratios)
+    ratios = stored(_probabilities(stored(_model_counts(known), "grams"), ["model"]), "ratios")
+    decided = known.where(F.col("verdict").isNotNull())
+    apart = decided.select("_letters", _fold(F.col("_letters")).alias("model")).distinct()
+    bar = _threshold(decided.join(_scores(apart, ratios), "_letters"))
+    scores = _scores(known.where(F.col("verdict").isNull()).select("_letters", F.lit(FOLDS).alias("model")), ratios)
     model = F.when(F.col("score") < F.lit(bar), "block").otherwise("allow")
     open_to_it = (ruled["_letters"] == scores["_letters"]) & F.col("_rule").isNull()
     return ruled.join(scores, open_to_it, "left").select(

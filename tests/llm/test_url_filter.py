@@ -112,3 +112,63 @@ def test_no_rows_no_rules_and_long_urls(spark):
     assert u.judge(none).collect() == []
     one = spark.createDataFrame([(1, "http://a.com/" + "x" * 50_000)], "page_id int, url string")
     assert [r.verdict for r in u.judge(one, ()).collect()] == ["allow"]
+
+
+def test_a_class_that_a_fold_lacks(spark):
+    rnd = random.Random(6)
+    good, bad = ["garden", "flower", "meadow"], ["zxqvk", "qqzzx", "xkcdz"]
+    rows = [(f"http://{rnd.choice(good)}{rnd.choice(good)}.org/fr/{'a' * (i % 40)}",) for i in range(200)]
+    few = [(f"http://{rnd.choice(bad)}{rnd.choice(bad)}.net/{'b' * i}",) for i in range(40)]
+    letters = spark.createDataFrame(few, "url string").withColumn("fold", u._fold(u._letters(F.col("url"))))
+    some = [(r.url,) for r in letters.where("fold > 1").collect()]
+    open_ = [("http://flowergarden.info/fr/",), ("http://zxqvkqqzzx.info/b",)]
+    pages = spark.createDataFrame(rows + some + open_, "url string")
+    verdicts = {r.url: r.verdict for r in u.judge(pages).where(F.col("rule").isNull()).collect()}
+    assert verdicts == {open_[0][0]: "allow", open_[1][0]: "block"}
+
+
+def test_scores_and_verdicts_by_hand(spark):
+    rnd = random.Random(8)
+    hosts = ["ab.net", "b.example.net", "example.com", "aab.org", "ba.info", "abba.info", "bab.info"]
+    urls = [
+        f"http://{rnd.choice(hosts)}/{rnd.choice(['en', 'de', 'fr'])}/{''.join(rnd.choices('ab', k=rnd.randint(0, 6)))}"
+        for _ in range(150)
+    ]
+    pages = spark.createDataFrame([(i, x) for i, x in enumerate(urls)], "page_id int, url string")
+    marks = pages.select("page_id", u._letters(F.col("url")).alias("letters")).withColumn("fold", u._fold(F.col("letters")))
+    by_id = {r.page_id: r for r in marks.collect()}
+    rules = [ruled(*split(x)) for x in urls]
+
+    def model(left_out):
+        counts = {v: Counter() for v in ("allow", "block")}
+        for i, r in enumerate(rules):
+            if r and by_id[i].fold != left_out:
+                w = by_id[i].letters
+                counts[r.verdict].update(w[j : j + 4] for j in range(len(w) - 3))
+        return counts
+
+    def chance(counts, gram):
+        prob = 1 / 39
+        for order in range(4):
+            follow = Counter()
+            for g, n in counts.items():
+                if g[3 - order : 3] == gram[3 - order : 3]:
+                    follow[g[3]] += n
+            total = sum(follow.values())
+            if total:
+                prob = (follow[gram[3]] + len(follow) * prob) / (total + len(follow))
+        return prob
+
+    def score(counts, w):
+        grams = [w[j : j + 4] for j in range(len(w) - 3)]
+        return sum(math.log(chance(counts["allow"], g) / chance(counts["block"], g)) for g in grams) / len(grams)
+
+    models = {f: model(f) for f in range(u.FOLDS + 1)}
+    scored = [(score(models[by_id[i].fold], by_id[i].letters), r.verdict, 1) for i, r in enumerate(rules) if r]
+    bar = u._threshold(spark.createDataFrame(scored, "score double, verdict string, n bigint"))
+    rows = [r for r in u.judge(pages).collect() if r.rule is None]
+    assert len(rows) == sum(r is None for r in rules) > 20 and {r.verdict for r in rows} == {"allow", "block"}
+    for r in rows:
+        want = score(models[u.FOLDS], by_id[r.page_id].letters)
+        assert abs(r.score - want) < 1e-9
+        assert r.verdict == ("block" if want < bar else "allow")
