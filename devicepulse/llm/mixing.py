@@ -1,8 +1,9 @@
 """Mixing sources to target weights in fixed-length blocks.
 
 The words of each source are laid end to end and cut into blocks of a fixed length. The mix is made of
-output shards of so many slots, a block to a slot. How many slots of a shard go to each source is drawn
-from a multinomial around the target shares, the j-th slot of a source over all shards takes block
+output shards of so many slots, a block to a slot. How many slots of a shard go to each source is the whole
+part of its target share, and a stratified draw deals what is left: counts that scatter less than those of
+a free multinomial, so that sources come near their targets. The j-th slot of a source over all shards takes block
 j modulo the number of its blocks under a pseudorandom permutation of them, anew for every round through
 them, and slots and blocks meet in a join by index.
 
