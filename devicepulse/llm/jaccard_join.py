@@ -27,8 +27,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from devicepulse.llm.common import SPACES, sized, stored
+from devicepulse.operators.dedup import key_filter, may_hold
 
 BATCH_BYTES = 4 << 20
+KEY_BITS = 16  # of a filter, for each key in it
+MOST_BITS = 1 << 26  # of a filter: 8 MB in every task
 HEAVY = np.uint64(1 << 62)
 LOW_BITS = np.uint64((1 << 62) - 1)
 
@@ -327,13 +330,18 @@ class _Corpus:
         self.frequent = self.spark.sparkContext.broadcast(known.tobytes())
 
     def prefixes(self) -> DataFrame:
-        """(token, key) for every n-gram that the prefixes of several sets hold, by one shuffle. Copies in
-        different tasks fold."""
+        """(token, key, centre) for every n-gram that the prefixes of several sets hold, by one shuffle. Copies in
+        different tasks fold.
+
+        A centre is the first set of an n-gram by a hash of the set, so that n-grams of like sets have the same.
+        """
         made = _pass(self.docs, self.join, self.frequent, _prefixes, "token bigint, key binary")
         one = made.repartition("token").groupBy("token", "key").agg(F.lit(1).alias("_"))
         by_token = Window.partitionBy("token")
-        several = one.withColumn("_other", F.max("key").over(by_token) != F.min("key").over(by_token))
-        return stored(several.where("_other").select("token", "key"), "prefixes")
+        several = F.max("key").over(by_token) != F.min("key").over(by_token)
+        centre = F.min(F.struct(F.xxhash64("key").alias("draw"), "key")).over(by_token)
+        placed = one.select("token", "key", several.alias("_several"), centre["key"].alias("centre"))
+        return stored(placed.where("_several").drop("_several"), "prefixes")
 
     def sets(self, keys: DataFrame, order: tuple[str, ...] = ()) -> DataFrame:
         """(key, tokens, ...) of some nodes, from one document of each, with the other columns of `keys`; stored in
@@ -348,12 +356,20 @@ class _Corpus:
         # Stored first, so that its size is known when the join is planned: a few rows need no shuffle of texts.
         chosen = stored(chosen, "chosen")
         same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark"))
-        texts = self.docs.join(chosen, same).select("id", "mark", "text", *extra)
+        texts = self.texts_of(chosen).join(chosen, same).select("id", "mark", "text", *extra)
         types = dict(keys.dtypes)
         schema = ", ".join(["key binary", "tokens binary", *[f"{c} {types[c]}" for c in extra]])
         made = _pass(texts, self.join, self.frequent, _sets, schema)
         return stored(made.sortWithinPartitions(*order) if order else made, "sets")
 
+    def texts_of(self, chosen: DataFrame) -> DataFrame:
+        """The documents (_id, _mark) with their texts, and a few others: all others are left out at the scan, so that
+        a join moves only the texts that it needs. With far more documents than a fourth of `MOST_BITS` more
+        others pass, which costs disk and changes no result."""
+        held = chosen.select(F.col("_id").alias("id"), F.col("_mark").alias("mark"))
+        bits = min(MOST_BITS, 1 << max(16, (KEY_BITS * held.count()).bit_length()))
+        return self.docs.where(may_hold(key_filter(held, ["id", "mark"], bits), ["id", "mark"], bits))
+
     def compare(self, pairs: DataFrame) -> DataFrame:
         """The links (a, b) among candidate pairs (a, b)."""
         pairs = stored(pairs.select("a", "b"), "pairs")
@@ -421,11 +437,9 @@ def _grouped(docs: DataFrame, join: Join, doc_id: str, text: str) -> DataFrame:
         a, b = n.select(F.col("key").alias("a"), F.col("n").alias("n_a")), n.select(F.col("key").alias("b"), F.col("n").alias("n_b"))
         return pairs.join(a, "a").join(b, "b").where(fit(F.col("n_a"), F.col("n_b")))
 
-    # A centre is the first set of an n-gram by a hash of the set, so that n-grams of like sets have the same.
     by_token = Window.partitionBy("token")
     best = Window.partitionBy("b").orderBy(F.col("met").desc(), "a")
-    centre = F.min(F.struct(F.xxhash64("key").alias("draw"), "key")).over(by_token)
-    star = shared.withColumn("a", centre["key"]).where("key <> a").groupBy("a", F.col("key").alias("b"))
+    star = shared.where("key <> centre").groupBy(F.col("centre").alias("a"), F.col("key").alias("b"))
     star = with_sizes(star.agg(F.count("*").alias("met")))
     # A fifth of the prefix, about; less is left to the pairs.
     near = star.where(500 * F.col("met") >= (100 - join.share) * F.least("n_a", "n_b"))
@@ -433,7 +447,7 @@ def _grouped(docs: DataFrame, join: Join, doc_id: str, text: str) -> DataFrame:
     families = _components(stored(near.select("a", "b"), "star"))
     found = corpus.compare_families(families)
     # All other candidates: pairs of different families, with how often they meet.
-    rows = shared.join(families, "key", "left").withColumn("label", F.coalesce("label", "key"))
+    rows = shared.select("token", "key").join(families, "key", "left").withColumn("label", F.coalesce("label", "key"))
     several = F.min("label").over(by_token) != F.max("label").over(by_token)
     rows = rows.withColumn("_several", several).where("_several")
     # How many n-grams a set can meet others on at all bounds how often it meets any one of them.

@@ -162,3 +162,20 @@ def test_sets_of_a_family_move_once_for_each_part(spark):
     assert sets.count() == 150 and sets.columns == ["key", "tokens", "label"]
     found = corpus.compare_families(keys).where("b IS NULL").agg(F.sum("n")).first()[0]
     assert found == 150 * 149
+
+
+def test_only_texts_of_candidates_are_moved(spark):
+    rnd = random.Random(23)
+    rows = [(i, " ".join(f"w{rnd.randrange(10**6)}" for _ in range(30))) for i in range(400)]
+    rows += [(None, rows[0][1]), (400, rows[1][1] + " more"), (401, None), (None, None)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    corpus = j._Corpus(docs, Join(), "doc_id", "text")
+    chosen = corpus.docs.where("id IS NULL OR id IN (1, 400, 401)").select(F.col("id").alias("_id"), F.col("mark").alias("_mark"))
+    found = [(r.id, r.text) for r in corpus.texts_of(chosen).collect()]
+    assert {rows[1], *rows[400:]} <= set(found) and len(found) < 40
+    none = corpus.texts_of(chosen.where("false"))
+    assert none.count() == 0
+    # A set's centre is stored with its n-grams, so none of them moves again to find it.
+    shared = corpus.prefixes()
+    assert shared.columns == ["token", "key", "centre"]
+    assert shared.groupBy("token").agg(F.count_distinct("centre").alias("n")).where("n <> 1").isEmpty()
