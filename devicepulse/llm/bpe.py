@@ -42,7 +42,7 @@ CACHE = 200_000  # words in a generation of a worker's cache
 PAIRS = 1 << 20  # tested pairs that a worker keeps
 LONG = 128  # bytes; longer pieces are encoded on their own
 NONE = -1  # the last token of an empty prefix
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 
 
 def byte_letters() -> dict[str, int]:
@@ -404,22 +404,29 @@ def _with(df: DataFrame, source: str, **made: T.DataType) -> tuple[DataFrame, T.
     return first, T.StructType(fields + [T.StructField(n, t) for n, t in made.items()])
 
 
-def encode(df: DataFrame, vocabulary: _Shared, text: str = "text", ids: str = "ids") -> DataFrame:
+def encode(
+    df: DataFrame, vocabulary: _Shared, text: str = "text", ids: str = "ids", decoded: str | None = None
+) -> DataFrame:
     """Replace the text column by the array of its token ids.
 
     A null or empty text has no ids. Whole texts of any length are encoded; texts go through a task a
     few megabytes at a time. Rows are kept as they are, repeated ones too; a column that is already
-    named `ids` is replaced.
+    named `ids` is replaced. With `decoded`, that column gets the text that `decode` makes of the ids, in the
+    same pass: one worker for each task holds the vocabulary then, not two.
     """
-    first, schema = _with(df, text, **{ids: T.ArrayType(T.IntegerType(), False)})
+    made_types = {ids: T.ArrayType(T.IntegerType(), False)} | ({decoded: T.StringType()} if decoded else {})
+    first, schema = _with(df, text, **made_types)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _loaded(Vocabulary, vocabulary)
+        back = _loaded(TokenBytes, vocabulary) if decoded else None
         for batch in sized(batches, 0, BATCH_BYTES):
             flat, ends = coder.encode_all(batch.column(0).to_pylist())
-            made = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat))
+            made = [pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat))]
+            if back:
+                made.append(back.texts(flat, ends))
             rest = [(batch.schema.field(i).name, batch.column(i)) for i in range(1, batch.num_columns)]
-            yield pa.RecordBatch.from_arrays([*(c for _, c in rest), made], [*(n for n, _ in rest), ids])
+            yield pa.RecordBatch.from_arrays([*(c for _, c in rest), *made], [*(n for n, _ in rest), *made_types])
 
     return first.mapInArrow(run, schema)
 

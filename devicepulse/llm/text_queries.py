@@ -29,15 +29,13 @@ def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
 
 def bpe_digests(docs: DataFrame, vocabulary) -> DataFrame:
     """Encode, then decode what was encoded, and give both as digests."""
-    ids = bpe.encode(docs.select("doc_id", "text"), vocabulary)
-    counted = ids.select(
+    coded = bpe.encode(docs.select("doc_id", "text"), vocabulary, decoded="decoded")
+    return coded.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-        "ids",
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )
-    decoded = bpe.decode(counted, vocabulary)
-    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("text", 256).alias("decoded_sha256"))
 
 
 @query()

@@ -87,3 +87,18 @@ def test_rows_keep_their_columns(spark):
     digests = {r.doc_id: r for r in bpe_digests(docs, vocabulary).collect()}
     assert digests[None].n_tokens == 0 and digests[3].n_tokens == len(CODER.encode(rows[4][1]))
     assert bpe_digests(docs.limit(0), vocabulary).collect() == []
+
+
+def test_decoding_in_the_same_pass(spark):
+    rows = [(1, "one two  three é\U0001f600"), (2, None), (3, ""), (1, "again and again"), (None, " ")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(2)
+    shared = bpe.load(docs, PATH)
+    both = bpe.encode(docs, shared, decoded="decoded")
+    assert both.columns == ["doc_id", "ids", "decoded"]
+    apart = bpe.decode(bpe.encode(docs, shared), shared)
+    assert sorted(map(str, both.select("doc_id", "decoded").collect())) == sorted(
+        map(str, apart.withColumnRenamed("text", "decoded").collect())
+    )
+    # One pass over the texts, not two with workers of their own.
+    plan = bpe_digests(docs, shared)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
