@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from devicepulse.functions import SENTINELS
 from devicepulse.operators import cleaning, model, ranking, scaling, splitting
 from devicepulse.plans import jobs
-from devicepulse.sources import read_table, scratch_path, write_table
+from devicepulse.sources import pin, read_table, scratch_path, write_table
 from devicepulse.workload import views
 from devicepulse.workload.registry import query
 from devicepulse.workload.storage import GUESS_SQL, bucket, guesses
@@ -67,7 +67,8 @@ def fea2_fitted_scaler(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fitted scaler's ranges come from a sketch: each lies between the exact ranges two
     percent of the ranks inside and outside the quartiles."""
     columns = ["quantity", "price", "discount", "tax"]
-    rows = views.shipment_days(spark, sf_dir)
+    # Stored, as the sketch and every round of the quantiles read them: duplicates are removed once.
+    rows = pin(views.shipment_days(spark, sf_dir).select(*columns))
     ranges = scaling.fit_scaler(rows, columns).stages[1].range
     named = {c: float(r) for c, r in zip(columns, ranges, strict=True)}
     fitted = F.create_map(*[F.lit(x) for pair in named.items() for x in pair])
@@ -112,7 +113,7 @@ SELECT {_KEY}, round(reading * r, 6) AS reading, round(hour * h, 6) AS hour FROM
 )
 def fea3_scale_for_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Device and date carried along, as in scoring."""
-    rows = views.slim_days(spark, sf_dir)
+    rows = pin(views.slim_days(spark, sf_dir))
     scaled = scaling.scale_by_factors(rows, scaling.exact_factors(rows, FEATURES), SPEC.day_key)
     return scaled.withColumns({c: F.round(c, 6) for c in FEATURES})
 
@@ -123,7 +124,7 @@ SELECT failure, round(reading * r, 6) AS reading, round(hour * h, 6) AS hour FRO
 )
 def fea3_scale_for_training(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The target carried along, as in training."""
-    rows = views.slim_days(spark, sf_dir)
+    rows = pin(views.slim_days(spark, sf_dir))
     scaled = scaling.scale_by_factors(rows, scaling.exact_factors(rows, FEATURES), [SPEC.target_col])
     return scaled.withColumns({c: F.round(c, 6) for c in FEATURES})
 
@@ -133,7 +134,7 @@ def fea3_scale_for_training(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def fea3_scale_by_fitted_scaler(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pipeline's own scaling: every value times one over its fitted range."""
-    rows = views.slim_days(spark, sf_dir)
+    rows = pin(views.slim_days(spark, sf_dir))
     scaler = scaling.fit_scaler(rows, FEATURES)
     scaled = scaling.scale_features(rows, scaler, FEATURES, SPEC.day_key)
     raw = rows.select(*SPEC.day_key, *[F.col(c).alias(f"raw_{c}") for c in FEATURES])
@@ -156,7 +157,7 @@ def fea4_clean_scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = views.cycle_days(spark, sf_dir).select(
         "*", (F.col("reading") * F.lit(1e-313)).alias("tiny"), F.col("reading").cast("double").alias("whole")
     )
-    splits = splitting.split_by_cycle(rows, SPEC, bucket=bucket())
+    splits = splitting.split_by_cycle(pin(rows), SPEC, bucket=bucket())
     factors = {"tiny": scaling.exact_factors(splits.train, ["tiny"])["tiny"], "whole": 1.0}
     scaled = splits.map(lambda part: scaling.scale_by_factors(part, factors, [SPEC.target_col]))
     clean = scaling.clean_scaled(scaled, SPEC)
