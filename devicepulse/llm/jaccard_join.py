@@ -12,6 +12,9 @@ their prefixes form a family. A family is cut into parts of a bounded number of
 go through a tree together, in one task; out come only the links that join groups, and counts. Candidates
 of different families are few; they come as pairs, counted over all n-grams of their prefixes, which gives a
 bound on their overlap, and the ones that pass it are compared in trees too. So no link is lost.
+
+Near copies meet again and again in the same company: n-grams that the same sets hold are one row with their
+number from the shuffle of the prefixes on. Families move as texts, which are shorter than their sets.
 """
 
 from __future__ import annotations
@@ -101,8 +104,8 @@ class _Shingler:
 
 
 def _key(tokens: np.ndarray) -> bytes:
-    """A digest of a set, whatever is known to be frequent."""
-    return blake2b(np.sort(tokens & LOW_BITS).tobytes(), digest_size=16).digest()
+    """A digest of a set, whatever is known to be frequent. 96 bits, as keys are most of what is moved."""
+    return blake2b(np.sort(tokens & LOW_BITS).tobytes(), digest_size=12).digest()
 
 
 def _pass(docs: DataFrame, join: Join, frequent, make, schema: str) -> DataFrame:
@@ -138,7 +141,8 @@ def _nodes(shingler: _Shingler, batch: pa.RecordBatch, state: dict) -> Iterator[
 
 
 def _prefixes(shingler: _Shingler, batch: pa.RecordBatch, state: dict) -> Iterator[pa.RecordBatch]:
-    """(token, key) for the prefix of each set. Copies in a task come out once, as far as it remembers."""
+    """(key, token) for the prefix of each set; in that order both lie side by side in Spark's rows, which compress
+    better so. Copies in a task come out once, as far as it remembers."""
     seen = state.setdefault("seen", set())
     tokens, keys = [], []
     for text in batch.column(2).to_pylist():
@@ -158,7 +162,7 @@ def _prefixes(shingler: _Shingler, batch: pa.RecordBatch, state: dict) -> Iterat
         flat = np.concatenate(tokens).astype(np.int64)
         index = np.repeat(np.arange(len(keys), dtype=np.int32), [n for _, n in keys])
         names = pa.DictionaryArray.from_arrays(pa.array(index), pa.array([k for k, _ in keys], pa.binary()))
-        yield pa.RecordBatch.from_arrays([pa.array(flat), names.dictionary_decode()], ["token", "key"])
+        yield pa.RecordBatch.from_arrays([names.dictionary_decode(), pa.array(flat)], ["key", "token"])
 
 
 def _sets(shingler: _Shingler, batch: pa.RecordBatch, state: dict) -> Iterator[pa.RecordBatch]:
@@ -263,8 +267,26 @@ def _compare(blocks: DataFrame, join: Join) -> DataFrame:
     return laid.mapInArrow(run, "a binary, b binary")
 
 
-def _compare_parts(blocks: DataFrame, join: Join) -> DataFrame:
-    """Blocks (block, second, key, tokens), of two parts or of one, to rows (a, b, n): the links that join
+def _once(docs: DataFrame) -> DataFrame:
+    """(id, mark, text) without the rows that a task has seen, as far as it remembers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple] = set()
+        for batch in batches:
+            rows = []
+            for i, key in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
+                if key not in seen:
+                    if len(seen) >= 200_000:
+                        seen.clear()
+                    seen.add(key)
+                    rows.append(i)
+            yield batch.take(pa.array(rows, pa.int32()))
+
+    return docs.mapInArrow(run, "id bigint, mark bigint, text string")
+
+
+def _compare_parts(blocks: DataFrame, join: Join, frequent) -> DataFrame:
+    """Blocks (block, second, key, text), of two parts or of one, to rows (a, b, n): the links that join
     groups within a block, with n null, and the number of links n of each set a, with b null. A key that comes
     twice is one."""
 
@@ -291,19 +313,21 @@ def _compare_parts(blocks: DataFrame, join: Join) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, parts = None, ({}, {})
+        shingler = _Shingler(join, np.frombuffer(frequent.value, np.uint64))
         kinds = (pa.binary(), pa.binary(), pa.int64())
 
         def made(rows):
             columns = zip(*rows, strict=True) if rows else [()] * 3
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["a", "b", "n"])
 
-        for batch in batches:
+        for batch in sized(batches, 3, BATCH_BYTES):
             found = []
-            for block, second, key, tokens in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for block, second, key, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if block != now:
                     found += links(*parts)
                     now, parts = block, ({}, {})
-                parts[second][key] = tokens
+                if key not in parts[second]:
+                    parts[second][key] = shingler(text).astype(">u8").tobytes()
             yield made(found)
         yield made(links(*parts))
 
@@ -334,31 +358,38 @@ class _Corpus:
         different tasks fold.
 
         A centre is the first set of an n-gram by a hash of the set, so that n-grams of like sets have the same.
+        An n-gram's token is here a hash of all sets that hold it, so that n-grams of the same sets are the same.
+        Should the hashes of others agree, more sets meet and none is lost.
         """
-        made = _pass(self.docs, self.join, self.frequent, _prefixes, "token bigint, key binary")
+        made = _pass(self.docs, self.join, self.frequent, _prefixes, "key binary, token bigint")
         one = made.repartition("token").groupBy("token", "key").agg(F.lit(1).alias("_"))
         by_token = Window.partitionBy("token")
         several = F.max("key").over(by_token) != F.min("key").over(by_token)
         centre = F.min(F.struct(F.xxhash64("key").alias("draw"), "key")).over(by_token)
-        placed = one.select("token", "key", several.alias("_several"), centre["key"].alias("centre"))
-        return stored(placed.where("_several").drop("_several"), "prefixes")
-
-    def sets(self, keys: DataFrame, order: tuple[str, ...] = ()) -> DataFrame:
-        """(key, tokens, ...) of some nodes, from one document of each, with the other columns of `keys`; stored in
-        an order. Repeated rows of a document may give a set once for each task."""
-        extra = [c for c in keys.columns if c != "key"]
-        chosen = (
-            self.nodes.join(keys, "key")
-            .groupBy("key", *extra)
-            .agg(F.min(F.struct("id", "mark")).alias("_doc"))
-            .select(F.col("_doc.id").alias("_id"), F.col("_doc.mark").alias("_mark"), *extra)
-        )
+        holders = F.bit_xor(F.xxhash64("key")).over(by_token)
+        placed = one.select(holders.alias("token"), "key", several.alias("_several"), centre["key"].alias("centre"))
+        return placed.where("_several").drop("_several")
+
+    def meetings(self) -> DataFrame:
+        """The rows of `prefixes` once each, with their number m."""
+        return stored(self.prefixes().groupBy("token", "key", "centre").agg(F.count("*").alias("m")), "meetings")
+
+    def texts(self, keys: DataFrame) -> DataFrame:
+        """(id, mark, text, key, ...) of some nodes, from one document of each, with the other columns of `keys`.
+        Repeated rows of a document may give a text once for each task."""
+        chosen = self.nodes.join(keys, "key").groupBy(*keys.columns).agg(F.min(F.struct("id", "mark")).alias("_doc"))
+        chosen = chosen.select(F.col("_doc.id").alias("_id"), F.col("_doc.mark").alias("_mark"), *keys.columns)
         # Stored first, so that its size is known when the join is planned: a few rows need no shuffle of texts.
         chosen = stored(chosen, "chosen")
         same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark"))
-        texts = self.texts_of(chosen).join(chosen, same).select("id", "mark", "text", *extra)
-        types = dict(keys.dtypes)
-        schema = ", ".join(["key binary", "tokens binary", *[f"{c} {types[c]}" for c in extra]])
+        return _once(self.texts_of(chosen)).join(chosen, same).select("id", "mark", "text", *keys.columns)
+
+    def sets(self, keys: DataFrame, order: tuple[str, ...] = ()) -> DataFrame:
+        """(key, tokens, ...) of some nodes, with the other columns of `keys`; stored in an order. Repeated rows of a
+        document may give a set once for each task."""
+        types = dict(keys.drop("key").dtypes)
+        texts = self.texts(keys).select("id", "mark", "text", *types)
+        schema = ", ".join(["key binary", "tokens binary", *[f"{c} {t}" for c, t in types.items()]])
         made = _pass(texts, self.join, self.frequent, _sets, schema)
         return stored(made.sortWithinPartitions(*order) if order else made, "sets")
 
@@ -386,16 +417,17 @@ class _Corpus:
         """Families (key, label) to rows (a, b, n) as of `_compare_parts`, over all pairs of a family."""
         parts = families.groupBy("label").agg(F.ceil(F.count("*") / self.join.block_sets).alias("_parts"))
         part = F.pmod(F.xxhash64("key"), F.col("_parts"))
-        # Sets are moved once, straight to their blocks. Like sets lie together for that, so that compression
-        # folds what near copies share.
-        placed = self.sets(families.join(parts, "label").withColumn("_part", part), ("label", "tokens"))
+        # Texts go straight to their blocks, and become sets there. Like texts lie together for that, so that
+        # compression folds what near copies share.
+        placed = self.texts(families.join(parts, "label").withColumn("_part", part)).drop("id", "mark")
+        placed = stored(placed.sortWithinPartitions("label", "text"), "family_texts")
         both = placed.withColumn("_with", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_parts") - 1)))
         low, high = F.least("_part", "_with"), F.greatest("_part", "_with")
         # Of two parts the second is the higher one; a part with itself has no second.
         blocks = both.select(
-            F.xxhash64("label", low, high).alias("block"), (F.col("_part") > low).cast("int").alias("second"), "key", "tokens"
+            F.xxhash64("label", low, high).alias("block"), (F.col("_part") > low).cast("int").alias("second"), "key", "text"
         )
-        return stored(_compare_parts(blocks, self.join), "family_links")
+        return stored(_compare_parts(blocks, self.join, self.frequent), "family_links")
 
 
 def _components(links: DataFrame) -> DataFrame:
@@ -429,7 +461,7 @@ def _grouped(docs: DataFrame, join: Join, doc_id: str, text: str) -> DataFrame:
     """(id, mark, n, group, n_links) of every row; group is null for a text without words."""
     corpus = _Corpus(docs, join, doc_id, text)
     sizes = corpus.nodes.where("key IS NOT NULL").groupBy("key").agg(F.first("n").alias("n"))
-    shared = corpus.prefixes()
+    shared = corpus.meetings()
     n = stored(sizes.join(shared.select("key").distinct(), "key", "left_semi"), "sizes")
     fit = lambda x, y: (100 * x >= join.share * y) & (100 * y >= join.share * x)
 
@@ -440,21 +472,21 @@ def _grouped(docs: DataFrame, join: Join, doc_id: str, text: str) -> DataFrame:
     by_token = Window.partitionBy("token")
     best = Window.partitionBy("b").orderBy(F.col("met").desc(), "a")
     star = shared.where("key <> centre").groupBy(F.col("centre").alias("a"), F.col("key").alias("b"))
-    star = with_sizes(star.agg(F.count("*").alias("met")))
+    star = with_sizes(star.agg(F.sum("m").alias("met")))
     # A fifth of the prefix, about; less is left to the pairs.
     near = star.where(500 * F.col("met") >= (100 - join.share) * F.least("n_a", "n_b"))
     near = near.withColumn("_place", F.row_number().over(best)).where(F.col("_place") <= join.star_edges)
     families = _components(stored(near.select("a", "b"), "star"))
     found = corpus.compare_families(families)
     # All other candidates: pairs of different families, with how often they meet.
-    rows = shared.select("token", "key").join(families, "key", "left").withColumn("label", F.coalesce("label", "key"))
+    rows = shared.select("token", "key", "m").join(families, "key", "left").withColumn("label", F.coalesce("label", "key"))
     several = F.min("label").over(by_token) != F.max("label").over(by_token)
     rows = rows.withColumn("_several", several).where("_several")
     # How many n-grams a set can meet others on at all bounds how often it meets any one of them.
-    most = F.count(F.lit(1)).over(Window.partitionBy("key"))
-    mixed = stored(rows.join(n, "key").select("token", "key", "label", "n", most.alias("most")), "mixed")
-    left = mixed.select("token", F.col("key").alias("a"), F.col("label").alias("l_a"), F.col("n").alias("n_a"), F.col("most").alias("m_a"))
-    right = mixed.select("token", F.col("key").alias("b"), F.col("label").alias("l_b"), F.col("n").alias("n_b"), F.col("most").alias("m_b"))
+    most = F.sum("m").over(Window.partitionBy("key"))
+    mixed = stored(rows.join(n, "key").select("token", "key", "m", "label", "n", most.alias("most")), "mixed")
+    left = mixed.select("token", F.col("m").alias("t_a"), F.col("key").alias("a"), F.col("label").alias("l_a"), F.col("n").alias("n_a"), F.col("most").alias("m_a"))
+    right = mixed.select("token", F.col("m").alias("t_b"), F.col("key").alias("b"), F.col("label").alias("l_b"), F.col("n").alias("n_b"), F.col("most").alias("m_b"))
     # Past the prefix that ends first, the overlap is at most what is left of that set.
     rest = F.greatest(*[F.ceil(F.col(c) * join.share / 100) - 1 for c in ("n_a", "n_b")])
     needed = _needed(join, F.col("n_a"), F.col("n_b"))
@@ -463,7 +495,7 @@ def _grouped(docs: DataFrame, join: Join, doc_id: str, text: str) -> DataFrame:
         left.join(right, "token")
         .where(different & (F.least("m_a", "m_b") + rest >= needed))
         .groupBy("a", "b")
-        .agg(F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b"), F.count("*").alias("met"))
+        .agg(F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b"), F.sum(F.least("t_a", "t_b")).alias("met"))
         .where(F.col("met") + rest >= needed)
     )
     pairs = corpus.compare(open_)

@@ -179,3 +179,21 @@ def test_only_texts_of_candidates_are_moved(spark):
     shared = corpus.prefixes()
     assert shared.columns == ["token", "key", "centre"]
     assert shared.groupBy("token").agg(F.count_distinct("centre").alias("n")).where("n <> 1").isEmpty()
+
+
+def test_ngrams_of_the_same_sets_move_as_one(spark):
+    rnd = random.Random(24)
+    words = [f"w{rnd.randrange(10**6)}" for _ in range(300)]
+    rows = [(0, " ".join(words)), (1, " ".join(words[:-1])), (2, " ".join(words[1:-1])), (3, "alone here today and now")]
+    corpus = j._Corpus(spark.createDataFrame(rows, SCHEMA).repartition(3), Join(), "doc_id", "text")
+    each, folded = corpus.prefixes(), corpus.meetings()
+    assert folded.agg(F.sum("m")).first()[0] == each.count() > 100
+    # No more rows than there are choices of two or more of the three sets, with their members.
+    assert folded.count() <= 9 and folded.columns == ["token", "key", "centre", "m"]
+    assert folded.agg(F.max(F.length("key"))).first()[0] == 12
+
+
+def test_repeated_rows_leave_a_task_once(spark):
+    docs = spark.range(60).selectExpr("id % 2 AS id", "cast(7 AS bigint) AS mark", "'a b' AS text").repartition(3)
+    nulls = docs.selectExpr("cast(null AS bigint) AS id", "mark", "text")
+    assert j._once(docs.unionByName(nulls).coalesce(2)).count() <= 6
