@@ -11,6 +11,9 @@ No step orders a whole source: documents fall into buckets of a bounded number b
 packed into blocks on its own, and the blocks of a bucket begin where those of the buckets before it
 end. A source that holds most rows has more buckets. All of it runs on (id, source, size) rows;
 texts are only read to be counted, and once more where the mixed texts are wanted.
+
+The short tables that several steps need, rows per source, bucket and shard, are stored. So they are made once, and no
+plan holds those before it again and again, which the driver would plan anew after each of its stages.
 """
 
 from __future__ import annotations
@@ -108,6 +111,7 @@ def _packed(sized: DataFrame, plan: DataFrame, mix: Mix) -> tuple[DataFrame, Dat
         blocks.alias("_blocks"),
         F.coalesce(F.sum(blocks).over(upto), F.lit(0)).alias("first_block"),
     )
+    offsets = stored(offsets, "offsets")
     totals = offsets.groupBy("source_no").agg(F.sum("_blocks").alias("n_blocks"))
     inside = Window.partitionBy("source_no", "bucket").orderBy("draw", "doc_id", "size", "mark")
     placed = (
@@ -115,7 +119,7 @@ def _packed(sized: DataFrame, plan: DataFrame, mix: Mix) -> tuple[DataFrame, Dat
         .withColumn("start", F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
         .join(offsets.drop("_blocks"), ["source_no", "bucket"])
     )
-    return placed, plan.join(totals, "source_no")
+    return placed, stored(plan.join(totals, "source_no"), "plan")
 
 
 def _slots(plan: DataFrame, mix: Mix) -> DataFrame:
@@ -154,6 +158,7 @@ def _slots(plan: DataFrame, mix: Mix) -> DataFrame:
         F.sum(part - base).over(shard).alias("end"),
         (F.max(room).over(shard) - F.sum(base).over(shard)).alias("rest"),
     )
+    drawn = stored(drawn, "drawn")
     # Each draw falls on the line of fractions; the source whose part begins last before it gets it.
     draws = (
         drawn.groupBy("shard")
@@ -223,7 +228,7 @@ def mix_pieces(
     """
     sized = _sized(docs, doc_id, text, source, mix)
     sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"))
-    placed, plan = _packed(sized, targets(sizes, mix), mix)
+    placed, plan = _packed(sized, stored(targets(sizes, mix), "targets"), mix)
     uses = _slots(plan, mix).groupBy("source_no", "block").agg(F.count("*").alias("uses"))
     length = mix.block_words
     first, last = F.floor(F.col("start") / length), F.floor((F.col("start") + F.col("size") - 1) / length)

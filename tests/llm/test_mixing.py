@@ -3,6 +3,8 @@
 import random
 import time
 
+from helpers import plan_of
+
 from devicepulse.llm import mixing
 from devicepulse.llm.mixing import Mix
 
@@ -137,3 +139,11 @@ def test_a_text_is_cut_into_words_once(spark):
     sizes = {r.doc_id: len(r.text.split()) for r in made.collect()}
     assert time.monotonic() - began < 60
     assert sizes
+
+
+def test_short_tables_are_made_once(spark):
+    """The driver plans the query anew after each of its stages, so no plan may hold the same steps many times."""
+    docs = corpus(spark, SIZES)
+    for made in (mixing.mixed_documents(docs, SMALL), mixing.mix_sources(docs, SMALL)):
+        plan = plan_of(made)
+        assert plan.count("Window [") <= 8 and plan.count("Exchange") <= 20, plan
