@@ -9,7 +9,8 @@ below a node, and a branch is left as soon as what remains of its sets cannot re
 
 Groups of thousands of near copies never come out as pairs. Sets that meet one centre on a good part of
 their prefixes form a family. A family is cut into parts of a bounded number of sets, and every two parts
-go through a tree together, in one task; out come only the links that join groups, and counts. Candidates
+go through a tree together, in one task, where all probes walk the tree at once, their overlaps counted by bits;
+out come only the links that join groups, and counts. Candidates
 of different families are few; they come as pairs, counted over all n-grams of their prefixes, which gives a
 bound on their overlap, and the ones that pass it are compared in trees too. So no link is lost.
 
@@ -35,6 +36,11 @@ from devicepulse.operators.dedup import key_filter, may_hold
 BATCH_BYTES = 4 << 20
 KEY_BITS = 16  # of a filter, for each key in it
 MOST_BITS = 1 << 26  # of a filter: 8 MB in every task
+PART_GRAMS = 4 << 20  # of a part of a family, about
+PROBE_BYTES = 32 << 20  # of the bitmaps that walk a tree together
+GROUP_CHARS = 1 << 19  # of the texts whose sets are made at once, so that their arrays stay small
+PIECE = 1 << 16  # bytes hashed at once
+LONG_WORD = 64  # bytes, far below the words whose sums could agree by their pattern alone
 HEAVY = np.uint64(1 << 62)
 LOW_BITS = np.uint64((1 << 62) - 1)
 
@@ -52,7 +58,6 @@ class Join:
     frequent: int = 1_000_000
     star_edges: int = 3
     block_sets: int = 512
-    cache: int = 300_000
 
     def prefix(self, n):
         """How many of a set's first n-grams any set that reaches the threshold shares one of."""
@@ -63,49 +68,129 @@ class Join:
         return -(-self.share * (a + b) // (100 + self.share))
 
 
-class _Shingler:
-    """Sets of texts, with the hashes of words met before at hand."""
+def _powers(base: int) -> np.ndarray:
+    return np.cumprod(np.array([1, *[base] * (PIECE - 1)], np.uint64))
 
-    def __init__(self, join: Join, frequent: np.ndarray | None = None):
-        self.join, self.frequent = join, frequent
 
-        class Words(dict):
-            def __missing__(words, word: bytes) -> int:
-                if len(words) >= join.cache:
-                    words.clear()
-                words[word] = value = xxhash.xxh3_64_intdigest(word)
-                return value
+class _Words:
+    """Hashes of the words of texts, all words of a piece of bytes at once.
+
+    A word is a sum of its bytes' random numbers, each times a power of an odd base by its place in the word. Sums up
+    to every byte of a piece give that of each word, and the base's inverse takes the word to the same place. Long
+    words are hashed one by one.
+    """
+
+    BASE = 0x9FB21C651E98DF25
+    INVERSE = pow(BASE, -1, 1 << 64)
+
+    def __init__(self):
+        self.numbers = np.random.default_rng(0x5E7).integers(0, 1 << 64, 256, np.uint64, endpoint=False)
+        self.spaces = np.zeros(256, bool)
+        self.spaces[list(b" \t\n\r\x0b\x0c")] = True
+        self.powers, self.inverses = _powers(self.BASE), _powers(self.INVERSE)
+
+    def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Words in order, and where each text's words begin, with the end. Only A-Z are lower-cased, and words
+        end at ASCII white space, as `bytes` has both."""
+        raw = [t.encode() if t else b"" for t in texts]
+        data = np.frombuffer(b"\n".join([*raw, b""]).lower(), np.uint8)
+        space = self.spaces[data]
+        inside = ~space
+        inside[1:] &= space[:-1]
+        starts = np.flatnonzero(inside)
+        inside = ~space[:-1]
+        inside &= space[1:]
+        ends = np.flatnonzero(inside) + 1
+        begin = np.cumsum([0, *[len(r) + 1 for r in raw]])
+        words = np.zeros(len(starts), np.uint64)
+        at = 0
+        while at < len(starts):
+            to = int(np.searchsorted(ends, starts[at] + PIECE, side="right"))
+            if to > at:
+                piece = data[starts[at] : ends[to - 1]]
+                words[at:to] = self._piece(piece, starts[at:to] - starts[at], ends[at:to] - starts[at])
+            at = max(to, at + 1)  # a word over the size is a long one
+        for at in np.flatnonzero(ends - starts > LONG_WORD).tolist():
+            words[at] = xxhash.xxh3_64_intdigest(data[starts[at] : ends[at]])
+        return words, np.searchsorted(starts, begin)
+
+    def _piece(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(self.numbers[data] * self.powers[: len(data)], out=sums[1:])
+        words = (sums[ends] - sums[starts]) * self.inverses[starts]
+        # The low bits of a sum know only the low bits of the numbers.
+        words ^= words >> np.uint64(32)
+        words *= np.uint64(0xD6E8FEB86659FD93)
+        words ^= words >> np.uint64(32)
+        return words
 
-        self.words = Words()
+
+class _Shingler:
+    """Sets of texts, with the frequent n-grams at hand."""
+
+    def __init__(self, join: Join, frequent: np.ndarray | None = None):
+        self.join, self.words = join, _Words()
+        self.frequent = frequent if frequent is not None and len(frequent) else None
+        if self.frequent is not None:
+            # By the high bits, so that few others are looked for.
+            self.maybe = np.zeros(1 << 23, bool)
+            self.maybe[self.frequent >> np.uint64(39)] = True
 
     def __call__(self, text: str | None) -> np.ndarray:
-        """The set in global order; empty for a text without words. Only A-Z are lower-cased, and words end
-        at ASCII white space, as `bytes` has both."""
-        found = text.encode().lower().split() if text else []
-        if not found:
+        """The set in global order; empty for a text without words."""
+        return self.keyed([text])[0][1]
+
+    def keyed(self, texts: list[str | None]) -> list[tuple[bytes, np.ndarray]]:
+        """(key, set in global order) of each text. The key is a digest of the set, whatever is known to be
+        frequent. 96 bits, as keys are most of what is moved."""
+        made, some, held = [], [], 0
+        for text in texts:
+            some.append(text)
+            held += len(text or "")
+            if held >= GROUP_CHARS:
+                made += self._keyed(some)
+                some, held = [], 0
+        return made + self._keyed(some)
+
+    def _keyed(self, texts: list[str | None]) -> list[tuple[bytes, np.ndarray]]:
+        words, at = self.words(texts)
+        full = self._mixed(words, self.join.width)
+        sets = []
+        for begin, end in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+            width = min(self.join.width, end - begin)
+            made = full[begin : end - width + 1] if width == self.join.width else self._mixed(words[begin:end], width)
+            made.sort()
+            different = made[1:] != made[:-1]
+            sets.append(made if different.all() else made[np.concatenate([[True], different])])
+        keys = [blake2b(made, digest_size=12).digest() for made in sets]
+        if self.frequent is None:
+            return list(zip(keys, sets, strict=True))
+        flat = np.concatenate([np.empty(0, np.uint64), *sets])
+        heavy = self.maybe[flat >> np.uint64(39)]
+        found = np.flatnonzero(heavy)
+        place = np.searchsorted(self.frequent, flat[found]).clip(max=len(self.frequent) - 1)
+        heavy[found] = self.frequent[place] == flat[found]
+        done, begin = [], 0
+        for made in sets:
+            last = heavy[begin : begin + len(made)]
+            begin += len(made)
+            done.append(np.concatenate([made[~last], made[last] | HEAVY]) if last.any() else made)
+        return list(zip(keys, done, strict=True))
+
+    def _mixed(self, words: np.ndarray, width: int) -> np.ndarray:
+        """The hash of every `width` words in a row."""
+        if not width:
             return np.empty(0, np.uint64)
-        hashes = np.fromiter(map(self.words.__getitem__, found), np.uint64, len(found))
-        width = min(self.join.width, len(hashes))
-        mixed = np.zeros(len(hashes) - width + 1, np.uint64)
+        mixed = np.zeros(max(0, len(words) - width + 1), np.uint64)
         for i in range(width):
-            mixed += hashes[i : len(hashes) - width + 1 + i]
+            mixed += words[i : i + len(mixed)]
             mixed ^= mixed >> np.uint64(29)
             mixed *= np.uint64(0xBF58476D1CE4E5B9)
             mixed ^= mixed >> np.uint64(32)
         # A whole short text is no n-gram of a longer one.
         mixed ^= np.uint64((self.join.width - width) * 0x9E3779B97F4A7C15 & (2**64 - 1))
-        made = np.unique(mixed & LOW_BITS)
-        if self.frequent is not None and len(self.frequent):
-            at = np.searchsorted(self.frequent, made).clip(max=len(self.frequent) - 1)
-            heavy = self.frequent[at] == made
-            if heavy.any():
-                made = np.concatenate([made[~heavy], made[heavy] | HEAVY])
-        return made
-
-
-def _key(tokens: np.ndarray) -> bytes:
-    """A digest of a set, whatever is known to be frequent. 96 bits, as keys are most of what is moved."""
-    return blake2b(np.sort(tokens & LOW_BITS).tobytes(), digest_size=12).digest()
+        mixed &= LOW_BITS
+        return mixed
 
 
 def _pass(docs: DataFrame, join: Join, frequent, make, schema: str) -> DataFrame:
@@ -122,9 +207,10 @@ def _pass(docs: DataFrame, join: Join, frequent, make, schema: str) -> DataFrame
 
 def _nodes(shingler: _Shingler, batch: pa.RecordBatch, state: dict) -> Iterator[pa.RecordBatch]:
     """A row for each document, and one for each n-gram that two or more of the batch's sets hold."""
-    sets = [shingler(t) for t in batch.column(2).to_pylist()]
-    keys = [_key(s) if len(s) else None for s in sets]
-    different = {k: s for k, s in zip(keys, sets, strict=True) if k is not None}
+    made = shingler.keyed(batch.column(2).to_pylist())
+    sets = [s for _, s in made]
+    keys = [k if len(s) else None for k, s in made]
+    different = {k: s for k, s in made if len(s)}
     tokens, counts = np.unique(np.concatenate([np.empty(0, np.uint64), *different.values()]), return_counts=True)
     tokens, counts = tokens[counts > 1].astype(np.int64), counts[counts > 1]
     n, m = len(sets), len(tokens)
@@ -145,12 +231,8 @@ def _prefixes(shingler: _Shingler, batch: pa.RecordBatch, state: dict) -> Iterat
     better so. Copies in a task come out once, as far as it remembers."""
     seen = state.setdefault("seen", set())
     tokens, keys = [], []
-    for text in batch.column(2).to_pylist():
-        made = shingler(text)
-        if not len(made):
-            continue
-        key = _key(made)
-        if key in seen:
+    for key, made in shingler.keyed(batch.column(2).to_pylist()):
+        if not len(made) or key in seen:
             continue
         if len(seen) >= 200_000:
             seen.clear()
@@ -170,9 +252,7 @@ def _sets(shingler: _Shingler, batch: pa.RecordBatch, state: dict) -> Iterator[p
     is handed on. Repeated rows in a task come out once, as far as it remembers."""
     seen = state.setdefault("seen", set())
     rows, keys, tokens = [], [], []
-    for i, text in enumerate(batch.column(2).to_pylist()):
-        made = shingler(text)
-        key = _key(made)
+    for i, (key, made) in enumerate(shingler.keyed(batch.column(2).to_pylist())):
         if key in seen:
             continue
         if len(seen) >= 200_000:
@@ -235,6 +315,88 @@ def walk_tree(rows: list[tuple[bytes, bytes]], probe: bytes, join: Join) -> Iter
             stack.append((begin, at, end, overlap))
 
 
+def walk_tree_together(
+    rows: list[np.ndarray], probes: list[np.ndarray], join: Join, same: bool = False
+) -> Iterator[tuple[int, np.ndarray]]:
+    """For each of the sets `rows`, in their tree's order, which of the sets `probes` link with it. With `same`,
+    both are the same sets in the same order, and every two of them come once.
+
+    The tree is that of `walk_tree`, and all probes walk it together: an n-gram that sets of both sides hold is a bit,
+    so that a node's stretch is counted for all its probes by the bits that they share. A node keeps the probes
+    that can still reach the threshold with a set below.
+    """
+    order = np.array(sorted(range(len(rows)), key=lambda i: rows[i].astype(">u8").tobytes()), np.int64)
+    sizes, wanted = (np.array([len(s) for s in side], np.int64) for side in (rows, probes))
+    flat, own = np.concatenate([np.empty(0, np.uint64), *rows]), np.cumsum([0, *sizes])
+    if same:
+        bits, held = np.unique(flat, return_counts=True)
+        bits = bits[held > 1]
+    else:
+        bits = np.intersect1d(flat, np.concatenate([np.empty(0, np.uint64), *probes]))
+    if not len(bits):
+        return
+
+    def places(tokens: np.ndarray) -> np.ndarray:
+        """The bits of n-grams; -1 for one that has none."""
+        at = np.searchsorted(bits, tokens).clip(max=len(bits) - 1)
+        return np.where(bits[at] == tokens, at, -1)
+
+    of_rows = places(flat)
+    # n-grams with a bit in the rest of a set: the most that the rest can add.
+    rest = np.concatenate([np.cumsum((of_rows >= 0)[::-1])[::-1], [0]])
+    words = (len(bits) + 63) // 64
+    step = max(1, PROBE_BYTES // (8 * words))
+    for begin in range(0, len(probes), step):
+        some = probes[begin : begin + step]
+        n = wanted[begin : begin + step]
+        at = places(np.concatenate([np.empty(0, np.uint64), *some]))
+        holder = np.repeat(np.arange(len(some)), n)[at >= 0]
+        at = at[at >= 0]
+        held = np.zeros((words, len(some)), np.uint64)
+        np.add.at(held, (at >> 6, holder), np.uint64(1) << (at & 63).astype(np.uint64))
+        most = np.bincount(holder, minlength=len(some))
+        # (first, last, depth, probes, their overlaps)
+        stack = [(0, len(order), 0, np.arange(len(some)), np.zeros(len(some), np.int64))]
+        while stack:
+            lo, hi, depth, live, overlap = stack.pop()
+            first, last = rows[order[lo]], rows[order[hi - 1]]
+            below = order[lo:hi]
+            if same:
+                later = live + begin > below.min()
+                live, overlap = live[later], overlap[later]
+            # Sets below need the more the larger they are, and add at most what they have left.
+            left = rest[own[below] + depth] - rest[own[below + 1]]
+            able = np.minimum(overlap + left.max(), most[live]) >= join.needed(sizes[below].min(), n[live])
+            live, overlap = live[able], overlap[able]
+            if not len(live):
+                continue
+            end = min(len(first), len(last))
+            differ = np.flatnonzero(first[depth:end] != last[depth:end])
+            end = depth + int(differ[0]) if len(differ) else end
+            stretch = of_rows[own[order[lo]] + depth : own[order[lo]] + end]
+            stretch = stretch[stretch >= 0]
+            if len(stretch):
+                word = stretch >> 6
+                new = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+                mask = np.add.reduceat(np.uint64(1) << (stretch & 63).astype(np.uint64), new)[:, None]
+                word = word[new]
+                shared = held[word] if len(live) == len(some) else held[word[:, None], live]
+                overlap = overlap + np.bitwise_count(shared & mask).sum(axis=0, dtype=np.int64)
+            at = lo
+            while at < hi and len(rows[order[at]]) == end:  # ends here
+                i = int(order[at])
+                found = live[overlap >= join.needed(sizes[i], n[live])] + begin
+                found = found[found > i] if same else found
+                if len(found):
+                    yield i, found
+                at += 1
+            while at < hi:
+                token, start = rows[order[at]][end], at
+                while at < hi and rows[order[at]][end] == token:
+                    at += 1
+                stack.append((start, at, end, live, overlap))
+
+
 def _compare(blocks: DataFrame, join: Join) -> DataFrame:
     """Blocks (block, probe, key, tokens) to links (a, b). Rows of a block lie together, the probe first, and
     a block holds a bounded number of sets; a key that comes twice is one."""
@@ -286,33 +448,30 @@ def _once(docs: DataFrame) -> DataFrame:
 
 
 def _compare_parts(blocks: DataFrame, join: Join, frequent) -> DataFrame:
-    """Blocks (block, second, key, text), of two parts or of one, to rows (a, b, n): the links that join
-    groups within a block, with n null, and the number of links n of each set a, with b null. A key that comes
-    twice is one."""
-
-    def links(*parts: dict[bytes, bytes]):
-        first, second = (list(p.items()) for p in parts)
-        group: dict[bytes, bytes] = {}
-
-        def top(key: bytes) -> bytes:
-            while group.get(key, key) != key:
-                group[key] = key = group.get(group[key], group[key])
-            return key
-
-        joined, counts = [], {}
-        for key, tokens in second or first:
-            for other in walk_tree(first, tokens, join):
-                if second or other < key:
-                    counts[key] = counts.get(key, 0) + 1
-                    counts[other] = counts.get(other, 0) + 1
-                    x, y = top(key), top(other)
-                    if x != y:
-                        group[x] = y
-                        joined.append((key, other, None))
-        return joined + [(k, None, n) for k, n in counts.items()]
+    """Blocks (block, side, key, text), of one part (side 0) or of two (1 and 2), to rows (a, b, n): the links that
+    join groups within a block, with n null, and the number of links n of each set a, with b null. A key that
+    comes twice is one."""
+
+    def links(alone: dict[bytes, np.ndarray], first: dict[bytes, np.ndarray], second: dict[bytes, np.ndarray]):
+        same = bool(alone)
+        first, second = (alone, alone) if same else (first, second)
+        rows, probes = list(first.values()), list(second.values())
+        keys, shift = (list(first), 0) if same else ([*first, *second], len(first))
+        group, counts = np.arange(len(keys)), np.zeros(len(keys), np.int64)
+        joined = []
+        for i, found in walk_tree_together(rows, probes, join, same):
+            found = found + shift
+            counts[i] += len(found)
+            counts[found] += 1
+            apart = found[group[found] != group[i]]
+            # One of each other group joins it with this set's.
+            for k in apart[np.unique(group[apart], return_index=True)[1]].tolist():
+                joined.append((keys[i], keys[k], None))
+                group[group == group[k]] = group[i]
+        return joined + [(keys[k], None, int(counts[k])) for k in np.flatnonzero(counts).tolist()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, parts = None, ({}, {})
+        now, parts = None, ({}, {}, {})
         shingler = _Shingler(join, np.frombuffer(frequent.value, np.uint64))
         kinds = (pa.binary(), pa.binary(), pa.int64())
 
@@ -322,12 +481,13 @@ def _compare_parts(blocks: DataFrame, join: Join, frequent) -> DataFrame:
 
         for batch in sized(batches, 3, BATCH_BYTES):
             found = []
-            for block, second, key, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            sets = shingler.keyed(batch.column(3).to_pylist())
+            for block, side, key, (_, tokens) in zip(*(c.to_pylist() for c in batch.columns[:3]), sets, strict=True):
                 if block != now:
                     found += links(*parts)
-                    now, parts = block, ({}, {})
-                if key not in parts[second]:
-                    parts[second][key] = shingler(text).astype(">u8").tobytes()
+                    now, parts = block, ({}, {}, {})
+                if key not in parts[side]:
+                    parts[side][key] = tokens.copy()  # not the whole batch's
             yield made(found)
         yield made(links(*parts))
 
@@ -415,7 +575,10 @@ class _Corpus:
 
     def compare_families(self, families: DataFrame) -> DataFrame:
         """Families (key, label) to rows (a, b, n) as of `_compare_parts`, over all pairs of a family."""
-        parts = families.groupBy("label").agg(F.ceil(F.count("*") / self.join.block_sets).alias("_parts"))
+        sizes = self.nodes.groupBy("key").agg(F.first("n").alias("n")).join(families, "key")
+        # Long sets are fewer in a part.
+        needed = F.greatest(F.count("*") / (4 * self.join.block_sets), F.sum("n") / PART_GRAMS)
+        parts = sizes.groupBy("label").agg(F.ceil(needed).alias("_parts"))
         part = F.pmod(F.xxhash64("key"), F.col("_parts"))
         # Texts go straight to their blocks, and become sets there. Like texts lie together for that, so that
         # compression folds what near copies share.
@@ -423,10 +586,9 @@ class _Corpus:
         placed = stored(placed.sortWithinPartitions("label", "text"), "family_texts")
         both = placed.withColumn("_with", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_parts") - 1)))
         low, high = F.least("_part", "_with"), F.greatest("_part", "_with")
-        # Of two parts the second is the higher one; a part with itself has no second.
-        blocks = both.select(
-            F.xxhash64("label", low, high).alias("block"), (F.col("_part") > low).cast("int").alias("second"), "key", "text"
-        )
+        # A part may hold nothing, so a block says whether it is of one part (0) or of two (1, 2).
+        side = F.when(low == high, 0).when(F.col("_part") == low, 1).otherwise(2)
+        blocks = both.select(F.xxhash64("label", low, high).alias("block"), side.alias("side"), "key", "text")
         return stored(_compare_parts(blocks, self.join, self.frequent), "family_links")
 
 

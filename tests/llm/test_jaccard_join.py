@@ -1,6 +1,7 @@
 """Groups and sizes against all pairs."""
 
 import random
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -197,3 +198,75 @@ def test_repeated_rows_leave_a_task_once(spark):
     docs = spark.range(60).selectExpr("id % 2 AS id", "cast(7 AS bigint) AS mark", "'a b' AS text").repartition(3)
     nulls = docs.selectExpr("cast(null AS bigint) AS id", "mark", "text")
     assert j._once(docs.unionByName(nulls).coalesce(2)).count() <= 6
+
+
+def near_sets(rnd, n, size, edits):
+    base, made = rnd.sample(range(1 << 62), size), []
+    for _ in range(n):
+        changed = set(base)
+        for _ in range(rnd.randint(0, edits)):
+            changed.discard(rnd.choice(base))
+            changed.add(rnd.choice([rnd.randrange(1 << 62), rnd.choice(base) | 1 << 62]))
+        made.append(np.array(sorted(changed), np.uint64))
+    return list({m.tobytes(): m for m in made}.values())
+
+
+@pytest.mark.parametrize("probe_bytes", [16, j.PROBE_BYTES])
+def test_probes_that_walk_together_find_what_comparing_finds(monkeypatch, probe_bytes):
+    monkeypatch.setattr(j, "PROBE_BYTES", probe_bytes)
+    rnd = random.Random(31)
+    for share in (30, 85, 100):
+        join = Join(share=share)
+        links = lambda x, y: 100 * len(x & y) >= share * len(x | y)  # noqa: E731, B023
+        for size in (1, 9, 90):
+            rows, probes = near_sets(rnd, 20, size, 12), near_sets(rnd, 9, size, 12)
+            probes += [rows[0], rows[-1][: size // 2 + 1], np.empty(0, np.uint64)]
+            a, b = ([set(s.tolist()) for s in side] for side in (rows, probes))
+            got = sorted((i, int(k)) for i, found in j.walk_tree_together(rows, probes, join) for k in found)
+            assert got == [(i, k) for i, x in enumerate(a) for k, y in enumerate(b) if links(x, y)]
+            got = sorted((i, int(k)) for i, found in j.walk_tree_together(rows, rows, join, same=True) for k in found)
+            assert got == [(i, k) for i in range(len(a)) for k in range(i + 1, len(a)) if links(a[i], a[k])]
+
+
+def test_a_part_of_near_copies_takes_no_time_for_each_pair():
+    # One probe after the other took some 100 us a pair, 100 s for these.
+    sets = near_sets(random.Random(32), 1500, 400, 10)
+    began = time.process_time()
+    found = sum(len(f) for _, f in j.walk_tree_together(sets, sets, Join(share=85), same=True))
+    assert found == len(sets) * (len(sets) - 1) // 2 and time.process_time() - began < 25
+
+
+def test_parts_without_sets_count_no_link_twice(spark, monkeypatch):
+    rnd = random.Random(33)
+    words = [f"w{rnd.randrange(10**6)}" for _ in range(200)]
+    rows = [(i, " ".join(words[:i] + [f"x{i}"] + words[i + 1 :])) for i in range(12)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    monkeypatch.setattr(j, "PART_GRAMS", 150)
+    for join in (Join(block_sets=1), Join()):
+        got = j.link_documents(docs, join).collect()
+        assert {(r.component_id, r.n_links) for r in got} == {(0, 11)}
+
+
+def test_sets_of_many_texts_at_once():
+    rnd = random.Random(34)
+    word = lambda: rnd.choice(["a", "B", "é", "Ab", "x" * 70, "y" * 64, "nbsp\xa0in", "u\u2003v", "c\x1cd", "0" * rnd.randint(1, 90)])
+    space = lambda: rnd.choice([" ", "\t", "\n ", "\r\n", "\x0b", "\x0c  "])
+    texts = ["".join(word() + space() for _ in range(rnd.randint(0, 40))) for _ in range(200)]
+    texts += [None, "", " \n", "one", "One two", "z" * 200_000, "z" * 200_000 + " z", " ".join(f"w{i % 9000}" for i in range(40_000))]
+    texts += ["ab ba", "ba ab", "abba baab baababba abbabaab", "a\x00b", "a\x00b\x00"]
+    join = Join(width=3)
+    low = [bytes(c + 32 if 65 <= c <= 90 else c for c in (t or "").encode()) for t in texts]
+    words = [b.split() for b in low]
+    want = [{tuple(w[k : k + 3]) for k in range(len(w) - 2)} if len(w) > 2 else {tuple(w)} - {()} for w in words]
+    plain = j._Shingler(join)
+    made = plain.keyed(texts)
+    assert [len(s) for _, s in made] == [len(w) for w in want]
+    assert len({k for k, _ in made}) == len({frozenset(w) for w in want})
+    # Equal n-grams are equal in whatever text and place.
+    everything = np.concatenate([s for _, s in made])
+    assert len(np.unique(everything)) == len(set().union(*want))
+    often = np.unique(everything)[::3]
+    for text, (key, tokens), (other, ordered) in zip(texts, made, j._Shingler(join, often).keyed(texts), strict=True):
+        heavy = np.isin(tokens, often)
+        assert key == other and ordered.tolist() == [*tokens[~heavy].tolist(), *(t | 1 << 62 for t in tokens[heavy].tolist())]
+        assert plain(text).tolist() == tokens.tolist()
